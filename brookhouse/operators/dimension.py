@@ -35,3 +35,20 @@ def fold_cells(
 
     cells = [F.when(alive(c), F.col(f"_cell_{c}")["value"]).alias(c) for c in columns]
     return folded.filter(reduce(or_, map(alive, columns))).select(*keys, *cells)
+
+
+def fold_maps(events: DataFrame, keys: list[str], order: Column) -> DataFrame:
+    """The same state with the cells in one map, for tables whose columns are not known beforehand."""
+    steps = events.select(*keys, "type", "data", order.alias("_seq"))
+    gone = F.coalesce(F.col("type"), F.lit("")) == "delete"
+    deleted = steps.filter(gone).groupBy(*keys).agg(F.max("_seq").alias("_deleted"))
+    written = (
+        steps.filter(~gone)
+        .select(*keys, "_seq", F.explode("data").alias("_name", "_value"))
+        .filter(F.col("_value").isNotNull())
+        .groupBy(*keys, "_name")
+        .agg(F.max("_seq").alias("_seq"), F.max_by("_value", "_seq").alias("_value"))
+    )
+    live = written.join(deleted, keys, "left").filter(
+        F.col("_deleted").isNull() | (F.col("_seq") > F.col("_deleted")))
+    return live.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_name", "_value"))).alias("data"))

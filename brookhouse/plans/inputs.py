@@ -19,7 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) ->
     path = f"{sf_dir}/{name}.parquet"
     if not stream:
         return spark.read.parquet(path)
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop_path).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)  # streams read folders, not single files
 
 
 def text(c) -> Column:
@@ -55,18 +59,35 @@ def no_cells() -> Column:
 
 def changes(rows: DataFrame, table_name: str, kind: Column | str, ts: Column, data: Column, old: Column | None = None,
             xid: Column | None = None) -> DataFrame:
-    """Change-log records, with event times."""
-    return with_times(rows.select(
+    """Change-log records."""
+    return rows.select(
         F.lit(DATABASE).alias("database"), F.lit(table_name).alias("table"),
         (F.lit(kind) if isinstance(kind, str) else kind).alias("type"), ts.alias("ts"),
         (xid if xid is not None else F.lit(None).cast("string")).alias("xid"),
         F.lit(True).alias("commit"), data.alias("data"), (old if old is not None else no_cells()).alias("old"),
-    ))
+    )
+
+
+FAR_SECONDS = 4102444800  # 2100-01-01
+
+
+def sentinel(spark: SparkSession, sf_dir: str, table_name: str) -> DataFrame:
+    """A far-future insert without partners: it lets a stream over the files close what is open at their end.
+
+    It has keys and its table's name, as filters on those are applied before the watermark.
+    """
+    own = F.lit(f"end of {table_name}")
+    one = table(spark, sf_dir, "region", stream=True).filter("r_regionkey = 0")
+    return changes(one, table_name, "insert", F.lit(FAR_SECONDS).cast("bigint"), pairs(
+        id=own, order_id=own, order_detail_id=own))
 
 
-def as_lines(log: DataFrame) -> DataFrame:
-    """Change-log records as the JSON text that a bus carries."""
-    return log.select(to_line("database", "table", "type", "ts", "xid", "commit", "data", "old").alias("value"))
+def log_of(maker, spark: SparkSession, sf_dir: str, stream: bool = False, end_of: str | None = None) -> DataFrame:
+    """Change log of one derivation with event times, watermarked on a stream; `end_of` closes it with a sentinel."""
+    rows = maker(spark, sf_dir, stream)
+    if stream and end_of:
+        rows = rows.unionByName(sentinel(spark, sf_dir, end_of))
+    return with_times(rows)
 
 
 # --- trade --------------------------------------------------------------------------------------------------------

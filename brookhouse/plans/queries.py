@@ -81,7 +81,7 @@ def exact_money(spark, sf_dir):
 
 
 def cart_add(spark, sf_dir):
-    return facts.cart_adds(I.cart_changes(spark, sf_dir), DB)
+    return facts.cart_adds(I.log_of(I.cart_changes, spark, sf_dir), DB)
 
 
 def cart_add_json(spark, sf_dir):
@@ -91,54 +91,54 @@ def cart_add_json(spark, sf_dir):
 
 
 def comment_insert(spark, sf_dir):
-    return facts.comments(I.comment_changes(spark, sf_dir), DB).drop("proc_time")
+    return facts.comments(I.log_of(I.comment_changes, spark, sf_dir), DB).drop("proc_time")
 
 
 def order_detail_insert(spark, sf_dir):
-    return facts.order_detail_inserts(I.order_detail_changes(spark, sf_dir), DB).drop("row_time")
+    return facts.order_detail_inserts(I.log_of(I.order_detail_changes, spark, sf_dir), DB).drop("row_time")
 
 
 def order_info_insert(spark, sf_dir):
-    return facts.order_info_inserts(I.order_info_changes(spark, sf_dir), DB).drop("row_time")
+    return facts.order_info_inserts(I.log_of(I.order_info_changes, spark, sf_dir), DB).drop("row_time")
 
 
 def order_activity_insert(spark, sf_dir):
-    return facts.activity_inserts(I.activity_changes(spark, sf_dir), DB).drop("row_time")
+    return facts.activity_inserts(I.log_of(I.activity_changes, spark, sf_dir), DB).drop("row_time")
 
 
 def order_coupon_insert(spark, sf_dir):
-    return facts.coupon_inserts(I.coupon_changes(spark, sf_dir), DB).drop("row_time")
+    return facts.coupon_inserts(I.log_of(I.coupon_changes, spark, sf_dir), DB).drop("row_time")
 
 
 def order_cancel_update(spark, sf_dir):
-    return facts.order_cancels(I.order_cancel_changes(spark, sf_dir), DB).drop("row_time")
+    return facts.order_cancels(I.log_of(I.order_cancel_changes, spark, sf_dir), DB).drop("row_time")
 
 
 def payment_success_update(spark, sf_dir):
-    return facts.payments(I.payment_changes(spark, sf_dir), DB).drop("row_time", "proc_time")
+    return facts.payments(I.log_of(I.payment_changes, spark, sf_dir), DB).drop("row_time", "proc_time")
 
 
-def _details(spark, sf_dir, bounds=J.SAME_PURCHASE):
+def details(spark, sf_dir, bounds=J.SAME_PURCHASE, stream=False):
     return J.order_detail_wide(
-        facts.order_detail_inserts(I.order_detail_changes(spark, sf_dir), DB),
-        facts.order_info_inserts(I.order_info_changes(spark, sf_dir), DB),
-        facts.activity_inserts(I.activity_changes(spark, sf_dir), DB),
-        facts.coupon_inserts(I.coupon_changes(spark, sf_dir), DB),
+        facts.order_detail_inserts(I.log_of(I.order_detail_changes, spark, sf_dir, stream, "order_detail"), DB),
+        facts.order_info_inserts(I.log_of(I.order_info_changes, spark, sf_dir, stream, "order_info"), DB),
+        facts.activity_inserts(I.log_of(I.activity_changes, spark, sf_dir, stream, "order_detail_activity"), DB),
+        facts.coupon_inserts(I.log_of(I.coupon_changes, spark, sf_dir, stream, "order_detail_coupon"), DB),
         bounds,
     )
 
 
 def order_detail_wide(spark, sf_dir):
-    return _details(spark, sf_dir).drop("row_time")
+    return details(spark, sf_dir).drop("row_time")
 
 
 def order_detail_wide_unbounded(spark, sf_dir):
-    return _details(spark, sf_dir, None).drop("row_time")
+    return details(spark, sf_dir, None).drop("row_time")
 
 
-def _plain_details(spark, sf_dir):
+def plain_details(spark, sf_dir, stream=False):
     """The order-detail topic as later jobs read it, without activity and coupon."""
-    base = facts.order_detail_inserts(I.order_detail_changes(spark, sf_dir), DB)
+    base = facts.order_detail_inserts(I.log_of(I.order_detail_changes, spark, sf_dir, stream), DB)
     absent = [F.lit(None).cast("string").alias(c)
               for c in ("province_id", "user_id", "activity_id", "activity_rule_id", "coupon_id")]
     return base.select("*", *absent).select(*S.ORDER_DETAIL_FACT.fieldNames(), "row_time")
@@ -146,22 +146,22 @@ def _plain_details(spark, sf_dir):
 
 def order_cancel(spark, sf_dir):
     return J.order_cancel_wide(
-        _plain_details(spark, sf_dir), facts.order_cancels(I.order_cancel_changes(spark, sf_dir), DB))
+        plain_details(spark, sf_dir), facts.order_cancels(I.log_of(I.order_cancel_changes, spark, sf_dir), DB))
 
 
 def order_cancel_unbounded(spark, sf_dir):
     return J.order_cancel_wide(
-        _plain_details(spark, sf_dir), facts.order_cancels(I.order_cancel_changes(spark, sf_dir), DB), None)
+        plain_details(spark, sf_dir), facts.order_cancels(I.log_of(I.order_cancel_changes, spark, sf_dir), DB), None)
 
 
 def payment_interval(spark, sf_dir):
     return J.paid_order_lines(
-        _plain_details(spark, sf_dir), facts.payments(I.payment_changes(spark, sf_dir), DB)).drop("proc_time")
+        plain_details(spark, sf_dir), facts.payments(I.log_of(I.payment_changes, spark, sf_dir), DB)).drop("proc_time")
 
 
 def payment_interval_after_order(spark, sf_dir):
     return J.paid_order_lines(
-        _plain_details(spark, sf_dir), facts.payments(I.payment_changes(spark, sf_dir), DB), J.PAYMENT_AFTER_ORDER
+        plain_details(spark, sf_dir), facts.payments(I.log_of(I.payment_changes, spark, sf_dir), DB), J.PAYMENT_AFTER_ORDER
     ).drop("proc_time")
 
 
@@ -178,25 +178,25 @@ def click_purchase_interval(spark, sf_dir):
 
 def payment_success(spark, sf_dir):
     paid = J.paid_order_lines(
-        _plain_details(spark, sf_dir), facts.payments(I.payment_changes(spark, sf_dir), DB))
+        plain_details(spark, sf_dir), facts.payments(I.log_of(I.payment_changes, spark, sf_dir), DB))
     return L.payment_facts(paid, L.dictionary_rows(I.dictionary(spark, sf_dir), "dic_code"))
 
 
 def comment_lookup(spark, sf_dir):
     return L.comment_facts(
-        facts.comments(I.comment_changes(spark, sf_dir), DB),
+        facts.comments(I.log_of(I.comment_changes, spark, sf_dir), DB),
         L.dictionary_rows(I.dictionary(spark, sf_dir), "dic_code"),
     )
 
 
 def dictionary_join(spark, sf_dir):
     return L.comments_with_relational_dictionary(
-        facts.comments(I.comment_changes(spark, sf_dir), DB), I.dictionary(spark, sf_dir))
+        facts.comments(I.log_of(I.comment_changes, spark, sf_dir), DB), I.dictionary(spark, sf_dir))
 
 
 def order_fact_topic(spark, sf_dir):
     """Order-detail topic written as JSON text and read back as a table with event time."""
-    lines = _plain_details(spark, sf_dir).drop("row_time").select(to_line("*").alias("value"))
+    lines = plain_details(spark, sf_dir).drop("row_time").select(to_line("*").alias("value"))
     return timed_json_table(lines, S.ORDER_DETAIL_FACT).select(
         "id", "order_id", "sku_id", "order_price", "sku_num", "ts", F.unix_seconds("row_time").alias("row_seconds"))
 
@@ -204,29 +204,29 @@ def order_fact_topic(spark, sf_dir):
 # --- routing and dimensions ---------------------------------------------------------------------------------------
 
 
-def _fact_routes(spark):
+def fact_routes(spark):
     feed = R.decode_feed(I.feed_lines(spark, I.FACT_FEED, S.FACT_ROUTE), S.FACT_ROUTE)
     snapshot = spark.createDataFrame(I.FACT_SNAPSHOT, S.FACT_ROUTE)
     return R.current_routes(snapshot, feed, S.FACT_ROUTE, R.FACT_KEY)
 
 
-def _dim_routes(spark):
+def dim_routes(spark):
     feed = R.decode_feed(I.feed_lines(spark, I.DIM_FEED, S.DIM_ROUTE), S.DIM_ROUTE)
     return R.current_routes(None, feed, S.DIM_ROUTE, R.DIM_KEY)
 
 
 def config_route_dwd(spark, sf_dir):
     """Routed facts as (target, column, value), with the number of records that carry it."""
-    routed = R.route_facts(I.generic_changes(spark, sf_dir), _fact_routes(spark))
+    routed = R.route_facts(I.generic_changes(spark, sf_dir), fact_routes(spark))
     return _cells(routed)
 
 
 def config_route_dwd_json(spark, sf_dir):
-    return R.routed_messages(R.route_facts(I.generic_changes(spark, sf_dir), _fact_routes(spark)))
+    return R.routed_messages(R.route_facts(I.generic_changes(spark, sf_dir), fact_routes(spark)))
 
 
 def config_route_dim(spark, sf_dir):
-    routed = R.route_dimensions(I.generic_changes(spark, sf_dir), _dim_routes(spark))
+    routed = R.route_dimensions(I.generic_changes(spark, sf_dir), dim_routes(spark))
     return routed.select("sink_table", "sink_family", "row_key", "type", F.explode("data").alias("col", "val"))
 
 
@@ -353,19 +353,22 @@ def log_action(spark, sf_dir):
         "ts")
 
 
-def log_split(spark, sf_dir):
-    """All five topics in one pass; each message cut down to the fields that identify it."""
-    m = B.split_messages(_log(spark, sf_dir))
-
+def message_fields(messages):
+    """Messages cut down to the fields that identify them."""
     def at(path):
         return F.get_json_object("value", path)
 
-    return m.select(
+    return messages.select(
         "topic", at("$.common.sid").alias("sid"), at("$.item").alias("item"), at("$.pos_seq").alias("pos_seq"),
         at("$.error_code").alias("error_code"), at("$.ts").alias("ts"), at("$.err").alias("err"),
         at("$.displays").alias("displays"))
 
 
+def log_split(spark, sf_dir):
+    """All five topics in one pass."""
+    return message_fields(B.split_messages(_log(spark, sf_dir)))
+
+
 # --- keywords -----------------------------------------------------------------------------------------------------
 
 
@@ -379,21 +382,21 @@ def search_keyword_json(spark, sf_dir):
     return K.search_keywords(json_table(lines, S.PAGE_INFO))
 
 
-def _part_searches(spark, sf_dir):
+def part_searches(spark, sf_dir, stream=False):
     """View events searching for a part by its name."""
     parts = I.table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    views = I.table(spark, sf_dir, "events").filter("event_type = 'view'").select(
+    views = I.table(spark, sf_dir, "events", stream).filter("event_type = 'view'").select(
         (F.col("event_id") % parts.count()).alias("p_partkey"), I.epoch_ms("ts").alias("ts"))
     return views.join(parts, "p_partkey").select(F.col("p_name").alias("keyword"), "ts")
 
 
 def keyword_window_count(spark, sf_dir):
-    words = K.split_keywords(_part_searches(spark, sf_dir), "keyword")
+    words = K.split_keywords(part_searches(spark, sf_dir), "keyword")
     return K.count_by_window(words, "10 minutes").drop("window_end")
 
 
 def keyword_tokens_regex(spark, sf_dir):
-    words = K.split_keywords(_part_searches(spark, sf_dir), "keyword", "regex", r"[a-z]+")
+    words = K.split_keywords(part_searches(spark, sf_dir), "keyword", "regex", r"[a-z]+")
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
