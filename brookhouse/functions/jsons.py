@@ -17,9 +17,10 @@ def parse_objects(raw: DataFrame, schema: T.StructType, value: str = "value") ->
     marked = T.StructType([*schema.fields, T.StructField(DIRT, T.StringType())])
     parsed = F.from_json(F.col(value), marked, {"columnNameOfCorruptRecord": DIRT})
     rest = [F.col(c) for c in raw.columns if c != value]
+    text = F.btrim(value, F.lit(" \t\r\n"))
     readable = F.coalesce(*[F.when(F.col(f.name).isNotNull(), True) for f in schema.fields], F.lit(False))
     return (
-        raw.filter(F.col(value).rlike(r"^\s*\{[\s\S]*\}\s*$"))
+        raw.filter(text.startswith("{") & text.endswith("}"))
         .select(*rest, F.inline(F.array(parsed)))
         .filter(F.col(DIRT).isNull() | readable)
         .drop(DIRT)

@@ -15,15 +15,28 @@ ORDER_EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
 ORDER_GAP = 7
 
 
+SMALL = 256 * 1024 * 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
+    stored = spark.read.parquet(path)
     if not stream:
-        return spark.read.parquet(path)
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+        return spread(stored, stored)
+    reader = spark.readStream.schema(stored.schema)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     if hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop_path).isDirectory():
-        return reader.parquet(path)
-    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)  # streams read folders, not single files
+        return spread(reader.parquet(path), stored)
+    # streams read folders, not single files
+    return spread(reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir), stored)
+
+
+def spread(df: DataFrame, stored: DataFrame) -> DataFrame:
+    """Use all cores for a small table in few files, which would be read by as many tasks; leave all others alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    few = 64 * 1024 < size < SMALL and len(stored.inputFiles()) < cores
+    return df.repartition(cores) if few else df
 
 
 def text(c) -> Column:
@@ -90,6 +103,15 @@ def log_of(maker, spark: SparkSession, sf_dir: str, stream: bool = False, end_of
     return with_times(rows)
 
 
+def as_lines(log: DataFrame) -> DataFrame:
+    """Change-log records as the JSON text that a bus carries.
+
+    `explode` keeps later filters behind the text, which they would otherwise build again for themselves.
+    """
+    line = to_line("database", "table", "type", "ts", "xid", "commit", "data", "old")
+    return log.select(F.explode(F.array(line)).alias("value"))
+
+
 # --- trade --------------------------------------------------------------------------------------------------------
 
 LINE_ID = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -314,7 +336,7 @@ def behaviour_log(spark, sf_dir, stream=False) -> DataFrame:
 
 
 def log_lines(log: DataFrame) -> DataFrame:
-    return log.select(to_line(*log.columns).alias("value"))
+    return log.select(F.explode(F.array(to_line(*log.columns))).alias("value"))
 
 
 def page_info(spark, sf_dir) -> DataFrame:

@@ -40,7 +40,7 @@ def _dirty_change_lines(spark, sf_dir) -> DataFrame:
 
     data = I.pairs(id=I.text(key), status=F.col("o_orderstatus"))
     empty = F.create_map().cast("map<string,string>")
-    return I.table(spark, sf_dir, "orders").select(
+    return I.table(spark, sf_dir, "orders").select(F.explode(F.array(
         F.when(rest == 0, "")
         .when(rest == 1, F.concat(F.lit("garbage "), I.text(key)))
         .when(rest == 2, line(DB, "bootstrap-start", data))
@@ -50,8 +50,8 @@ def _dirty_change_lines(spark, sf_dir) -> DataFrame:
         .when(rest == 6, F.concat(F.lit('{"database":"'), F.lit(DB), F.lit('","table":"orders","data":{"id":"'),
                                   I.text(key), F.lit('"}}')))
         .when(rest == 7, F.lit(None).cast("string"))
-        .otherwise(line(DB, "update", data)).alias("value")
-    )
+        .otherwise(line(DB, "update", data))
+    )).alias("value"))
 
 
 def cdc_cleanse(spark, sf_dir):
@@ -196,7 +196,7 @@ def dictionary_join(spark, sf_dir):
 
 def order_fact_topic(spark, sf_dir):
     """Order-detail topic written as JSON text and read back as a table with event time."""
-    lines = plain_details(spark, sf_dir).drop("row_time").select(to_line("*").alias("value"))
+    lines = I.log_lines(plain_details(spark, sf_dir).drop("row_time"))
     return timed_json_table(lines, S.ORDER_DETAIL_FACT).select(
         "id", "order_id", "sku_id", "order_price", "sku_num", "ts", F.unix_seconds("row_time").alias("row_seconds"))
 
@@ -307,7 +307,8 @@ def log_cleanse(spark, sf_dir):
         "displays", "actions", "err", when_not(2, F.col("ts")).alias("ts"), "n",
     )
     text = to_line(*S.BEHAVIOUR_LOG.fieldNames())
-    lines = log.select(F.when(F.col("n") % 10 == 3, F.left(text, F.lit(20))).otherwise(text).alias("value"))
+    lines = log.select(F.explode(F.array(
+        F.when(F.col("n") % 10 == 3, F.left(text, F.lit(20))).otherwise(text))).alias("value"))
     return B.clean_log(lines).select(
         F.col("common.sid").alias("sid"), F.col("common.mid").alias("mid"), F.col("page.item").alias("item"),
         F.col("start.loading_time").alias("loading_time"), F.size(F.coalesce("displays", F.array())).alias("shown"),
@@ -378,7 +379,7 @@ def search_keyword(spark, sf_dir):
 
 def search_keyword_json(spark, sf_dir):
     """The same from the JSON text of the page topic."""
-    lines = I.page_info(spark, sf_dir).select(to_line("common", "page", "ts").alias("value"))
+    lines = I.log_lines(I.page_info(spark, sf_dir))
     return K.search_keywords(json_table(lines, S.PAGE_INFO))
 
 
