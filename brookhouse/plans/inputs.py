@@ -4,6 +4,8 @@ All derivations are projections, so they hold for streams over the same files to
 key (7 seconds apart), so lines and orders agree on them without a join.
 """
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +38,7 @@ def spread(df: DataFrame, stored: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     few = 64 * 1024 < size < SMALL and len(stored.inputFiles()) < cores
-    return df.repartition(cores) if few else df
+    return df.repartition(cores, df.columns[0]) if few else df
 
 
 def text(c) -> Column:
@@ -259,19 +261,23 @@ DIM_FEED = [
 
 def feed_lines(spark, events, route) -> DataFrame:
     """Change events of a routing table as JSON text."""
-    import json
-
     names = route.fieldNames()
 
     def image(row):
         return dict(zip(names, row)) if row else None
 
     lines = [
-        (json.dumps({"before": image(b), "after": image(a), "op": op, "ts_ms": 1000 + i,
-                     "source": {"db": "config", "table": "table_process", "pos": i}}),)
+        json.dumps({"before": image(b), "after": image(a), "op": op, "ts_ms": 1000 + i,
+                    "source": {"db": "config", "table": "table_process", "pos": i}})
         for i, (op, b, a) in enumerate(events)
     ]
-    return spark.createDataFrame(lines, "value string")
+    return spark.range(0, 1, 1, 1).select(F.explode(F.array(*map(F.lit, lines))).alias("value"))
+
+
+def route_rows(spark, routes, route) -> DataFrame:
+    """Rows of a routing table."""
+    images = [F.struct(*[F.lit(v).alias(n) for n, v in zip(route.fieldNames(), r)]) for r in routes]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*images)))
 
 
 def dim_changes(spark, sf_dir) -> DataFrame:

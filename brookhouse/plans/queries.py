@@ -206,7 +206,7 @@ def order_fact_topic(spark, sf_dir):
 
 def fact_routes(spark):
     feed = R.decode_feed(I.feed_lines(spark, I.FACT_FEED, S.FACT_ROUTE), S.FACT_ROUTE)
-    snapshot = spark.createDataFrame(I.FACT_SNAPSHOT, S.FACT_ROUTE)
+    snapshot = I.route_rows(spark, I.FACT_SNAPSHOT, S.FACT_ROUTE)
     return R.current_routes(snapshot, feed, S.FACT_ROUTE, R.FACT_KEY)
 
 
