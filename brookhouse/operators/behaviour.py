@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from brookhouse import schemas as S
 from brookhouse.functions.dates import DAY_MS, day_of
 from brookhouse.functions.jsons import parse_objects, to_line
-from brookhouse.operators.sizing import materialise
+from brookhouse.operators.joins import interval_join
+from brookhouse.operators.sizing import fits, materialise
+from brookhouse.operators.skew import NO_SALT, Salt
 
 
 def clean_log(raw: DataFrame, schema=S.BEHAVIOUR_LOG) -> DataFrame:
@@ -42,14 +44,13 @@ def first_day(code: Column, zone: str | None = None) -> Column:
 
 
 def first_visits(log: DataFrame) -> DataFrame:
-    """First deciding record per device, and the span of its records that say new."""
+    """First deciding record per device, the span of its records that say new, and how many records it has."""
     ts, is_new = F.col("ts"), F.col("common.is_new")
     new_ts = F.when(is_new == "1", ts)
     return (
         log.groupBy(F.col("common.mid").alias("mid"))
         .agg(F.min(visit_code(ts, is_new)).alias("code"), F.min(new_ts).alias("new_from"),
-             F.max(new_ts).alias("new_to"))
-        .filter(F.col("code").isNotNull())
+             F.max(new_ts).alias("new_to"), F.count("*").alias("n"))
     )
 
 
@@ -61,23 +62,40 @@ def devices_to_repair(visits: DataFrame, zone: str | None = None) -> DataFrame:
     ).select("mid", day.alias("_first_day"))
 
 
-def repair_with(log: DataFrame, devices: DataFrame, zone: str | None = None) -> DataFrame:
+def busy_devices(visits: DataFrame, share: float = 0.02, parts: int = 64) -> Salt:
+    """Devices with at least `share` of all records: at most 1 / share of them."""
+    total = visits.agg(F.sum("n")).first()[0] or 0
+    busy = visits.filter(F.col("n") >= max(share * total, 1)).select("mid").limit(int(1 / share)).collect()
+    return Salt(parts, tuple(sorted(r.mid for r in busy))) if busy else NO_SALT
+
+
+def repair_with(log: DataFrame, devices: DataFrame, zone: str | None = None, salt: Salt = NO_SALT) -> DataFrame:
     """Rewrite the flag of records that say new on another day than their device's first."""
-    joined = log.join(devices.withColumnRenamed("mid", "_mid"), F.col("common.mid") == F.col("_mid"), "left")
+    joined = interval_join(log.withColumn("_mid", F.col("common.mid")), devices, "_mid", "mid", None, "left", salt)
     wrong = (F.col("common.is_new") == "1") & (day_of(F.col("ts"), zone) != F.col("_first_day"))
     fixed = F.when(wrong, F.lit("0")).otherwise(F.col("common.is_new"))
     return joined.withColumn("common", F.col("common").withField("is_new", fixed)).select(*log.columns)
 
 
+def repair_from(log: DataFrame, visits: DataFrame, zone: str | None = None) -> DataFrame:
+    """Repair with stored first visits.
+
+    Only devices that need it are joined back: by broadcast if they are few, and the log is not shuffled; otherwise by
+    shuffle, with the records of busy devices dealt to several tasks.
+    """
+    devices = devices_to_repair(visits, zone)
+    if fits(devices):
+        return repair_with(log, F.broadcast(devices), zone)
+    return repair_with(log, devices, zone, busy_devices(visits))
+
+
 def repair_visitors(log: DataFrame, zone: str | None = None) -> DataFrame:
     """New-visitor repair of a batch.
 
-    Finding the first visits is a minimum per device (reduced before the shuffle). Only devices that need a repair
-    are joined back; they are written out first, so the planner broadcasts them if they are few, and otherwise
-    shuffles with skew handling. No task sees all records of a device.
+    Finding the first visits is a minimum per device, reduced before the shuffle and written out: one row per device.
+    No task sees all records of a device.
     """
-    devices = materialise(devices_to_repair(first_visits(log), zone), "visitors")
-    return repair_with(log, devices, zone)
+    return repair_from(log, materialise(first_visits(log), "visitors"), zone)
 
 
 # --- split --------------------------------------------------------------------------------------------------------

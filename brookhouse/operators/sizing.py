@@ -11,16 +11,18 @@ MAX_ROWS = 200_000
 MAX_BYTES = 32 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """Ask for a broadcast only if the rows, counted and weighed now, fit the bounds.
-
-    Anything larger is returned as it is and joins by shuffle. At most `max_rows + 1` rows are looked at.
-    """
+def fits(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
+    """Count and weigh the rows now; at most `max_rows + 1` of them are looked at."""
     weight = F.octet_length(F.to_json(F.struct("*")))
     rows, size = (
         df.limit(max_rows + 1).select(weight.alias("w")).agg(F.count("*"), F.coalesce(F.sum("w"), F.lit(0))).first()
     )
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+    return rows <= max_rows and size <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Ask for a broadcast only if the rows fit the bounds; anything larger is left to join by shuffle."""
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
 
 
 def scratch_dir(spark: SparkSession) -> str:

@@ -17,6 +17,7 @@ from brookhouse.operators import routing as R
 from brookhouse.operators.changes import cells, clean_changes, parse_changes
 from brookhouse.operators.dimension import fold_cells
 from brookhouse.operators.latest import keyed_messages, latest_by_key
+from brookhouse.operators.skew import NO_SALT, every_key, hot_keys
 from brookhouse.plans import inputs as I
 from brookhouse.sources.bus import change_log, json_table, timed_json_table
 
@@ -119,12 +120,14 @@ def payment_success_update(spark, sf_dir):
 
 
 def details(spark, sf_dir, bounds=J.SAME_PURCHASE, stream=False):
+    lines = facts.order_detail_inserts(I.log_of(I.order_detail_changes, spark, sf_dir, stream, "order_detail"), DB)
     return J.order_detail_wide(
-        facts.order_detail_inserts(I.log_of(I.order_detail_changes, spark, sf_dir, stream, "order_detail"), DB),
+        lines,
         facts.order_info_inserts(I.log_of(I.order_info_changes, spark, sf_dir, stream, "order_info"), DB),
         facts.activity_inserts(I.log_of(I.activity_changes, spark, sf_dir, stream, "order_detail_activity"), DB),
         facts.coupon_inserts(I.log_of(I.coupon_changes, spark, sf_dir, stream, "order_detail_coupon"), DB),
         bounds,
+        *([every_key(2), NO_SALT] if stream else [hot_keys(lines, "order_id"), hot_keys(lines, "id")]),
     )
 
 
@@ -144,25 +147,32 @@ def plain_details(spark, sf_dir, stream=False):
     return base.select("*", *absent).select(*S.ORDER_DETAIL_FACT.fieldNames(), "row_time")
 
 
+def _cancelled(spark, sf_dir, bounds):
+    lines = plain_details(spark, sf_dir)
+    cancels = facts.order_cancels(I.log_of(I.order_cancel_changes, spark, sf_dir), DB)
+    return J.order_cancel_wide(lines, cancels, bounds, hot_keys(lines, "order_id"))
+
+
 def order_cancel(spark, sf_dir):
-    return J.order_cancel_wide(
-        plain_details(spark, sf_dir), facts.order_cancels(I.log_of(I.order_cancel_changes, spark, sf_dir), DB))
+    return _cancelled(spark, sf_dir, J.CANCEL_WINDOW)
 
 
 def order_cancel_unbounded(spark, sf_dir):
-    return J.order_cancel_wide(
-        plain_details(spark, sf_dir), facts.order_cancels(I.log_of(I.order_cancel_changes, spark, sf_dir), DB), None)
+    return _cancelled(spark, sf_dir, None)
+
+
+def _paid(spark, sf_dir, bounds=J.PAYMENT_WINDOW):
+    lines = plain_details(spark, sf_dir)
+    done = facts.payments(I.log_of(I.payment_changes, spark, sf_dir), DB)
+    return J.paid_order_lines(lines, done, bounds, hot_keys(lines, "order_id"))
 
 
 def payment_interval(spark, sf_dir):
-    return J.paid_order_lines(
-        plain_details(spark, sf_dir), facts.payments(I.log_of(I.payment_changes, spark, sf_dir), DB)).drop("proc_time")
+    return _paid(spark, sf_dir).drop("proc_time")
 
 
 def payment_interval_after_order(spark, sf_dir):
-    return J.paid_order_lines(
-        plain_details(spark, sf_dir), facts.payments(I.log_of(I.payment_changes, spark, sf_dir), DB), J.PAYMENT_AFTER_ORDER
-    ).drop("proc_time")
+    return _paid(spark, sf_dir, J.PAYMENT_AFTER_ORDER).drop("proc_time")
 
 
 def click_purchase_interval(spark, sf_dir):
@@ -177,9 +187,7 @@ def click_purchase_interval(spark, sf_dir):
 
 
 def payment_success(spark, sf_dir):
-    paid = J.paid_order_lines(
-        plain_details(spark, sf_dir), facts.payments(I.log_of(I.payment_changes, spark, sf_dir), DB))
-    return L.payment_facts(paid, L.dictionary_rows(I.dictionary(spark, sf_dir), "dic_code"))
+    return L.payment_facts(_paid(spark, sf_dir), L.dictionary_rows(I.dictionary(spark, sf_dir), "dic_code"))
 
 
 def comment_lookup(spark, sf_dir):

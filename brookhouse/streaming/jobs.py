@@ -10,6 +10,7 @@ from brookhouse import schemas as S
 from brookhouse.operators import behaviour, facts, joins, keyword, lookup, routing
 from brookhouse.operators.changes import clean_changes, parse_changes
 from brookhouse.operators.latest import latest_by_key
+from brookhouse.operators.skew import every_key
 from brookhouse.sources.bus import Bus, change_log, json_table, timed_json_table
 from brookhouse.sources.jdbc import read_routes
 from brookhouse.streaming import sinks
@@ -26,7 +27,8 @@ DIM_FEED = "table_process_dim"
 class Settings:
     """Where a deployment keeps its things. `database` is the shop's database, `warehouse` and `checkpoints` shared folders.
 
-    `zone` decides calendar days (None: session zone). `config_url` preloads routing tables over JDBC.
+    `zone` decides calendar days (None: session zone). `salt` is the number of tasks that share the lines of one order
+    in joins; orders are copied as often. `config_url` preloads routing tables over JDBC.
     """
 
     bus: Bus
@@ -36,6 +38,7 @@ class Settings:
     zone: str | None = None
     trigger: dict = field(default_factory=lambda: {"availableNow": True})
     delay: str = "5 seconds"
+    salt: int = 4
     window: str = "10 seconds"
     config_url: str | None = None
     config_properties: dict[str, str] = field(default_factory=dict)
@@ -127,6 +130,7 @@ def dwd_trade_order_detail(spark: SparkSession, s: Settings) -> StreamingQuery:
         facts.order_info_inserts(s.changes(spark, "order_info"), db),
         facts.activity_inserts(s.changes(spark, "order_detail_activity"), db),
         facts.coupon_inserts(s.changes(spark, "order_detail_coupon"), db),
+        order_salt=every_key(s.salt),
     ).drop("row_time")
     messages = sinks.upsert_messages(wide, S.ORDER_DETAIL, ["id"])
     return s.run(messages, "dwd_trade_order_detail", s.publish("dwd_trade_order_detail"))
@@ -136,6 +140,7 @@ def dwd_trade_order_cancel_detail(spark: SparkSession, s: Settings) -> Streaming
     rows = joins.order_cancel_wide(
         timed_json_table(s.bus.stream(spark, S.ORDER_DETAIL), S.ORDER_DETAIL_FACT, s.delay),
         facts.order_cancels(s.changes(spark, "order_info"), s.database),
+        salt=every_key(s.salt),
     )
     name = "dwd_trade_order_cancel_detail"
     return s.run(sinks.json_messages(rows, S.ORDER_CANCEL), name, s.publish(name))
@@ -163,6 +168,7 @@ def dwd_trade_order_pay_suc_detail(
         timed_json_table(s.bus.stream(spark, S.ORDER_DETAIL), S.ORDER_DETAIL_FACT, s.delay),
         facts.payments(s.changes(spark, "payment_info"), s.database),
         bounds,
+        every_key(s.salt),
     )
     table = payment_table(spark, s)
 

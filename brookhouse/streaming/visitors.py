@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from brookhouse.functions.dates import DAY_MS
-from brookhouse.operators.behaviour import devices_to_repair, first_visits, repair_with
+from brookhouse.operators.behaviour import first_visits, repair_from
 from brookhouse.streaming.keyedlog import KeyedLog
 
 FIRST_VISIT = T.StructType([T.StructField("mid", T.StringType()), T.StructField("code", T.LongType())])
@@ -37,9 +37,8 @@ class VisitorLog:
         known = self.log.read(before=batch_id).select("mid", F.col("code").alias("_known"))
         visits = first_visits(log).join(known, "mid", "left").persist()
         try:
-            self.log.append(visits.filter(F.col("_known").isNull()), batch_id)
-            merged = visits.withColumn("code", F.coalesce("_known", "code")).drop("_known")
-            yield repair_with(log, devices_to_repair(merged, self.zone), self.zone)
+            self.log.append(visits.filter(F.col("_known").isNull() & F.col("code").isNotNull()), batch_id)
+            yield repair_from(log, visits.withColumn("code", F.coalesce("_known", "code")), self.zone)
         finally:
             visits.unpersist()
             log.unpersist()

@@ -1,0 +1,97 @@
+"""Shape of the physical plans: what reaches the scan, what is shuffled, what is broadcast, how hot keys are split."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from brookhouse.operators import behaviour as B
+from brookhouse.operators.dimension import fold_cells
+from brookhouse.operators.latest import latest_by_key
+from brookhouse.plans import queries as Q
+from tests.conftest import SF
+
+
+@pytest.fixture
+def conf(spark):
+    changed = {}
+
+    def set_conf(**kw):
+        for k, v in kw.items():
+            name = "spark.sql." + k.replace("__", ".")
+            changed[name] = spark.conf.get(name, None)
+            spark.conf.set(name, v)
+    yield set_conf
+    for name, before in changed.items():
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    df.collect()
+    return plan(df).split("+- == Initial Plan ==")[0]
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    scan = plan(Q.order_cancel_update(spark, SF))
+    assert "PushedFilters: [In(o_orderstatus" in scan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in scan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int,l_tax:double>" in plan(
+        Q.order_coupon_insert(spark, SF))
+
+
+def test_filters_and_splits_do_not_shuffle(spark):
+    log = spark.createDataFrame([], "common struct<mid:string,is_new:string>, page struct<page_id:string>, "
+                                    "start struct<entry:string>, displays array<struct<pos_seq:bigint,item:string,"
+                                    "item_type:string,pos_id:bigint>>, actions array<struct<action_id:string,"
+                                    "item:string,item_type:string,ts:bigint>>, err struct<msg:string>, ts bigint")
+    for out in (B.pages(log), B.displays(log), B.actions(log), B.split_messages(log)):
+        assert "Exchange" not in plan(out)
+
+
+def test_optional_joins_share_one_shuffle_of_the_lines(spark, conf):
+    conf(autoBroadcastJoinThreshold="-1")
+    text = final_plan(Q.order_detail_wide(spark, SF))
+    assert text.count("SortMergeJoin") == 3
+    by_line = [ln for ln in text.splitlines() if "Exchange hashpartitioning(id#" in ln]
+    by_order = [ln for ln in text.splitlines() if "Exchange hashpartitioning(order_id#" in ln]
+    assert (len(by_order), len(by_line)) == (1, 1)
+
+
+def test_dictionary_lookups_are_broadcast(spark, conf):
+    conf(autoBroadcastJoinThreshold="-1")  # the measured hint decides, not the estimate
+    for query in (Q.comment_lookup, Q.payment_success, Q.config_route_dwd):
+        assert "BroadcastHashJoin" in plan(query(spark, SF)), query
+
+
+def test_keyed_folds_reduce_before_the_shuffle(spark):
+    df = spark.range(10).select(F.lit("k").alias("k"), "id", F.lit("insert").alias("type"),
+                                F.create_map(F.lit("a"), F.lit("1")).alias("data"))
+    assert "partial_max" in plan(fold_cells(df, ["k"], ["a"], F.col("id")))
+    assert "partial_max_by" in plan(latest_by_key(df.drop("data"), ["k"], F.col("id")))
+    log = df.select(F.struct(F.lit("m").alias("mid"), F.lit("1").alias("is_new")).alias("common"), F.col("id").alias("ts"))
+    visits = plan(B.first_visits(log))
+    assert "HashAggregate" in visits and "partial_min" in visits and "SortAggregate" not in visits
+
+
+def test_a_busy_device_is_split(spark, conf, monkeypatch):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    monkeypatch.setattr(B, "fits", lambda df: False)
+    log = spark.range(0, 40_000, 1, 8).select(
+        F.struct(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("mid"),
+                 F.lit("1").alias("is_new")).alias("common"),
+        (F.col("id") * 3_600_000).alias("ts"))
+    fixed = B.repair_from(log, B.first_visits(log), "UTC")
+    tasks = fixed.filter("common.mid = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == 4
+    wrong = [i for i in range(40_000) if i % 3 > 0 and i >= 24]
+    assert fixed.filter("common.is_new = '0'").count() == len(wrong)
+
+
+def test_the_log_is_not_shuffled_for_few_repairs(spark, conf):
+    conf(autoBroadcastJoinThreshold="-1")
+    log = spark.range(100).select(F.struct((F.col("id") % 3).cast("string").alias("mid"), F.lit("1").alias("is_new")).alias("common"),
+                                  (F.col("id") * 3_600_000).alias("ts"))
+    text = plan(B.repair_visitors(log, "UTC"))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
