@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from brookhouse.functions.jsons import to_line
 from brookhouse.operators.changes import with_times
+from brookhouse.operators.sizing import materialise
 
 DATABASE = "shop"
 ORDER_EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
@@ -205,14 +206,15 @@ def cart_changes(spark, sf_dir, stream=False) -> DataFrame:
 
 
 def dictionary(spark, sf_dir) -> DataFrame:
-    """Dictionary of the order priorities, but for code 5; in the relational shape."""
-    return (
+    """Dictionary of the order priorities, but for code 5; in the relational shape. Written out, as lookups weigh it."""
+    return materialise(
         table(spark, sf_dir, "orders")
         .select(F.substring("o_orderpriority", 1, 1).alias("dic_code"),
                 F.expr("substring(o_orderpriority, 3)").alias("dic_name"))
         .filter("dic_code <> '5'")
         .distinct()
-        .withColumn("parent_code", F.lit("11"))
+        .withColumn("parent_code", F.lit("11")),
+        "dictionary",
     )
 
 

@@ -180,6 +180,8 @@ SELECT o_orderkey AS id, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGIN
 SELECT id, '{{"id":"' || id || '","sku_num":"' || sku_num || '","ts":' || ts || '}}' AS value FROM ({CART})""",
     "comment_insert": COMMENTS,
     "order_detail_insert": DETAIL,
+    "order_detail_view": f"""
+SELECT sku_id, count(*) AS n, CAST(sum(CAST(sku_num AS BIGINT)) AS BIGINT) AS goods FROM ({DETAIL}) GROUP BY sku_id""",
     "order_info_insert": BUYER,
     "order_activity_insert": ACTIVITIES,
     "order_coupon_insert": COUPONS,

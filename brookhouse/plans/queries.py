@@ -99,6 +99,13 @@ def order_detail_insert(spark, sf_dir):
     return facts.order_detail_inserts(I.log_of(I.order_detail_changes, spark, sf_dir), DB).drop("row_time")
 
 
+def order_detail_view(spark, sf_dir):
+    """An intermediate result under a name, queried with SQL."""
+    order_detail_insert(spark, sf_dir).createOrReplaceTempView("order_detail_rows")
+    return spark.sql("SELECT sku_id, count(*) AS n, sum(CAST(sku_num AS BIGINT)) AS goods FROM order_detail_rows "
+                     "GROUP BY sku_id")
+
+
 def order_info_insert(spark, sf_dir):
     return facts.order_info_inserts(I.log_of(I.order_info_changes, spark, sf_dir), DB).drop("row_time")
 
@@ -437,7 +444,8 @@ BATCH: dict[str, Query] = {
     f.__name__: f
     for f in (
         cdc_cleanse, cdc_cleanse_generic, exact_money, cart_add, cart_add_json, comment_insert, order_detail_insert,
-        order_info_insert, order_activity_insert, order_coupon_insert, order_cancel_update, payment_success_update,
+        order_detail_view, order_info_insert, order_activity_insert, order_coupon_insert, order_cancel_update,
+        payment_success_update,
         order_detail_wide, order_detail_wide_unbounded, order_cancel, order_cancel_unbounded, payment_interval,
         payment_interval_after_order, click_purchase_interval, payment_success, comment_lookup, dictionary_join,
         order_fact_topic, config_route_dwd, config_route_dwd_json, config_route_dim, dim_cell_merge,
