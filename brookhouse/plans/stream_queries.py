@@ -3,7 +3,9 @@
 Output and checkpoint go to the shared scratch folder.
 """
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookhouse.operators import behaviour as B
@@ -22,14 +24,34 @@ NOW = {"availableNow": True}
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """Change a session setting for the streams started inside; they keep it, the session does not."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
+def state_partitions(spark: SparkSession):
+    """A stream keeps the number of state partitions it starts with; one machine needs no more than it has cores."""
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.sparkContext.master.startswith("local"):
+        wanted = min(wanted, spark.sparkContext.defaultParallelism)
+    return setting(spark, "spark.sql.shuffle.partitions", str(wanted))
+
+
 def drain(rows: DataFrame, name: str) -> DataFrame:
     """Run a stream to the end of its input into a table, and read the table."""
     spark, root = rows.sparkSession, new_scratch(rows.sparkSession, name)
-    query = (
-        rows.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").outputMode("append")
-        .trigger(**NOW).start(f"{root}/out")
-    )
-    query.awaitTermination()
+    with state_partitions(spark):
+        query = (
+            rows.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+            .outputMode("append").trigger(**NOW).start(f"{root}/out")
+        )
+        query.awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{root}/out")
 
 
@@ -40,7 +62,8 @@ def drain_batches(rows: DataFrame, name: str, each) -> DataFrame:
     def sink(batch, batch_id):
         each(root, batch, batch_id).write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
 
-    start(rows, name, f"{root}/checkpoint", NOW, sink).awaitTermination()
+    with state_partitions(spark):
+        start(rows, name, f"{root}/checkpoint", NOW, sink).awaitTermination()
     return spark.read.option("mergeSchema", "false").parquet(f"{root}/out").drop("batch_id")
 
 
@@ -105,14 +128,9 @@ def stream_visitor_fix(spark, sf_dir):
 
 def stream_visitor_fix_native(spark, sf_dir):
     """First visits kept in the state store."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB)
-    try:
-        log = B.complete_records(I.behaviour_log(spark, sf_dir, True))
+    log = B.complete_records(I.behaviour_log(spark, sf_dir, True))
+    with setting(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB):
         return drain(_visitors(repair_stream(log, Q.UTC)), "stream_visitor_fix_native")
-    finally:
-        spark.conf.set(key, before) if before else spark.conf.unset(key)
 
 
 def stream_log_split(spark, sf_dir):

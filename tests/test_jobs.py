@@ -316,3 +316,16 @@ def test_jdbc_sink_options(monkeypatch):
     append_jdbc(Writer(), "jdbc:x", "t", {"user": "u"})
     assert Writer.seen == {"format": "jdbc", "url": "jdbc:x", "dbtable": "t", "user": "u", "mode": "append",
                            "saved": True}
+
+
+def test_console(shop, tmp_path):
+    from brookhouse.streaming.sinks import to_console
+
+    shop.send(S.TRAFFIC_PAGE, {"ts": 1})
+    query = to_console(shop.bus.stream(shop.spark, S.TRAFFIC_PAGE), str(tmp_path / "console"), {"availableNow": True})
+    query.awaitTermination()
+    assert query.recentProgress[-1].numInputRows == 1
+
+
+def test_jobs_are_complete():
+    assert len(jobs.JOBS) == 9
