@@ -58,15 +58,21 @@ class Settings:
     def dimensions(self, spark: SparkSession) -> DimensionTables:
         return DimensionTables(spark, f"{self.warehouse}/dim")
 
+    def dimension(self, spark: SparkSession, sink_table: str, columns: list[str]) -> DataFrame:
+        """Current rows of a dimension table, by the configuration as it is now; a dropped table has none.
+
+        A table that only the preloaded snapshot names has had no action and is in generation 0.
+        """
+        actions = routing.registry_actions(self.feed(spark, DIM_FEED, S.DIM_ROUTE)).filter(
+            F.col("sink_table") == sink_table)
+        current = routing.registered_tables(actions).first()
+        dropped = current is None and not actions.isEmpty()
+        rows = self.dimensions(spark).read(sink_table, columns, current["generation"] if current else 0)
+        return rows.limit(0) if dropped else rows
+
     def dictionary(self, spark: SparkSession) -> DataFrame:
         """Dictionary as it is now."""
-        feed = self.feed(spark, DIM_FEED, S.DIM_ROUTE)
-        row = (
-            routing.registered_tables(routing.registry_actions(feed))
-            .filter(F.col("sink_table") == S.DIM_DICTIONARY).first()
-        )
-        rows = self.dimensions(spark).read(S.DIM_DICTIONARY, ["dic_name"], row["generation"] if row else 0)
-        return lookup.dictionary_rows(rows, "row_key")
+        return lookup.dictionary_rows(self.dimension(spark, S.DIM_DICTIONARY, ["dic_name"]), "row_key")
 
     def feed(self, spark: SparkSession, topic: str, route) -> DataFrame:
         """All changes of a routing table up to now."""

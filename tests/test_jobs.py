@@ -93,8 +93,9 @@ def test_dimension_tables_follow_data_and_configuration(shop):
     shop.send(S.TOPIC_DB, change("user_info", "insert", 3, {"id": 1, "name": "new", "city": "e"}),
               change("base_dic", "insert", 3, {"dic_code": "12", "dic_name": "late"}))
     shop.run(jobs.dim_app)
-    assert rows(tables.read("dim_user", ["id", "name", "city"], generation=5)) == [
+    assert rows(shop.settings.dimension(shop.spark, "dim_user", ["id", "name", "city"])) == [
         {"row_key": "1", "id": "1", "name": "new", "city": None}]
+    assert rows(shop.settings.dictionary(shop.spark)) == []
     assert [r["row_key"] for r in rows(tables.read("dim_base_dic", ["dic_name"]))] == ["11"]
 
 
