@@ -1,6 +1,7 @@
 """The registered queries of this package and the SQL for those that SQL can express."""
 
 from brookhouse.llm.minhash import op8_minhash
+from brookhouse.llm.quality import op7_quality
 
-QUERIES = {query.__name__: query for query in (op8_minhash,)}
+QUERIES = {query.__name__: query for query in (op7_quality, op8_minhash)}
 ORACLES: dict[str, str] = {}
