@@ -4,6 +4,7 @@ from brookhouse.llm.decontaminate import op5_decontaminate
 from brookhouse.llm.minhash import op8_minhash
 from brookhouse.llm.mixing import op4_mixing
 from brookhouse.llm.quality import op7_quality
+from brookhouse.llm.tokens import op3_tokens
 
-QUERIES = {query.__name__: query for query in (op4_mixing, op5_decontaminate, op7_quality, op8_minhash)}
+QUERIES = {query.__name__: query for query in (op3_tokens, op4_mixing, op5_decontaminate, op7_quality, op8_minhash)}
 ORACLES: dict[str, str] = {}
