@@ -6,12 +6,13 @@ reach the match threshold T of H coordinates if it shares one of the H - T + 1 r
 
 1. each member is compared with the roots of its list only and joins the one it collides with most, so a list of
    copies costs its length and not its square; these pairs are confirmed on the full sets and give first components;
-2. lists whose members are all in one component are skipped whole; in the others, all pairs from different components
-   with at least T collisions are confirmed.
+2. lists whose members are all in one component are skipped whole; the others are merged to families that share
+   members, and the full sets of a family's documents in different components are compared, each pair at most once. Only
+   links that join two components are returned, so a family costs rows by its length here too.
 
 A link that is never compared lies between classes that are connected already, so the components lose nothing. T is
-set so that a pair at the similarity bound misses it with a probability of at most `MISS`. Long lists are split:
-in round 1 into blocks, in round 2 members of the list's largest component are dealt to blocks that all others visit.
+set so that a pair at the similarity bound misses it with a probability of at most `MISS`. Long lists and families are
+split into blocks; in a family, blocks of its largest component are compared with those of the others only.
 """
 
 from __future__ import annotations
@@ -33,8 +34,9 @@ from brookhouse.llm.words import mix, shingle_sets, text_slices
 
 COORDINATES = 32
 MISS = 2e-5
-#: Members of a posting list that one task compares with each other.
+#: Members of a posting list, and shingles of a family, that one task compares with each other.
 BLOCK = 2048
+BLOCK_SHINGLES = 500_000
 
 _seeds = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
@@ -66,7 +68,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     confirmed = keep(_confirm(_walk_roots(postings, match_threshold(percent)), texts, words, percent))
     first = keep(components(confirmed))
-    late = _confirm(_walk_rest(postings, first, match_threshold(percent)), texts, words, percent)
+    late = _rest(postings, first, texts, words, percent)
     edges = confirmed.unionByName(late).unionByName(member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     found = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
     return (
@@ -129,19 +131,75 @@ def _walk_roots(postings: DataFrame, threshold: int) -> DataFrame:
     return _dealt(postings, block).mapInArrow(partial(_roots, threshold=threshold), "a long, b long").distinct()
 
 
-def _walk_rest(postings: DataFrame, first: DataFrame, threshold: int) -> DataFrame:
-    placed = postings.join(first.select(F.col("node").alias("id"), "component"), "id", "left").withColumn(
-        "component", F.coalesce("component", "id"))
-    mixed = (
-        placed.groupBy("post", "component").agg(F.count("*").alias("n"))
-        .groupBy("post").agg(F.count("*").alias("components"), F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("total"))
-        .where("components > 1").select("post", F.col("most.component").alias("main"), F.ceil(F.col("total") / BLOCK).cast("int").alias("dealt"))
-    )
-    rows = placed.join(mixed, "post").withColumn("home", F.pmod(F.xxhash64("id", "post"), F.col("dealt")).cast("int"))
-    rows = rows.withColumn("main", F.col("component") == F.col("main")).withColumn(
-        "block", F.explode(F.when(F.col("main"), F.array("home")).otherwise(F.sequence(F.lit(0), F.col("dealt") - 1))))
-    return _dealt(rows, F.col("block"), "component", "main", "home").mapInArrow(
-        partial(_cross, threshold=threshold), "a long, b long").distinct()
+def _rest(postings: DataFrame, first: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) that join all first components that any link between them joins."""
+    placed = postings.select("post", "id").join(first.select(F.col("node").alias("id"), "component"), "id", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "id"))
+    each = placed.groupBy("post", "component").agg(F.min("id").alias("id"))
+    mixed = each.groupBy("post").agg(F.count("*").alias("components"), F.min("id").alias("least")).where("components > 1")
+    # a link lies in one list, so within the lists that share members
+    star = keep(each.join(mixed, "post").select(F.col("least").alias("a"), F.col("component").alias("b"), "id", "component").distinct())
+    sharing = star.select("a", F.col("id").alias("b")).unionByName(star.select(F.col("id").alias("a"), F.col("component").alias("b")))
+    family = components(sharing).select(F.col("node").alias("component"), F.col("component").alias("family"))
+    members = keep(postings.select("id").distinct().join(first.select(F.col("node").alias("id"), "component"), "id", "left")
+                   .withColumn("component", F.coalesce("component", "id")).join(family, "component")
+                   .join(texts.withColumnRenamed("doc_id", "id"), "id").select("family", "component", "id", "text")
+                   .mapInArrow(partial(_with_set, words=words), "family long, component long, id long, size long, shingles binary"))
+    sizes = members.groupBy("family", "component").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    sizes = sizes.groupBy("family").agg(
+        F.max(F.struct("n", "component", "size")).alias("main"), F.sum("n").alias("n"), F.sum("size").alias("size"))
+    blocks = lambda n, size: F.ceil(F.greatest(n / F.lit(BLOCK), size / F.lit(BLOCK_SHINGLES))).cast("int")
+    plan = sizes.select("family", F.col("main.component").alias("main"), blocks(F.col("main.n"), F.col("main.size")).alias("m"),
+                        blocks(F.col("n") - F.col("main.n"), F.col("size") - F.col("main.size")).alias("r")).where("r > 0")
+    # blocks 0..m-1 hold the largest component and are not compared with each other, m..m+r-1 hold the others
+    rows = members.join(plan, "family").withColumn("is_main", F.col("component") == F.col("main"))
+    rows = rows.withColumn("block", F.when(F.col("is_main"), F.pmod(F.xxhash64("id"), F.col("m"))).otherwise(
+        F.col("m") + F.pmod(F.xxhash64("id"), F.col("r"))).cast("int"))
+    other = F.explode(F.when(F.col("is_main"), F.sequence("m", F.col("m") + F.col("r") - 1)).otherwise(F.sequence(F.lit(0), F.col("m") + F.col("r") - 1)))
+    rows = rows.select("family", "component", "id", "block", "shingles", other.alias("other")).select(
+        "family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "component", "id", "shingles")
+    return rows.repartition("family", "low", "high").sortWithinPartitions("family", "low", "high").mapInArrow(
+        partial(_join_blocks, percent=percent), "a long, b long")
+
+
+def _with_set(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for t in text_slices(batch.column(3)):
+            sets = shingle_sets(t, words)
+            own = batch.slice(t.first, t.last - t.first)
+            yield pa.RecordBatch.from_arrays([*own.columns[:3], pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
+                                             ["family", "component", "id", "size", "shingles"])
+
+
+def _join_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Compare the full sets of two blocks (or of one with itself) as long as they are in different components."""
+    for group in sorted_groups(batches, ["family", "low", "high"]):
+        ids, label, block = (group[name].to_numpy().copy() for name in ("id", "component", "block"))
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in group["shingles"]]
+        sizes = np.array([len(x) for x in sets])
+        begins = np.cumsum(sizes) - sizes
+        known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        has = np.zeros(len(known), bool)
+        low, high = group["low"][0].as_py(), group["high"][0].as_py()
+        second = np.flatnonzero(block == high)
+        first = np.flatnonzero(block == low)
+        if len(first) > len(second):
+            first, second = second, first
+        at = np.repeat(begins[second] - np.cumsum(sizes[second]) + sizes[second], sizes[second]) + np.arange(int(sizes[second].sum()))
+        flat_second, begins_second = flat[at], np.cumsum(sizes[second]) - sizes[second]
+        a, b = [], []
+        for i in first if len(second) else ():
+            own = flat[begins[i] : begins[i] + sizes[i]]
+            has[own] = True
+            both = np.add.reduceat(has[flat_second], begins_second, dtype=np.int64)
+            has[own] = False
+            linked = second[100 * both >= percent * (sizes[i] + sizes[second] - both)]
+            for other in linked:
+                if label[other] != label[i]:
+                    a.append(int(ids[i]))
+                    b.append(int(ids[other]))
+                    label[label == label[other]] = label[i]
+        yield _pairs(a, b)
 
 
 def _matrix(values: pa.ChunkedArray) -> np.ndarray:
@@ -185,20 +243,6 @@ def _roots(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.Rec
     yield _pairs(a, b)
 
 
-def _cross(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
-    for group in sorted_groups(batches, ["post", "block"]):
-        ids, owner, main = (group[name].to_numpy() for name in ("id", "component", "main"))
-        home, block, matrix = group["home"].to_numpy(), group["block"][0].as_py(), _matrix(group["values"])
-        for i in np.flatnonzero(~main):
-            # of two that both visit every block, the pair belongs to the block of the smaller one
-            other = main | ((home[i] == block) & (ids > ids[i]))
-            other &= owner != owner[i]
-            found = np.flatnonzero(other)
-            found = found[(matrix[found] == matrix[i]).sum(axis=1) >= threshold]
-            if len(found):
-                yield _pairs(np.minimum(ids[i], ids[found]), np.maximum(ids[i], ids[found]))
-
-
 def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
@@ -220,5 +264,11 @@ def _similar(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Ite
             yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
+def distinct_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs without those that have a smaller doc_id in their component; rows with equal doc_id stay together."""
+    dropped = near_duplicates(docs.select("doc_id", "text"), words, percent).where("not kept").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+
+
 def op8_minhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), words=3, percent=85)
