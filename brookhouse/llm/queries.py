@@ -1,10 +1,21 @@
 """The registered queries of this package and the SQL for those that SQL can express."""
 
+import corpus_pipeline
 from brookhouse.llm.decontaminate import op5_decontaminate
+from brookhouse.llm.languages import op6_languages
+from brookhouse.llm.lines import OP2_SQL, op2_lines
 from brookhouse.llm.minhash import op8_minhash
 from brookhouse.llm.mixing import op4_mixing
+from brookhouse.llm.neardup_vectors import op1_embeddings
+from brookhouse.llm.pages import op9_pages
 from brookhouse.llm.quality import op7_quality
 from brookhouse.llm.tokens import op3_tokens
+from brookhouse.llm.urls import op10_urls
 
-QUERIES = {query.__name__: query for query in (op3_tokens, op4_mixing, op5_decontaminate, op7_quality, op8_minhash)}
-ORACLES: dict[str, str] = {}
+QUERIES = {"pipeline": corpus_pipeline.run} | {
+    query.__name__: query
+    for query in (
+        op1_embeddings, op2_lines, op3_tokens, op4_mixing, op5_decontaminate, op6_languages, op7_quality, op8_minhash, op9_pages, op10_urls,
+    )
+}
+ORACLES = {"op2_lines": OP2_SQL}
