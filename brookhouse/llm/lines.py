@@ -113,7 +113,8 @@ def deduplicate(docs: DataFrame, batches: int = 4, path: str | None = None) -> D
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     runs = LineRuns(spark, path or folder(spark))
-    cuts = sorted({int(x) for x in docs.approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.01)})
+    shares = [k / batches for k in range(1, batches)]
+    cuts = sorted({int(x) for x in docs.approxQuantile("doc_id", shares, 0.01)}) if shares else []
     dropped = None
     for low, high in zip([None, *cuts], [*cuts, None], strict=True):
         part = docs

@@ -34,9 +34,9 @@ def mixture(docs: DataFrame, budget: float = 1.0, entropy: float | None = None,
     rows = keep(docs.select("doc_id", "source", F.size(words_of(F.col("text"))).cast("long").alias("n_tokens")))
     totals = keep(rows.groupBy("source").agg(F.sum("n_tokens").alias("t")))
     alpha = temperature(totals, budget, entropy, repetition)
-    shares = totals.select("source", "t", (F.col("t") / F.sum("t").over(_everything())).alias("p"), F.sum("t").over(_everything()).alias("all"))
+    shares = totals.select("source", "t", (F.col("t") / F.nullif(F.sum("t").over(_everything()), F.lit(0))).alias("p"), F.sum("t").over(_everything()).alias("all"))
     power = F.when(F.col("t") > 0, F.pow("p", F.lit(alpha))).otherwise(0.0)
-    weights = shares.select("source", "t", "all", power.alias("x")).withColumn("weight", F.col("x") / F.sum("x").over(_everything()))
+    weights = shares.select("source", "t", "all", power.alias("x")).withColumn("weight", F.col("x") / F.nullif(F.sum("x").over(_everything()), F.lit(0.0)))
     # the last digits of a power may differ between machines; the quota must not
     quota = F.floor(F.round("weight", 9) * F.col("all") * F.lit(float(budget))).cast("long")
     plan = keep(

@@ -1,0 +1,81 @@
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from brookhouse.llm import tokens
+from brookhouse.llm.huffman import code_lengths, codes, decode_tables, pack, unpack
+from brookhouse.llm.tokens import Encoder, read_tokens, token_digests, token_table, tokenizer_file, write_tokens
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 300), max_size=400), st.integers(9, 18), st.integers(1, 50))
+def test_coding_round_trip(ids, limit, every):
+    ids = np.array(ids, np.int64)
+    lengths = code_lengths(np.bincount(ids, minlength=1), limit)
+    assert lengths.max() <= limit
+    if len(ids):
+        assert (2.0 ** -lengths[lengths > 0].astype(float)).sum() <= 1
+    payload, offsets = pack(ids, lengths, codes(lengths), every)
+    assert (unpack(payload, offsets, len(ids), every, *decode_tables(lengths)) == ids).all()
+
+
+def test_lengths_are_those_of_a_huffman_tree():
+    import heapq
+
+    r = random.Random(4)
+    for n in (2, 3, 10, 200):
+        counts = np.array([int(r.paretovariate(0.5)) for _ in range(n)])
+        heap = counts.tolist()
+        heapq.heapify(heap)
+        cost = 0
+        while len(heap) > 1:
+            x = heapq.heappop(heap) + heapq.heappop(heap)
+            cost += x
+            heapq.heappush(heap, x)
+        assert int((code_lengths(counts, 40) * counts).sum()) == cost
+    deep = code_lengths(np.array([2**k for k in range(20)]), 6)
+    assert deep.max() == 6 and (2.0 ** -deep.astype(float)).sum() <= 1
+    with pytest.raises(ValueError):
+        code_lengths(np.ones(9, int), 3)
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(tokenizer_file())
+
+
+def test_pieces_give_the_ids_of_the_whole_text(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 500)
+    r = random.Random(3)
+    letters = "aZéß×÷ 's.,!|%<>́  \x1d1²½ΣσİǅŁ字…—\n"
+    texts = ["<|endoftext|> x", "x<|ENDOFTEXT|>", "I'll don't 's", "dogs'. it's!!", None, "", " \n", "a" * 5000]
+    texts += ["".join(r.choice(letters) for _ in range(r.randrange(40))) for _ in range(3000)]
+    encoder = Encoder(tokenizer_file())
+    for text, ids in zip(texts, encoder.encode(pa.array(texts)), strict=True):
+        assert ids.tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_written_and_read_back(spark, docs, prose, tokenizer, tmp_path, monkeypatch):
+    rows = [(i * 7 % 101, prose(i * 3, i) + " É!!") for i in range(101)] + [(200, None), (201, ""), (5, "again"), (5, "again"), (None, "no id"), (300, prose(20_000, 8))]
+    df = docs(*rows).withColumnsRenamed({"source": "start", "lang": "ids"}).repartition(5)
+    path = str(tmp_path / "out")
+    write_tokens(df, path)
+    got = sorted(read_tokens(spark, path).collect(), key=lambda r: r.start)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    start = 0
+    for r, (doc, text) in zip(got, order, strict=True):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        assert (r.doc_id, r.start, list(np.frombuffer(r.ids, "<u4"))) == (doc, start, ids)
+        start += len(ids)
+    digests = sorted(token_digests(spark, path).collect(), key=lambda r: r.start)
+    assert [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in digests] == [(r.doc_id, r.start, len(r.ids) // 4, zlib.crc32(r.ids)) for r in got]
+
+
+def test_no_rows(spark, docs):
+    assert token_table(docs("x").limit(0)).count() == 0

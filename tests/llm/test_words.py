@@ -1,0 +1,44 @@
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from brookhouse.llm.words import shingle_sets, text_slices, word_hashes
+
+TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="aBé \n\t.字\x00", max_size=12)), max_size=8)
+
+
+def words(text):
+    return [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+
+
+@settings(max_examples=150, deadline=None)
+@given(TEXTS, st.integers(1, 3), st.integers(1, 40))
+def test_words_and_shingles_as_in_plain_python(texts, n, slice_bytes):
+    ids, sets = {}, []
+    for t in text_slices(pa.array(texts, pa.string()), slice_bytes):
+        hashes = word_hashes(t)
+        for row in range(t.last - t.first):
+            own = hashes[t.word_starts[row] : t.word_starts[row + 1]]
+            expected = words(texts[t.first + row])
+            assert len(own) == len(expected)
+            for word, h in zip(expected, own, strict=True):
+                assert ids.setdefault(word, h) == h
+        sets += shingle_sets(t, n)
+    assert len(set(ids.values())) == len(ids)
+    seen = {}
+    for text, own in zip(texts, sets, strict=True):
+        w = words(text)
+        expected = {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+        assert len(expected) == len(own) and (np.diff(own.astype(object)) > 0).all()
+        key = frozenset(expected)
+        assert seen.setdefault(key, own.tobytes()) == own.tobytes()
+    assert len(set(seen.values())) == len(seen)
+
+
+@pytest.mark.parametrize("column", [pa.array([], pa.string()), pa.chunked_array([["a b"], [None, "c"]])])
+def test_other_columns(column):
+    assert sum(len(t.starts) for t in text_slices(column)) in (0, 3)
