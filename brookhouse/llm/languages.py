@@ -264,7 +264,7 @@ def _label(batches: Iterator[pa.RecordBatch], field: Field | None, spans: bool)
                 score[known] = np.clip(mass[known].max(axis=1) / total[known], 0, 1)
                 if spans:
                     label = np.where(lettered, post.argmax(axis=1), -1)
-                    _runs(runs, label, t, names)
+                    _runs(runs, np.flatnonzero(known), label, t, names)
             columns = [batch.column(0).slice(t.first, t.last - t.first), pa.array([names[i] for i in best], pa.string()), pa.array(score)]
             if spans:
                 columns.append(pa.array(runs, pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("words", pa.int32())]))))
@@ -277,8 +277,8 @@ def _has_letter(t: Texts, row: int) -> bool:
     return bool((_LETTER[raw] & (raw < 0x80)).any()) or any(map(str.isalpha, raw[raw >= 0x80].tobytes().decode("utf-8", "ignore")))
 
 
-def _runs(runs: list[list[dict]], label: np.ndarray, t: Texts, names: list[str]) -> None:
-    for row in range(len(runs)):
+def _runs(runs: list[list[dict]], rows: np.ndarray, label: np.ndarray, t: Texts, names: list[str]) -> None:
+    for row in rows:
         a, b = t.word_starts[row], t.word_starts[row + 1]
         own = np.flatnonzero(label[a:b] >= 0)
         if len(own):

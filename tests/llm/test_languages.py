@@ -63,9 +63,9 @@ def test_edge_cases(spark, docs, field, prose):
 
 
 def test_features_of_a_word_do_not_depend_on_its_neighbours(field):
-    words = pa.array([b"one", b"\xc3\xa9t\xc3\xa9", b"", b"x", b"12", b"one"], pa.binary())
+    words = pa.array([b"one", b"\xc3\xa9t\xc3\xa9", b"zz", b"x", b"12", b"one"], pa.binary())
     ids, begins = L.features(words, field.lexicon)
     each = [sorted(ids[a:b].tolist()) for a, b in zip(begins[:-1], begins[1:], strict=True)]
-    assert each[0] == each[5] and each[0] and each[4] == [] and each[2] == []
+    assert each[0] == each[5] and each[0] and each[4] == []
     alone = [sorted(L.features(words.slice(k, 1), field.lexicon)[0].tolist()) for k in range(6)]
     assert alone == each
