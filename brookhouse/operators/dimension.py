@@ -38,17 +38,31 @@ def fold_cells(
 
 
 def fold_maps(events: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """The same state with the cells in one map, for tables whose columns are not known beforehand."""
+    """The same state for tables whose columns are not known beforehand: `data` has each cell's last value that is not
+    NULL, `nulls` the cells that were set to NULL after that. Without `nulls` the rows are those of a table that keeps
+    old values, with them on top those of one that overwrites.
+    """
     steps = events.select(*keys, "type", "data", order.alias("_seq"))
     gone = F.coalesce(F.col("type"), F.lit("")) == "delete"
     deleted = steps.filter(gone).groupBy(*keys).agg(F.max("_seq").alias("_deleted"))
     written = (
         steps.filter(~gone)
         .select(*keys, "_seq", F.explode("data").alias("_name", "_value"))
-        .filter(F.col("_value").isNotNull())
-        .groupBy(*keys, "_name")
+        .withColumn("_null", F.col("_value").isNull())
+        .groupBy(*keys, "_name", "_null")
         .agg(F.max("_seq").alias("_seq"), F.max_by("_value", "_seq").alias("_value"))
     )
     live = written.join(deleted, keys, "left").filter(
         F.col("_deleted").isNull() | (F.col("_seq") > F.col("_deleted")))
-    return live.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_name", "_value"))).alias("data"))
+    cells = live.groupBy(*keys, "_name").agg(
+        F.max(F.when(~F.col("_null"), F.struct("_seq", "_value"))).alias("_last"),
+        F.max(F.when(F.col("_null"), F.col("_seq"))).alias("_nulled"),
+    )
+    written_last = F.when(F.col("_last").isNotNull(), F.struct("_name", F.col("_last._value").alias("_value")))
+    nulled_last = F.when(
+        F.col("_nulled").isNotNull() & (F.col("_last").isNull() | (F.col("_nulled") > F.col("_last._seq"))),
+        F.struct("_name", F.lit(None).cast("string").alias("_value")))
+    return cells.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(written_last)).alias("data"),
+        F.map_from_entries(F.collect_list(nulled_last)).alias("nulls"),
+    )

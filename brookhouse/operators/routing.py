@@ -15,6 +15,8 @@ from brookhouse.schemas import route_feed
 
 FACT_KEY = ["source_table", "source_type"]
 DIM_KEY = ["source_table"]
+# Generation of a table that was never emptied.
+FIRST = "0"
 
 
 def decode_feed(raw: DataFrame, route: T.StructType) -> DataFrame:
@@ -115,14 +117,15 @@ def registered_tables(actions: DataFrame) -> DataFrame:
 
     Creating a table that exists keeps its rows; recreating it starts a new, empty generation.
     """
-    emptied = F.max(F.when(F.col("action") != "create", F.col("seq.ts_ms")))
+    emptied = F.max(F.when(F.col("action") != "create", F.col("seq")))
     return (
         actions.groupBy("sink_table")
         .agg(
             F.max_by("action", "seq").alias("last"),
-            F.coalesce(emptied, F.lit(0)).alias("generation"),
+            emptied.alias("emptied"),
             F.max_by("sink_family", "seq").alias("sink_family"),
         )
         .filter(F.col("last") != "drop")
-        .select("sink_table", "generation", "sink_family")
+        .select("sink_table", "sink_family", F.when(
+            F.col("emptied").isNotNull(), F.concat_ws("-", "emptied.ts_ms", "emptied.pos")).otherwise(FIRST).alias("generation"))
     )

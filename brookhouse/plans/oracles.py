@@ -232,7 +232,7 @@ FROM supplier WHERE s_suppkey % 3 < 2""",
 SELECT sink_table, CASE op WHEN 'c' THEN 'create' WHEN 'u' THEN 'recreate' ELSE 'drop' END AS action, ts_ms
 FROM ({FEED})""",
     "dim_tables": """
-SELECT 'dim_' || s_name AS sink_table, CASE WHEN s_suppkey % 3 = 1 THEN s_suppkey * 10 + 2 ELSE 0 END AS generation
+SELECT 'dim_' || s_name AS sink_table, CASE WHEN s_suppkey % 3 = 1 THEN (s_suppkey * 10 + 2) || '-0' ELSE '0' END AS generation
 FROM supplier WHERE s_suppkey % 3 < 2""",
     "upsert_latest": """
 SELECT user_id, event_id, event_type, props FROM events

@@ -18,12 +18,14 @@ class Bus:
     """`location`: bootstrap servers (kafka) or a shared root folder (files).
 
     The folder layout is `<root>/<writer>/batch_id=<n>/topic=<name>/`, one JSON object per line. Streams begin at the
-    earliest record. `options` go to the reader, e.g. a limit per trigger.
+    earliest record. `options` go to the reader, e.g. a limit per trigger, `producer` to Kafka's writer, e.g. security
+    and transaction settings.
     """
 
     kind: str
     location: str
     options: dict[str, str] = field(default_factory=dict)
+    producer: dict[str, str] = field(default_factory=dict)
 
     def _kafka(self, reader, topic: str) -> DataFrame:
         return (
@@ -33,18 +35,29 @@ class Bus:
             .option("startingOffsets", "earliest")
             .options(**self.options)
             .load()
-            .select(text_of("value"), "partition", "offset")
+            .select(text_of("value"), F.lpad(F.col("partition").cast("string"), 10, "0").alias("source"), "offset")
         )
 
     def _files(self, reader, topic: str) -> DataFrame:
         lines = reader.schema(LINES).options(**self.options).text(f"{self.location}/*/batch_id=*/topic={topic}")
-        return lines.select(text_of("value"))
+        file = F.col("_metadata")
+        batch = F.lpad(F.regexp_extract(file["file_path"], r"/batch_id=(\d+)/", 1), 20, "0")
+        begin = F.lpad(file["file_block_start"].cast("string"), 20, "0")
+        return lines.select(text_of("value"), F.concat_ws("/", batch, file["file_name"], begin).alias("source"))
 
-    def stream(self, spark: SparkSession, topic: str) -> DataFrame:
-        return (self._kafka if self.kind == "kafka" else self._files)(spark.readStream, topic)
+    def stream(self, spark: SparkSession, topic: str, positions: bool = False) -> DataFrame:
+        """Messages; with `positions` also what `positioned` needs."""
+        messages = (self._kafka if self.kind == "kafka" else self._files)(spark.readStream, topic)
+        return messages if positions else messages.select("value")
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
-        return (self._kafka if self.kind == "kafka" else self._files)(spark.read, topic)
+        return (self._kafka if self.kind == "kafka" else self._files)(spark.read, topic).select("value")
+
+
+def positioned(batch: DataFrame) -> DataFrame:
+    """A micro-batch with the place of each message (`source`, `offset`): of two messages that come from one partition or
+    one writer of folders, the later one has the larger place. Call it before anything else is done with the batch."""
+    return batch if "offset" in batch.columns else batch.withColumn("offset", F.monotonically_increasing_id())
 
 
 def text_of(value: str) -> Column:

@@ -5,17 +5,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brookhouse.operators.dimension import fold_cells, fold_maps
+from brookhouse.operators.routing import FIRST
 from brookhouse.operators.sizing import broadcast_if_small
 from brookhouse.schemas import STR_MAP
 from brookhouse.streaming.keyedlog import KeyedLog, in_order
 
 EVENTS = T.StructType([
     T.StructField("sink_table", T.StringType()),
-    T.StructField("generation", T.LongType()),
+    T.StructField("generation", T.StringType()),
     T.StructField("row_key", T.StringType()),
     T.StructField("type", T.StringType()),
-    T.StructField("ts", T.LongType()),
-    T.StructField("xid", T.LongType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("offset", T.LongType()),
     T.StructField("data", STR_MAP),
 ])
 
@@ -28,34 +29,33 @@ class DimensionTables:
         self.log = KeyedLog(spark, root, EVENTS, ("sink_table", "generation"))
 
     def write(self, routed: DataFrame, tables: DataFrame, batch_id: int) -> None:
-        """Append routed changes to the current generation of their tables.
+        """Append routed changes, with their positions on the bus, to the current generation of their tables.
 
-        A table known from the preloaded snapshot only is in generation 0.
+        Changes apply as they come: by batch, then by position. A table known from the preloaded snapshot only is in
+        generation 0.
         """
         side = broadcast_if_small(tables.select("sink_table", "generation"))
-        rows = routed.join(side, "sink_table", "left").withColumns({
-            "generation": F.coalesce("generation", F.lit(0).cast("bigint")),
-            "xid": F.col("xid").try_cast("bigint"),
-        })
+        rows = routed.join(side, "sink_table", "left").withColumn("generation", F.coalesce("generation", F.lit(FIRST)))
         self.log.append(rows, batch_id)
 
-    def events(self, sink_table: str, generation: int = 0) -> DataFrame:
+    def events(self, sink_table: str, generation: str = FIRST) -> DataFrame:
         return self.log.read().filter((F.col("sink_table") == sink_table) & (F.col("generation") == generation))
 
     def read(
-        self, sink_table: str, columns: list[str], generation: int = 0, overwrite_nulls: bool = False
+        self, sink_table: str, columns: list[str], generation: str = FIRST, overwrite_nulls: bool = False
     ) -> DataFrame:
         """Current rows of a table: `row_key` and the given columns."""
-        return fold_cells(self.events(sink_table, generation), ["row_key"], columns, in_order("ts", "xid"),
+        return fold_cells(self.events(sink_table, generation), ["row_key"], columns, in_order("source", "offset"),
                           overwrite_nulls)
 
     def compact(self) -> int | None:
-        """Fold every row of every table into one put."""
+        """Fold every row of every table into a put of its values and, if cells were set to NULL later, one of those."""
         keys = ["sink_table", "generation", "row_key"]
 
         def fold(rows: DataFrame) -> DataFrame:
-            folded = fold_maps(rows, keys, in_order("ts", "xid"))
-            return folded.select(*keys, F.lit("insert").alias("type"), F.lit(0).cast("bigint").alias("ts"),
-                                 F.lit(0).cast("bigint").alias("xid"), "data")
+            folded = fold_maps(rows, keys, in_order("source", "offset"))
+            puts = F.filter(F.array("data", "nulls"), lambda cells: F.size(cells) > 0)
+            return folded.select(*keys, F.posexplode(puts).alias("offset", "data")).withColumns(
+                {"type": F.lit("insert"), "source": F.lit(""), "offset": F.col("offset").cast("bigint")})
 
         return self.log.compact(fold)

@@ -11,7 +11,7 @@ from brookhouse.operators import behaviour, facts, joins, keyword, lookup, routi
 from brookhouse.operators.changes import clean_changes, parse_changes
 from brookhouse.operators.latest import latest_by_key
 from brookhouse.operators.skew import every_key
-from brookhouse.sources.bus import Bus, change_log, json_table, timed_json_table
+from brookhouse.sources.bus import Bus, change_log, json_table, positioned, timed_json_table
 from brookhouse.sources.jdbc import read_routes
 from brookhouse.streaming import sinks
 from brookhouse.streaming.dimtables import DimensionTables
@@ -27,8 +27,8 @@ DIM_FEED = "table_process_dim"
 class Settings:
     """Where a deployment keeps its things. `database` is the shop's database, `warehouse` and `checkpoints` shared folders.
 
-    `zone` decides calendar days (None: session zone). `salt` is the number of tasks that share the lines of one order
-    in joins; orders are copied as often. `config_url` preloads routing tables over JDBC.
+    `zone` decides calendar days (None: session zone). `salt` above 1 is the number of tasks that share the lines of one
+    order in joins; orders are copied as often. Keyed tables are compacted each `compact_every` micro-batches (0: never). `config_url` preloads routing tables over JDBC.
     """
 
     bus: Bus
@@ -38,7 +38,8 @@ class Settings:
     zone: str | None = None
     trigger: dict = field(default_factory=lambda: {"availableNow": True})
     delay: str = "5 seconds"
-    salt: int = 4
+    salt: int = 1
+    compact_every: int = 100
     window: str = "10 seconds"
     config_url: str | None = None
     config_properties: dict[str, str] = field(default_factory=dict)
@@ -67,7 +68,7 @@ class Settings:
             F.col("sink_table") == sink_table)
         current = routing.registered_tables(actions).first()
         dropped = current is None and not actions.isEmpty()
-        rows = self.dimensions(spark).read(sink_table, columns, current["generation"] if current else 0)
+        rows = self.dimensions(spark).read(sink_table, columns, current["generation"] if current else routing.FIRST)
         return rows.limit(0) if dropped else rows
 
     def dictionary(self, spark: SparkSession) -> DataFrame:
@@ -76,11 +77,11 @@ class Settings:
 
     def feed(self, spark: SparkSession, topic: str, route) -> DataFrame:
         """All changes of a routing table up to now."""
-        return routing.decode_feed(self.bus.read(spark, topic).select("value"), route)
+        return routing.decode_feed(self.bus.read(spark, topic), route)
 
-    def routes(self, spark: SparkSession, table: str, route, key: list[str]) -> DataFrame:
+    def routes(self, spark: SparkSession, table: str, route, key: list[str], feed: DataFrame | None = None) -> DataFrame:
         snapshot = read_routes(spark, self.config_url, table, self.config_properties) if self.config_url else None
-        return routing.current_routes(snapshot, self.feed(spark, table, route), route, key)
+        return routing.current_routes(snapshot, self.feed(spark, table, route) if feed is None else feed, route, key)
 
 
 def dim_app(spark: SparkSession, s: Settings) -> StreamingQuery:
@@ -89,12 +90,17 @@ def dim_app(spark: SparkSession, s: Settings) -> StreamingQuery:
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        feed = s.feed(session, DIM_FEED, S.DIM_ROUTE)
-        routes = s.routes(session, DIM_FEED, S.DIM_ROUTE, routing.DIM_KEY)
-        routed = routing.route_dimensions(clean_changes(batch, s.database), routes)
-        tables.write(routed, routing.registered_tables(routing.registry_actions(feed)), batch_id)
+        feed = s.feed(session, DIM_FEED, S.DIM_ROUTE).persist()
+        try:
+            routes = s.routes(session, DIM_FEED, S.DIM_ROUTE, routing.DIM_KEY, feed)
+            routed = routing.route_dimensions(clean_changes(positioned(batch), s.database), routes)
+            tables.write(routed, routing.registered_tables(routing.registry_actions(feed)), batch_id)
+        finally:
+            feed.unpersist()
+        if s.compact_every and (batch_id + 1) % s.compact_every == 0:
+            tables.compact()
 
-    return s.run(s.bus.stream(spark, S.TOPIC_DB), "dim_app", sink)
+    return s.run(s.bus.stream(spark, S.TOPIC_DB, positions=True), "dim_app", sink)
 
 
 def dwd_base_log(spark: SparkSession, s: Settings, native_state: bool = False) -> StreamingQuery:
@@ -108,6 +114,8 @@ def dwd_base_log(spark: SparkSession, s: Settings, native_state: bool = False) -
     def sink(batch: DataFrame, batch_id: int) -> None:
         with visitors.repaired(batch, batch_id) as repaired:
             sinks.publish(s.bus, behaviour.split_messages(repaired), "dwd_base_log", batch_id)
+        if s.compact_every and (batch_id + 1) % s.compact_every == 0:
+            visitors.compact()
 
     return s.run(log, "dwd_base_log", sink)
 

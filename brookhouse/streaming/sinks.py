@@ -8,21 +8,24 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from brookhouse.operators.latest import keyed_messages
 from brookhouse.sources.bus import Bus
-from brookhouse.streaming.keyedlog import KeyedLog, complete
+from brookhouse.streaming.keyedlog import KeyedLog, batch_of, complete, number_in
 
 
 def publish(bus: Bus, messages: DataFrame, writer: str, batch_id: int) -> None:
     """Send messages (topic, value and maybe key) to the topics they name.
 
-    Files: a repeated batch is skipped, so each record is there once. Kafka: Spark's sink delivers at least once; a
-    consumer that needs exactly once drops repeated keys.
+    Files: a repeated batch of a run is skipped, so each record is there once per run; keys are only used by Kafka, where
+    they choose the partition. Kafka: Spark's sink delivers at least once; a consumer that needs exactly once drops
+    repeated keys. `bus.producer` is passed on to Kafka's producers.
     """
     if bus.kind == "kafka":
         sent = [c for c in ("topic", "key", "value") if c in messages.columns]
-        messages.select(*sent).write.format("kafka").option("kafka.bootstrap.servers", bus.location).save()
+        writer_of = messages.select(*sent).write.format("kafka").option("kafka.bootstrap.servers", bus.location)
+        writer_of.options(**bus.producer).save()
         return
-    folder = f"{bus.location}/{writer}/batch_id={batch_id}"
-    if not complete(messages.sparkSession, folder):
+    spark, root = messages.sparkSession, f"{bus.location}/{writer}"
+    folder = f"{root}/batch_id={number_in(spark, root, batch_id)}"
+    if not complete(spark, folder):
         messages.select("topic", "value").write.mode("overwrite").partitionBy("topic").text(folder)
 
 
@@ -50,13 +53,18 @@ def append_jdbc(rows: DataFrame, url: str, table: str, properties: dict[str, str
 def start(
     rows: DataFrame, name: str, checkpoints: str, trigger: dict, sink: Callable[[DataFrame, int], None]
 ) -> StreamingQuery:
-    """Run a stream into a sink, with its own checkpoint; a restart goes on where the last run ended."""
+    """Run a stream into a sink, with its own checkpoint; a restart goes on where the last run ended.
+
+    The sink gets the batch's number with its run, so a checkpoint that is lost or renewed makes new batches of old
+    numbers, not repeated ones.
+    """
+    checkpoint = f"{checkpoints.rstrip('/')}/{name}"
     return (
         rows.writeStream.queryName(name)
         .outputMode("append")
-        .option("checkpointLocation", f"{checkpoints.rstrip('/')}/{name}")
+        .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
-        .foreachBatch(sink)
+        .foreachBatch(lambda batch, n: sink(batch, batch_of(batch.sparkSession, checkpoint, n)))
         .start()
     )
 

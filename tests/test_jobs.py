@@ -1,7 +1,8 @@
 """The jobs end to end over a folder bus, in several batches, with restarts."""
 
-import json
+import dataclasses
 import itertools
+import json
 
 import pytest
 
@@ -99,6 +100,57 @@ def test_dimension_tables_follow_data_and_configuration(shop):
     assert [r["row_key"] for r in rows(tables.read("dim_base_dic", ["dic_name"]))] == ["11"]
 
 
+def test_changes_apply_as_they_come(shop):
+    """One transaction, one second: the position on the bus decides, not the time, the transaction or the value."""
+    tables = shop.settings.dimensions(shop.spark)
+    shop.send(jobs.DIM_FEED, dim_route("r", 2, "user_info", "dim_user", "id,name,city", "id"))
+    user = lambda kind, i, **cells: change("user_info", kind, 1, {"id": i, **cells})
+    shop.send(S.TOPIC_DB, user("insert", 1, name="z"), user("update", 1, name="b"), user("insert", 2, name="old"), user("delete", 2),
+              user("insert", 2, city="new"), user("insert", 3, name="n"), user("delete", 3))
+    shop.run(jobs.dim_app)
+    expected = [{"row_key": "1", "id": "1", "name": "b", "city": None}, {"row_key": "2", "id": "2", "name": None, "city": "new"}]
+    assert rows(tables.read("dim_user", ["id", "name", "city"])) == expected
+    tables.compact()
+    assert rows(tables.read("dim_user", ["id", "name", "city"])) == expected
+
+
+def test_null_writes_survive_compaction(shop):
+    tables = shop.settings.dimensions(shop.spark)
+    shop.send(jobs.DIM_FEED, dim_route("r", 2, "user_info", "dim_user", "id,name", "id"))
+    shop.send(S.TOPIC_DB, change("user_info", "insert", 1, {"id": 1, "name": "a"}))
+    shop.run(jobs.dim_app)
+    shop.send(S.TOPIC_DB, change("user_info", "update", 2, {"id": 1, "name": None}))
+    shop.run(jobs.dim_app)
+    for _ in range(2):
+        assert [r["name"] for r in rows(tables.read("dim_user", ["name"]))] == ["a"]
+        assert [r["name"] for r in rows(tables.read("dim_user", ["name"], overwrite_nulls=True))] == [None]
+        tables.compact()
+
+
+def test_two_recreations_in_one_millisecond(shop):
+    feed = [dim_route(op, 5, "user_info", "dim_user", "id", "id") | {"source": {"pos": pos}} for pos, op in enumerate("ruu")]
+    shop.send(jobs.DIM_FEED, *feed[:2])
+    shop.send(S.TOPIC_DB, change("user_info", "insert", 1, {"id": 1}))
+    shop.run(jobs.dim_app)
+    shop.send(jobs.DIM_FEED, feed[2])
+    shop.send(S.TOPIC_DB, change("user_info", "insert", 1, {"id": 2}))
+    shop.run(jobs.dim_app)
+    assert [r["id"] for r in rows(shop.settings.dimension(shop.spark, "dim_user", ["id"]))] == ["2"]
+
+
+def test_a_lost_checkpoint_loses_nothing(shop, tmp_path):
+    shop.send(jobs.DIM_FEED, dim_route("r", 2, "user_info", "dim_user", "id,name", "id"))
+    shop.send(S.TOPIC_DB, change("user_info", "insert", 1, {"id": 1, "name": "a"}), change("cart_info", "insert", 1, {"id": 1}))
+    shop.run(jobs.dim_app)
+    shop.run(jobs.dwd_trade_cart_add)
+    shop.settings = dataclasses.replace(shop.settings, checkpoints=str(tmp_path / "renewed"))
+    shop.send(S.TOPIC_DB, change("user_info", "update", 1, {"id": 1, "name": "b"}), change("cart_info", "insert", 1, {"id": 2}))
+    shop.run(jobs.dim_app)
+    shop.run(jobs.dwd_trade_cart_add)
+    assert [r["name"] for r in rows(shop.settings.dimension(shop.spark, "dim_user", ["name"]))] == ["b"]
+    assert {r["id"] for r in shop.topic(S.CART_ADD)} == {"1", "2"}
+
+
 def test_facts_routed_by_configuration(shop):
     def route(op, ts, kind, sink):
         image = {"source_table": "coupon_use", "source_type": kind, "sink_table": sink, "sink_columns": "id,user_id"}
@@ -284,7 +336,38 @@ def test_kafka_options(spark):
     got = Bus("kafka", "b1:9092,b2:9092", {"maxOffsetsPerTrigger": "10"})._kafka(reader, "topic_db")
     assert reader.seen == {"format": "kafka", "kafka.bootstrap.servers": "b1:9092,b2:9092", "subscribe": "topic_db",
                            "startingOffsets": "earliest", "maxOffsetsPerTrigger": "10"}
-    assert [tuple(r) for r in got.orderBy("offset").collect()] == [("x", 0, 1), ("", 0, 2), ("", 0, 3)]
+    assert [tuple(r) for r in got.orderBy("offset").collect()] == [(x, "0" * 10, n) for x, n in (("x", 1), ("", 2), ("", 3))]
+
+
+def test_kafka_producer_options(monkeypatch):
+    seen = {}
+
+    class Writer:
+        def option(self, k, v):
+            seen[k] = v
+            return self
+
+        def options(self, **kw):
+            seen.update(kw)
+            return self
+
+        def format(self, f):
+            seen["format"] = f
+            return self
+
+        def save(self):
+            seen["saved"] = True
+
+    class Messages:
+        columns, write = ["topic", "key", "value", "other"], Writer()
+
+        def select(self, *columns):
+            seen["columns"] = columns
+            return self
+
+    secure = {"kafka.security.protocol": "SASL_SSL", "kafka.acks": "all"}
+    publish(Bus("kafka", "b1:9092", producer=secure), Messages(), "job", 0)
+    assert seen == {"format": "kafka", "kafka.bootstrap.servers": "b1:9092", "columns": ("topic", "key", "value"), "saved": True} | secure
 
 
 def test_jdbc_sink_options(monkeypatch):
