@@ -11,8 +11,9 @@ def parse_objects(raw: DataFrame, schema: T.StructType, value: str = "value") ->
     """Replace the text column by the fields of its JSON object; rows that are not one whole object are dropped.
 
     Other columns of `raw` (a bus offset, say) are kept. A field of the wrong type becomes NULL, the rest of the
-    record stays. The brace test catches text after the object, which the parser itself would ignore. `inline`
-    keeps the parsed record out of reach of filter push-down, which would otherwise parse every line twice.
+    record stays. The parser itself would ignore what follows the first object, so the text must also be the only
+    element of an array: two objects on a line, or one with other text around it, are not. `inline` keeps the parsed
+    record out of reach of filter push-down, which would otherwise parse every line twice.
     """
     marked = T.StructType([*schema.fields, T.StructField(DIRT, T.StringType())])
     parsed = F.from_json(F.col(value), marked, {"columnNameOfCorruptRecord": DIRT})
@@ -21,6 +22,7 @@ def parse_objects(raw: DataFrame, schema: T.StructType, value: str = "value") ->
     readable = F.coalesce(*[F.when(F.col(f.name).isNotNull(), True) for f in schema.fields], F.lit(False))
     return (
         raw.filter(text.startswith("{") & text.endswith("}"))
+        .filter(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1)
         .select(*rest, F.inline(F.array(parsed)))
         .filter(F.col(DIRT).isNull() | readable)
         .drop(DIRT)

@@ -65,7 +65,7 @@ def devices_to_repair(visits: DataFrame, zone: str | None = None) -> DataFrame:
 def busy_devices(visits: DataFrame, share: float = 0.02, parts: int = 64) -> Salt:
     """Devices with at least `share` of all records: at most 1 / share of them."""
     total = visits.agg(F.sum("n")).first()[0] or 0
-    busy = visits.filter(F.col("n") >= max(share * total, 1)).select("mid").limit(int(1 / share)).collect()
+    busy = visits.filter(F.col("n") >= max(share * total, 1)).select("mid").collect()
     return Salt(parts, tuple(sorted(r.mid for r in busy))) if busy else NO_SALT
 
 

@@ -1,12 +1,9 @@
 """Search keywords of page views: filter, split into words, count per time window."""
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_WORDS = 500_000
+from brookhouse.operators.sizing import small_join
 
 
 def search_keywords(page_info: DataFrame) -> DataFrame:
@@ -17,32 +14,40 @@ def search_keywords(page_info: DataFrame) -> DataFrame:
     ).select(page["item"].alias("keyword"), "ts")
 
 
-def longest_match(words: set[str]):
-    """Vectorised tokeniser: at each position the longest listed word, else a run of letters or digits, else nothing."""
-    longest = max(map(len, words), default=0)
+def dictionary_tokens(df: DataFrame, text: str, words: DataFrame) -> DataFrame:
+    """One row per word, as column `word`: at each position the longest listed word, else a run of letters or digits, else
+    nothing.
 
-    def tokens(text: str) -> list[str]:
-        found, i = [], 0
-        while i < len(text):
-            end = next((j for j in range(min(len(text), i + longest), i, -1) if text[i:j] in words), None)
-            if end is None:
-                end = i + 1
-                if text[i].isascii() and text[i].isalnum():
-                    while end < len(text) and text[end].isascii() and text[end].isalnum():
-                        end += 1
-                elif not text[i].isalnum():
-                    i = end
-                    continue
-            found.append(text[i:end])
-            i = end
-        return found
+    All parts of a text that are as long as a listed word are joined with the list (by broadcast only if it fits); the
+    longest per position is kept, and the text is walked over those. No list is sent to the driver or to Python.
+    """
+    listed = words.select(F.col(words.columns[0]).alias("_word")).filter(F.length("_word") > 0).distinct()
+    lengths = sorted(r[0] for r in listed.select(F.length("_word")).distinct().collect())  # no more than the longest word has
+    texts = df.select(F.col(text).alias("_text")).filter(F.length("_text") > 0).distinct()
+    sized = texts.select("_text", F.explode(F.array(*map(F.lit, lengths)).cast("array<int>")).alias("_length")).filter(
+        F.col("_length") <= F.length("_text"))
+    at = F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_length") + 1)).alias("_at")
+    parts = sized.select("_text", "_length", at).withColumn("_word", F.substring("_text", F.col("_at"), F.col("_length")))
+    longest = small_join(parts, listed, ["_word"]).groupBy("_text", "_at").agg(F.max("_length").alias("_length"))
+    found = longest.groupBy("_text").agg(F.map_from_entries(F.collect_list(F.struct("_at", "_length"))).alias("_found"))
+    cut = texts.join(found, "_text", "left").select("_text", _walk("_text", "_found").alias("_words"))
+    return df.join(cut, F.col(text) == F.col("_text")).withColumn("word", F.explode("_words")).drop("_text", "_words")
 
-    @F.pandas_udf("array<string>")
-    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield texts.map(lambda t: tokens(t) if t is not None else None)
 
-    return split
+def _walk(text: str, found: str):
+    """Words of a text from left to right; `found` has the length of the longest word at each place that has one."""
+    return F.expr(f"""
+        aggregate(
+            sequence(1, length({text})), named_struct('next', 1, 'words', cast(array() AS array<string>)),
+            (s, i) -> CASE
+                WHEN i < s.next THEN s
+                WHEN {found}[i] IS NOT NULL THEN named_struct('next', i + {found}[i], 'words', array_append(s.words, substring({text}, i, {found}[i])))
+                WHEN regexp_extract(substring({text}, i), '^[A-Za-z0-9]+', 0) <> '' THEN named_struct(
+                    'next', i + length(regexp_extract(substring({text}, i), '^[A-Za-z0-9]+', 0)),
+                    'words', array_append(s.words, regexp_extract(substring({text}, i), '^[A-Za-z0-9]+', 0)))
+                WHEN substring({text}, i, 1) RLIKE '[\\\\p{{L}}\\\\p{{N}}]' THEN named_struct('next', i + 1, 'words', array_append(s.words, substring({text}, i, 1)))
+                ELSE s END,
+            s -> s.words)""")
 
 
 def split_keywords(
@@ -51,17 +56,14 @@ def split_keywords(
     """One row per word of `text`, as column `word`.
 
     whitespace: parts between blanks. regex: all matches of `pattern`. dictionary: longest match over the one-column
-    table `words`, for text without blanks; the list is shipped to the tasks, so it must fit `MAX_WORDS`.
+    table `words`, for text without blanks.
     """
     if mode == "whitespace":
         parts = F.split(F.trim(text), r"\s+")
     elif mode == "regex":
         parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     elif mode == "dictionary":
-        listed = [r[0] for r in words.filter(F.length(words.columns[0]) > 0).limit(MAX_WORDS + 1).collect()]
-        if len(listed) > MAX_WORDS:
-            raise ValueError(f"word list exceeds {MAX_WORDS} words")
-        parts = longest_match(set(listed))(text)
+        return dictionary_tokens(df, text, words)
     else:
         raise ValueError(mode)
     return df.withColumn("word", F.explode(parts)).filter(F.col("word") != "")

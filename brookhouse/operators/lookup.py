@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brookhouse.operators.sizing import broadcast_if_small
+from brookhouse.operators.sizing import small_join
 
 
 def dictionary_rows(snapshot: DataFrame, key: str = "rowkey", name: str = "dic_name") -> DataFrame:
@@ -14,7 +14,7 @@ def dictionary_rows(snapshot: DataFrame, key: str = "rowkey", name: str = "dic_n
 def look_up(rows: DataFrame, code: str, dictionary: DataFrame, name: str, how: str) -> DataFrame:
     """Add the dictionary name of `code` as column `name`; `how` is inner or left."""
     side = dictionary.select(F.col("rowkey").alias("_code"), F.col("info.dic_name").alias(name))
-    return rows.join(broadcast_if_small(side), F.col(code) == F.col("_code"), how).drop("_code")
+    return small_join(rows.withColumn("_code", F.col(code)), side, ["_code"], how).drop("_code")
 
 
 def comment_facts(comments: DataFrame, dictionary: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from brookhouse.functions.jsons import parse_objects
 from brookhouse.operators.latest import latest_by_key
-from brookhouse.operators.sizing import broadcast_if_small
+from brookhouse.operators.sizing import small_join
 from brookhouse.schemas import route_feed
 
 FACT_KEY = ["source_table", "source_type"]
@@ -66,11 +66,9 @@ def keep_listed(data: Column, columns: Column) -> Column:
 
 def route_facts(changes: DataFrame, routes: DataFrame) -> DataFrame:
     """Pruned cells of every routed change and the table they go to; everything else is dropped."""
-    side = broadcast_if_small(
-        routes.select(F.col("source_table").alias("table"), F.col("source_type").alias("type"), "sink_table",
-                      "sink_columns")
-    )
-    return changes.join(side, ["table", "type"]).select(
+    side = routes.select(F.col("source_table").alias("table"), F.col("source_type").alias("type"), "sink_table",
+                         "sink_columns")
+    return small_join(changes, side, ["table", "type"]).select(
         "sink_table", keep_listed(F.col("data"), F.col("sink_columns")).alias("data")
     )
 
@@ -81,13 +79,10 @@ def route_dimensions(changes: DataFrame, routes: DataFrame) -> DataFrame:
     The key is read before pruning, so it need not be among the listed columns. Records without a key are dropped:
     the keyed table cannot hold them.
     """
-    side = broadcast_if_small(
-        routes.select(F.col("source_table").alias("table"), "sink_table", "sink_columns", "sink_family",
-                      "sink_row_key")
-    )
+    side = routes.select(F.col("source_table").alias("table"), "sink_table", "sink_columns", "sink_family", "sink_row_key")
     rest = [c for c in changes.columns if c not in ("database", "table", "old", "commit", "data")]
     return (
-        changes.join(side, "table")
+        small_join(changes, side, ["table"])
         .withColumn("row_key", F.col("data")[F.col("sink_row_key")])
         .filter(F.col("row_key").isNotNull())
         .select("sink_table", "sink_family", "row_key", *rest,

@@ -1,40 +1,43 @@
 """Keeping small sides small: measured broadcasts and shared scratch tables."""
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_ROWS = 200_000
 MAX_BYTES = 32 * 1024 * 1024
+PARTS = 32
 
 
 def fits(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
-    """Count and weigh the rows now; at most `max_rows + 1` of them are looked at."""
+    """Count and weigh the rows now; each task sends two numbers."""
     weight = F.octet_length(F.to_json(F.struct("*")))
-    rows, size = (
-        df.limit(max_rows + 1).select(weight.alias("w")).agg(F.count("*"), F.coalesce(F.sum("w"), F.lit(0))).first()
-    )
+    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(weight), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """Ask for a broadcast only if the rows fit the bounds; anything larger is left to join by shuffle."""
-    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
+def small_join(rows: DataFrame, side: DataFrame, on: list[str], how: str = "inner", parts: int = PARTS) -> DataFrame:
+    """Join with a side that is small as a rule: by broadcast if it fits, else by shuffle.
+
+    The keys of such sides are few (tables, codes), so in the shuffle the rows of each key are dealt to `parts` slots,
+    and the side's rows are copied to all of them.
+    """
+    if fits(side):
+        return rows.join(F.broadcast(side), on, how)
+    hashed = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64(*hashed), F.lit(parts)).cast("int"))
+    copies = side.withColumn("_part", F.explode(F.array(*map(F.lit, range(parts)))))
+    return rows.join(copies, [*on, "_part"], how).drop("_part")
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it; a local session may make its own."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    own = os.path.join(tempfile.gettempdir(), "brookhouse-scratch")
-    os.makedirs(own, exist_ok=True)
-    return own
+    """The folder that the cluster names for files all executors reach; a session without one (tests) gets its own."""
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="brookhouse-"))
+    return spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
 def new_scratch(spark: SparkSession, name: str) -> str:

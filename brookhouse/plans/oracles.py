@@ -71,20 +71,19 @@ FROM orders WHERE substr(o_orderpriority, 1, 1) <> '5'"""
 
 def _cancelled(bound: str) -> str:
     return f"""
-WITH d AS ({DETAIL}), c AS ({CANCELS})
-SELECT d.id, d.order_id, d.sku_id, {NULL} AS province_id, {NULL} AS user_id, {NULL} AS activity_id,
-       {NULL} AS activity_rule_id, {NULL} AS coupon_id, substr(c.operate_time, 1, 10) AS order_cancel_date_id,
+WITH w AS ({WIDE}), x AS ({CANCELS})
+SELECT d.id, d.order_id, d.sku_id, d.province_id, d.user_id, d.activity_id, d.activity_rule_id, d.coupon_id, substr(c.operate_time, 1, 10) AS order_cancel_date_id,
        c.operate_time, d.sku_name, d.order_price, d.sku_num, d.create_time, d.split_total_amount,
        d.split_activity_amount, d.split_coupon_amount, c.ts
-FROM d JOIN c ON d.order_id = c.id{bound}"""
+FROM w d JOIN x c ON d.order_id = c.id{bound}"""
 
 
 def _paid(low: int, high: int) -> str:
     return f"""
-SELECT d.id, p.order_id, p.user_id, p.payment_type, p.callback_time AS payment_time, d.sku_id, {NULL} AS province_id,
-       {NULL} AS activity_id, {NULL} AS activity_rule_id, {NULL} AS coupon_id, d.sku_name, d.order_price, d.sku_num,
+SELECT d.id, p.order_id, p.user_id, p.payment_type, p.callback_time AS payment_time, d.sku_id, d.province_id,
+       d.activity_id, d.activity_rule_id, d.coupon_id, d.sku_name, d.order_price, d.sku_num,
        d.split_total_amount, d.split_activity_amount, d.split_coupon_amount, p.ts
-FROM ({DETAIL}) d JOIN ({PAYMENTS}) p ON d.order_id = p.order_id AND p.ts BETWEEN d.ts + {low} AND d.ts + {high}"""
+FROM ({WIDE}) d JOIN ({PAYMENTS}) p ON d.order_id = p.order_id AND p.ts BETWEEN d.ts + {low} AND d.ts + {high}"""
 
 
 COMMENT_FACT = f"""
@@ -177,7 +176,10 @@ FROM ({CHANGE_ROWS}) WHERE rest NOT IN (0, 1, 7)""",
 SELECT o_orderkey AS id, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS total_cents FROM orders""",
     "cart_add": CART,
     "cart_add_json": f"""
-SELECT id, '{{"id":"' || id || '","sku_num":"' || sku_num || '","ts":' || ts || '}}' AS value FROM ({CART})""",
+SELECT 'dwd_trade_cart_add' AS topic,
+       '{{"id":"' || id || '","user_id":"' || user_id || '","sku_id":"' || sku_id || '","cart_price":"' || cart_price
+       || '","sku_num":"' || sku_num || '","sku_name":"' || sku_name || '","create_time":"' || create_time
+       || '","is_ordered":"' || is_ordered || '","ts":' || ts || '}}' AS value FROM ({CART})""",
     "comment_insert": COMMENTS,
     "order_detail_insert": DETAIL,
     "order_detail_view": f"""
@@ -205,7 +207,7 @@ FROM ({_paid(-900, 5)}) p LEFT JOIN ({DICTIONARY}) b ON p.payment_type = b.dic_c
     "comment_lookup": COMMENT_FACT,
     "dictionary_join": COMMENT_FACT,
     "order_fact_topic": f"""
-SELECT id, order_id, sku_id, order_price, sku_num, ts, ts AS row_seconds FROM ({DETAIL})""",
+SELECT *, ts AS row_seconds FROM ({WIDE})""",
     "config_route_dwd": f"""
 SELECT sink_table, col, val, count(*) AS n FROM ({FACT_CELLS}) GROUP BY sink_table, col, val""",
     "config_route_dwd_json": """

@@ -17,9 +17,12 @@ from brookhouse.operators import routing as R
 from brookhouse.operators.changes import cells, clean_changes, parse_changes
 from brookhouse.operators.dimension import fold_cells
 from brookhouse.operators.latest import keyed_messages, latest_by_key
+from brookhouse.operators.sizing import small_join
 from brookhouse.operators.skew import NO_SALT, every_key, hot_keys
 from brookhouse.plans import inputs as I
 from brookhouse.sources.bus import change_log, json_table, timed_json_table
+from brookhouse.streaming.sinks import json_messages
+from brookhouse.streaming.sinks import upsert_messages as upsert_messages_of
 
 DB = I.DATABASE
 UTC = "UTC"
@@ -43,7 +46,9 @@ def _dirty_change_lines(spark, sf_dir) -> DataFrame:
     empty = F.create_map().cast("map<string,string>")
     return I.table(spark, sf_dir, "orders").select(F.explode(F.array(
         F.when(rest == 0, "")
-        .when(rest == 1, F.concat(F.lit("garbage "), I.text(key)))
+        .when(key % 30 == 1, F.concat(F.lit("garbage "), I.text(key)))
+        .when(key % 30 == 11, F.concat(line(DB, "insert", data), F.lit(" "), line(DB, "update", data)))
+        .when(rest == 1, F.concat(line(DB, "insert", data), F.lit(" junk {}")))
         .when(rest == 2, line(DB, "bootstrap-start", data))
         .when(rest == 3, line("other", "insert", data))
         .when(rest == 4, line(DB, "insert", empty))
@@ -88,7 +93,7 @@ def cart_add(spark, sf_dir):
 def cart_add_json(spark, sf_dir):
     """The same fact from JSON text to JSON text."""
     log = change_log(I.as_lines(I.cart_changes(spark, sf_dir)), only_tables=("cart_info",))
-    return facts.cart_adds(log, DB).select("id", to_line("id", "sku_num", "ts").alias("value"))
+    return json_messages(facts.cart_adds(log, DB), S.CART_ADD)
 
 
 def comment_insert(spark, sf_dir):
@@ -134,7 +139,7 @@ def details(spark, sf_dir, bounds=J.SAME_PURCHASE, stream=False):
         facts.activity_inserts(I.log_of(I.activity_changes, spark, sf_dir, stream, "order_detail_activity"), DB),
         facts.coupon_inserts(I.log_of(I.coupon_changes, spark, sf_dir, stream, "order_detail_coupon"), DB),
         bounds,
-        *([every_key(2), NO_SALT] if stream else [hot_keys(lines, "order_id"), hot_keys(lines, "id")]),
+        NO_SALT if stream else hot_keys(lines, "order_id"),
     )
 
 
@@ -146,18 +151,19 @@ def order_detail_wide_unbounded(spark, sf_dir):
     return details(spark, sf_dir, None).drop("row_time")
 
 
-def plain_details(spark, sf_dir, stream=False):
-    """The order-detail topic as later jobs read it, without activity and coupon."""
-    base = facts.order_detail_inserts(I.log_of(I.order_detail_changes, spark, sf_dir, stream), DB)
-    absent = [F.lit(None).cast("string").alias(c)
-              for c in ("province_id", "user_id", "activity_id", "activity_rule_id", "coupon_id")]
-    return base.select("*", *absent).select(*S.ORDER_DETAIL_FACT.fieldNames(), "row_time")
+def fact_lines(spark, sf_dir):
+    """The order-detail topic: the messages of `order_detail_wide`."""
+    return upsert_messages_of(details(spark, sf_dir).drop("row_time"), S.ORDER_DETAIL, ["id"])
 
 
-def _cancelled(spark, sf_dir, bounds):
-    lines = plain_details(spark, sf_dir)
+def fact_table(spark, sf_dir):
+    """The order-detail topic as later jobs read it."""
+    return timed_json_table(fact_lines(spark, sf_dir).select("value"), S.ORDER_DETAIL_FACT)
+
+
+def _cancelled(spark, sf_dir, bounds, salt=NO_SALT):
     cancels = facts.order_cancels(I.log_of(I.order_cancel_changes, spark, sf_dir), DB)
-    return J.order_cancel_wide(lines, cancels, bounds, hot_keys(lines, "order_id"))
+    return J.order_cancel_wide(fact_table(spark, sf_dir), cancels, bounds, salt)
 
 
 def order_cancel(spark, sf_dir):
@@ -165,13 +171,13 @@ def order_cancel(spark, sf_dir):
 
 
 def order_cancel_unbounded(spark, sf_dir):
-    return _cancelled(spark, sf_dir, None)
+    """Without time buckets, so a busy order needs its lines dealt to several tasks."""
+    return _cancelled(spark, sf_dir, None, every_key(4))
 
 
 def _paid(spark, sf_dir, bounds=J.PAYMENT_WINDOW):
-    lines = plain_details(spark, sf_dir)
     done = facts.payments(I.log_of(I.payment_changes, spark, sf_dir), DB)
-    return J.paid_order_lines(lines, done, bounds, hot_keys(lines, "order_id"))
+    return J.paid_order_lines(fact_table(spark, sf_dir), done, bounds)
 
 
 def payment_interval(spark, sf_dir):
@@ -189,7 +195,7 @@ def click_purchase_interval(spark, sf_dir):
     bought = e.filter("event_type = 'purchase'").select(F.col("event_id").alias("purchase_id"), "user_id", "row_time")
     clicked = e.filter("event_type = 'click'").select(
         F.col("event_id").alias("click_id"), F.col("user_id").alias("clicker"), "row_time")
-    return J.interval_join(bought, clicked, "user_id", "clicker", J.Bounds(-6 * 3600, 600)).select(
+    return J.interval_join(bought, clicked, "user_id", "clicker", J.Bounds(-6 * 3600, 600), salt=every_key(8)).select(
         "purchase_id", "click_id", "user_id")
 
 
@@ -211,9 +217,7 @@ def dictionary_join(spark, sf_dir):
 
 def order_fact_topic(spark, sf_dir):
     """Order-detail topic written as JSON text and read back as a table with event time."""
-    lines = I.log_lines(plain_details(spark, sf_dir).drop("row_time"))
-    return timed_json_table(lines, S.ORDER_DETAIL_FACT).select(
-        "id", "order_id", "sku_id", "order_price", "sku_num", "ts", F.unix_seconds("row_time").alias("row_seconds"))
+    return fact_table(spark, sf_dir).withColumn("row_seconds", F.unix_seconds("row_time")).drop("row_time")
 
 
 # --- routing and dimensions ---------------------------------------------------------------------------------------
@@ -323,7 +327,7 @@ def log_cleanse(spark, sf_dir):
     )
     text = to_line(*S.BEHAVIOUR_LOG.fieldNames())
     lines = log.select(F.explode(F.array(
-        F.when(F.col("n") % 10 == 3, F.left(text, F.lit(20))).otherwise(text))).alias("value"))
+        F.when(F.col("n") % 20 == 3, F.left(text, F.lit(20))).when(F.col("n") % 20 == 13, F.concat(text, text)).otherwise(text))).alias("value"))
     return B.clean_log(lines).select(
         F.col("common.sid").alias("sid"), F.col("common.mid").alias("mid"), F.col("page.item").alias("item"),
         F.col("start.loading_time").alias("loading_time"), F.size(F.coalesce("displays", F.array())).alias("shown"),
@@ -399,11 +403,14 @@ def search_keyword_json(spark, sf_dir):
 
 
 def part_searches(spark, sf_dir, stream=False):
-    """View events searching for a part by its name."""
+    """Page records of all events; the views search for a part by its name."""
     parts = I.table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    views = I.table(spark, sf_dir, "events", stream).filter("event_type = 'view'").select(
-        (F.col("event_id") % parts.count()).alias("p_partkey"), I.epoch_ms("ts").alias("ts"))
-    return views.join(parts, "p_partkey").select(F.col("p_name").alias("keyword"), "ts")
+    seen = I.table(spark, sf_dir, "events", stream).select(
+        (F.col("event_id") % parts.count()).alias("p_partkey"), "event_type", I.epoch_ms("ts").alias("ts"))
+    pages = small_join(seen, parts, ["p_partkey"]).select("ts", I.pairs(
+        last_page_id=F.when(F.col("event_type") == "view", "search").otherwise("home"), item_type=F.lit("keyword"),
+        item=F.col("p_name")).alias("page"))
+    return K.search_keywords(pages)
 
 
 def keyword_window_count(spark, sf_dir):

@@ -3,27 +3,28 @@
 Output and checkpoint go to the shared scratch folder.
 """
 
+import dataclasses
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brookhouse import schemas as S
 from brookhouse.operators import behaviour as B
 from brookhouse.operators import facts
 from brookhouse.operators import joins as J
 from brookhouse.operators import keyword as K
 from brookhouse.operators import lookup as L
 from brookhouse.operators import routing as R
-from brookhouse.operators.sizing import new_scratch
+from brookhouse.operators.sizing import materialise, new_scratch
 from brookhouse.plans import inputs as I
 from brookhouse.plans import queries as Q
-from brookhouse.streaming.sinks import start
+from brookhouse.sources.bus import Bus, timed_json_table
+from brookhouse.streaming.jobs import DIM_FEED, Settings, dim_app
+from brookhouse.streaming.sinks import ROCKSDB, STATE_STORE, publish, start
 from brookhouse.streaming.visitors import VisitorLog, repair_stream
 
 NOW = {"availableNow": True}
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str):
     """Change a session setting for the streams started inside; they keep it, the session does not."""
@@ -35,18 +36,14 @@ def setting(spark: SparkSession, key: str, value: str):
         spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
 
 
-def state_partitions(spark: SparkSession):
-    """A stream keeps the number of state partitions it starts with; one machine needs no more than it has cores."""
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if spark.sparkContext.master.startswith("local"):
-        wanted = min(wanted, spark.sparkContext.defaultParallelism)
-    return setting(spark, "spark.sql.shuffle.partitions", str(wanted))
+def rocksdb(spark: SparkSession):
+    return setting(spark, STATE_STORE, ROCKSDB)
 
 
 def drain(rows: DataFrame, name: str) -> DataFrame:
     """Run a stream to the end of its input into a table, and read the table."""
     spark, root = rows.sparkSession, new_scratch(rows.sparkSession, name)
-    with state_partitions(spark):
+    with rocksdb(spark):
         query = (
             rows.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
             .outputMode("append").trigger(**NOW).start(f"{root}/out")
@@ -62,7 +59,7 @@ def drain_batches(rows: DataFrame, name: str, each) -> DataFrame:
     def sink(batch, batch_id):
         each(root, batch, batch_id).write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
 
-    with state_partitions(spark):
+    with rocksdb(spark):
         start(rows, name, f"{root}/checkpoint", NOW, sink).awaitTermination()
     return spark.read.option("mergeSchema", "false").parquet(f"{root}/out").drop("batch_id")
 
@@ -75,15 +72,22 @@ def stream_order_detail_wide(spark, sf_dir):
     return drain(Q.details(spark, sf_dir, stream=True).drop("row_time"), "stream_order_detail_wide")
 
 
+def fact_stream(spark, sf_dir):
+    """The order-detail topic as a stream: the messages that the batch form writes to a bus of folders."""
+    bus = Bus("files", new_scratch(spark, "bus"))
+    publish(bus, Q.fact_lines(spark, sf_dir), "order_detail", 0)
+    return timed_json_table(bus.stream(spark, S.ORDER_DETAIL), S.ORDER_DETAIL_FACT)
+
+
 def stream_order_cancel(spark, sf_dir):
     cancels = facts.order_cancels(I.log_of(I.order_cancel_changes, spark, sf_dir, True), Q.DB)
-    return drain(J.order_cancel_wide(Q.plain_details(spark, sf_dir, True), cancels), "stream_order_cancel")
+    return drain(J.order_cancel_wide(fact_stream(spark, sf_dir), cancels), "stream_order_cancel")
 
 
 def stream_payment_success(spark, sf_dir):
     """Interval join in the stream, dictionary looked up for each micro-batch."""
     paid = J.paid_order_lines(
-        Q.plain_details(spark, sf_dir, True), facts.payments(I.log_of(I.payment_changes, spark, sf_dir, True), Q.DB))
+        fact_stream(spark, sf_dir), facts.payments(I.log_of(I.payment_changes, spark, sf_dir, True), Q.DB))
 
     def named(root, batch, batch_id):
         return L.payment_facts(batch, L.dictionary_rows(I.dictionary(batch.sparkSession, sf_dir), "dic_code"))
@@ -108,6 +112,73 @@ def stream_config_route_dwd(spark, sf_dir):
     return drain_batches(changes, "stream_config_route_dwd", routed)
 
 
+def _in_batches(spark, sf_dir, name, lines, finish, batches=3):
+    """Feed lines (source row order `at`, text `value`) to a dimension job in several micro-batches, then read its tables.
+
+    The rows of a batch go to one file in their order, as a producer writes them.
+    """
+    root = new_scratch(spark, name)
+    bus = Bus("files", f"{root}/bus", {"maxFilesPerTrigger": "1"})
+    lines = materialise(lines, name)
+    top = lines.agg(F.max("at")).first()[0] or 0
+    for k in range(batches):
+        part = lines.filter(F.least(F.col("at") * batches / F.lit(top + 1), F.lit(batches - 1)).cast("int") == k)
+        publish(bus, part.coalesce(1).sortWithinPartitions("at").select(F.lit(S.TOPIC_DB).alias("topic"), "value"), "shop", k)
+    settings = Settings(bus, Q.DB, f"{root}/warehouse", f"{root}/checkpoints", Q.UTC, compact_every=2)
+    return finish(settings)
+
+
+def _customer_lines(spark, sf_dir):
+    """Changes of the customer dimension as text; a row's delete and the next put share second and transaction."""
+    data = F.map_concat(I.pairs(id=I.text("row_key")), F.col("data"))
+    return I.dim_changes(spark, sf_dir).select(F.col("seq").alias("at"), to_line_with_nulls(
+        database=F.lit(Q.DB), table=F.lit("customer_info"), type=F.col("type"), ts=F.lit(1), xid=F.lit(1), data=data))
+
+
+def to_line_with_nulls(**fields):
+    return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]), {"ignoreNullFields": "false"}).alias("value")
+
+
+def _feed(settings, spark, *routes):
+    """Routing changes on the bus, in a file of their own."""
+    publish(settings.bus, I.feed_lines(spark, list(routes), S.DIM_ROUTE).select(F.lit(DIM_FEED).alias("topic"), "value"), "config", 0)
+
+
+def _dim_cell_merge(spark, sf_dir, overwrite_nulls, name):
+    def finish(settings):
+        _feed(settings, spark, ("r", None, ("customer_info", "dim_customer", "prio,st", "info", "id")))
+        dim_app(spark, settings).awaitTermination()
+        tables = settings.dimensions(spark)
+        return tables.read("dim_customer", ["prio", "st"], overwrite_nulls=overwrite_nulls).withColumn("row_key", F.col("row_key").cast("bigint"))
+
+    return _in_batches(spark, sf_dir, name, _customer_lines(spark, sf_dir), finish)
+
+
+def stream_dim_cell_merge(spark, sf_dir):
+    """The dimension job over several micro-batches, compacted midway."""
+    return _dim_cell_merge(spark, sf_dir, False, "stream_dim_cell_merge")
+
+
+def stream_dim_cell_merge_nulls(spark, sf_dir):
+    return _dim_cell_merge(spark, sf_dir, True, "stream_dim_cell_merge_nulls")
+
+
+def stream_config_route_dim(spark, sf_dir):
+    """Orders and lines through the dimension job: what its log of changes holds for the routed tables."""
+    lines = I.generic_changes(spark, sf_dir)
+    lines = lines.select(F.col("ts").alias("at"), to_line_with_nulls(
+        database=F.col("database"), table=F.col("table"), type=F.col("type"), ts=F.col("ts"), xid=F.lit(1), data=F.col("data")))
+
+    def finish(settings):
+        settings = dataclasses.replace(settings, compact_every=0)
+        _feed(settings, spark, *I.DIM_FEED)
+        dim_app(spark, settings).awaitTermination()
+        rows = settings.dimensions(spark).log.read()
+        return rows.select("sink_table", F.lit("info").alias("sink_family"), "row_key", "type", F.explode("data").alias("col", "val"))
+
+    return _in_batches(spark, sf_dir, "stream_config_route_dim", lines, finish)
+
+
 def _visitors(log):
     return log.select(
         F.col("common.sid").alias("sid"), F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"),
@@ -129,8 +200,7 @@ def stream_visitor_fix(spark, sf_dir):
 def stream_visitor_fix_native(spark, sf_dir):
     """First visits kept in the state store."""
     log = B.complete_records(I.behaviour_log(spark, sf_dir, True))
-    with setting(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB):
-        return drain(_visitors(repair_stream(log, Q.UTC)), "stream_visitor_fix_native")
+    return drain(_visitors(repair_stream(log, Q.UTC)), "stream_visitor_fix_native")
 
 
 def stream_log_split(spark, sf_dir):
@@ -151,7 +221,8 @@ STREAMS: dict[str, Q.Query] = {
     f.__name__: f
     for f in (
         stream_cart_add, stream_order_detail_wide, stream_order_cancel, stream_payment_success, stream_comment_lookup,
-        stream_config_route_dwd, stream_visitor_fix, stream_visitor_fix_native, stream_log_split,
+        stream_config_route_dwd, stream_dim_cell_merge, stream_dim_cell_merge_nulls, stream_config_route_dim,
+        stream_visitor_fix, stream_visitor_fix_native, stream_log_split,
         stream_keyword_window_count,
     )
 }

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from brookhouse.operators.dimension import fold_cells, fold_maps
 from brookhouse.operators.routing import FIRST
-from brookhouse.operators.sizing import broadcast_if_small
+from brookhouse.operators.sizing import small_join
 from brookhouse.schemas import STR_MAP
 from brookhouse.streaming.keyedlog import KeyedLog, in_order
 
@@ -34,8 +34,8 @@ class DimensionTables:
         Changes apply as they come: by batch, then by position. A table known from the preloaded snapshot only is in
         generation 0.
         """
-        side = broadcast_if_small(tables.select("sink_table", "generation"))
-        rows = routed.join(side, "sink_table", "left").withColumn("generation", F.coalesce("generation", F.lit(FIRST)))
+        known = tables.select("sink_table", "generation")
+        rows = small_join(routed, known, ["sink_table"], "left").withColumn("generation", F.coalesce("generation", F.lit(FIRST)))
         self.log.append(rows, batch_id)
 
     def events(self, sink_table: str, generation: str = FIRST) -> DataFrame:

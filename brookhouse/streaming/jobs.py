@@ -47,6 +47,7 @@ class Settings:
     olap_properties: dict[str, str] = field(default_factory=dict)
 
     def run(self, rows: DataFrame, name: str, sink) -> StreamingQuery:
+        rows.sparkSession.conf.set(sinks.STATE_STORE, sinks.ROCKSDB)
         return sinks.start(rows, name, self.checkpoints, self.trigger, sink)
 
     def publish(self, name: str):

@@ -11,6 +11,11 @@ from brookhouse.sources.bus import Bus
 from brookhouse.streaming.keyedlog import KeyedLog, batch_of, complete, number_in
 
 
+# State of streams is kept off the heap, so it may be larger than the executors' memory.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def publish(bus: Bus, messages: DataFrame, writer: str, batch_id: int) -> None:
     """Send messages (topic, value and maybe key) to the topics they name.
 

@@ -31,10 +31,10 @@ def test_blanks_and_patterns(text):
 
 
 def test_dictionary_takes_the_longest_word(spark, text):
-    listed = spark.createDataFrame([("显卡",), ("独立显卡",), ("电脑",), ("设计",)], "w string")
-    got = words(text("RTX4070电脑 独立显卡，设计x"), "dictionary", words=listed)
-    assert got == ["RTX4070", "电脑", "独立显卡", "设计", "x"]
-    assert words(text("卡"), "dictionary", words=listed) == ["卡"]
+    listed = spark.createDataFrame([("茶杯",), ("青花茶杯",), ("水壶",), ("陶艺",)], "w string")
+    got = words(text("No7水壶 青花茶杯，陶艺x"), "dictionary", words=listed)
+    assert got == ["No7", "水壶", "青花茶杯", "陶艺", "x"]
+    assert words(text("杯"), "dictionary", words=listed) == ["杯"]
     assert words(text(None), "dictionary", words=listed) == []
 
 
@@ -53,3 +53,13 @@ def test_counts_are_combined_before_the_shuffle(spark):
     df = spark.range(10).select(F.lit("hot").alias("word"), F.col("id").alias("ts"))
     plan = K.count_by_window(df)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
+
+
+def test_a_million_listed_words(spark, text):
+    listed = spark.range(1_000_000).select(F.concat(F.lit("w"), F.col("id").cast("string"), F.lit("x")).alias("w"))
+    assert words(text("w12xw999999xw1x-zz"), "dictionary", words=listed) == ["w12x", "w999999x", "w1x", "zz"]
+
+
+def test_tokens_need_no_python(spark, text):
+    df = K.split_keywords(text("ab"), "t", "dictionary", words=spark.createDataFrame([("a",)], "w string"))
+    assert "Python" not in df._jdf.queryExecution().toString()

@@ -33,20 +33,28 @@ def test_unknown_payment_type_keeps_the_payment(spark, dictionary):
     assert got == {"1201": "good", "9": None, None: None}
 
 
-def test_small_dictionary_is_broadcast_and_large_is_not(spark):
+def test_small_dictionary_is_broadcast_and_large_is_not(spark, monkeypatch):
     codes = spark.range(1000).select(F.col("id").cast("string").alias("rowkey"))
-    facts = spark.range(10).select(F.col("id").cast("string").alias("code"))
+    facts = spark.range(10).select(F.col("id").cast("string").alias("rowkey"), "id")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        def plan(side):
-            return facts.join(side, facts.code == side.rowkey)._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan(sizing.broadcast_if_small(codes))
-        assert "BroadcastHashJoin" not in plan(sizing.broadcast_if_small(codes, max_rows=999))
-        assert "BroadcastHashJoin" not in plan(sizing.broadcast_if_small(codes, max_bytes=100))
+        def joined():
+            return sizing.small_join(facts, codes, ["rowkey"], "left")
+
+        def plan():
+            return joined()._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan() and joined().count() == 10
+        monkeypatch.setattr(sizing, "fits", lambda df: False)
+        assert "BroadcastHashJoin" not in plan() and "_part" in plan() and joined().count() == 10
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_sizes_are_weighed_without_gathering_rows(spark):
+    codes = spark.range(1000).select(F.col("id").cast("string").alias("rowkey"))
+    assert sizing.fits(codes) and not sizing.fits(codes, max_rows=999) and not sizing.fits(codes, max_bytes=100)
+
+
 def test_materialised_rows_are_read_back(spark):
     df = spark.range(5).withColumn("m", F.create_map(F.lit("a"), F.col("id")))
     got = sizing.materialise(df)
