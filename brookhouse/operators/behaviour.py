@@ -5,15 +5,22 @@ from pyspark.sql import functions as F
 
 from brookhouse import schemas as S
 from brookhouse.functions.dates import DAY_MS, day_of
-from brookhouse.functions.jsons import parse_objects, to_line
+from brookhouse.functions.jsons import parse_objects
 from brookhouse.operators.joins import interval_join
 from brookhouse.operators.sizing import fits, materialise
 from brookhouse.operators.skew import NO_SALT, Salt
 
 
 def clean_log(raw: DataFrame, schema=S.BEHAVIOUR_LOG) -> DataFrame:
-    """Page and start records with a device and a time; pass a wider schema to carry further fields."""
-    return complete_records(parse_objects(raw, schema).withColumn("ts", F.col("ts").try_cast("bigint")))
+    """Page and start records with a device and a time.
+
+    The typed columns are what the operators look at; `whole` is the record as it came, with all its fields. (Of a record
+    that names a field twice, which a variant cannot hold, it is what the typed columns say.)
+    """
+    parsed = parse_objects(raw.withColumn("whole", F.try_parse_json("value")), schema)
+    parsed = parsed.withColumn("ts", F.col("ts").try_cast("bigint"))
+    typed = F.try_parse_json(F.to_json(F.struct(*schema.fieldNames())))
+    return complete_records(parsed.withColumn("whole", F.coalesce("whole", typed)))
 
 
 def complete_records(log: DataFrame) -> DataFrame:
@@ -108,7 +115,7 @@ def errors(log: DataFrame) -> DataFrame:
 
 def starts(log: DataFrame) -> DataFrame:
     """Start records whole, but for the error."""
-    return log.filter(F.col("start").isNotNull()).drop("err")
+    return log.filter(F.col("start").isNotNull()).drop("err", "whole")
 
 
 def _page_records(log: DataFrame) -> DataFrame:
@@ -117,7 +124,7 @@ def _page_records(log: DataFrame) -> DataFrame:
 
 def pages(log: DataFrame) -> DataFrame:
     """What is left of a page record once errors, displays and actions are taken out."""
-    return _page_records(log).drop("err", "start", "displays", "actions")
+    return _page_records(log).drop("err", "start", "displays", "actions", "whole")
 
 
 def displays(log: DataFrame) -> DataFrame:
@@ -135,33 +142,36 @@ def actions(log: DataFrame) -> DataFrame:
 
 
 def split_messages(log: DataFrame) -> DataFrame:
-    """All five outputs in one pass: topic and JSON text.
+    """All five outputs in one pass: topic and JSON text, with every field of the record, known or not.
 
-    Each record becomes the list of its messages, so the log is read once however many topics there are.
+    Each record becomes the list of its messages, so the log is read once however many topics there are. The flag of new
+    visitors is that of the typed column, which a repair may have changed.
     """
-    def message(topic: str, *columns) -> Column:
-        return F.struct(F.lit(topic).alias("topic"), to_line(*columns).alias("value"))
-
-    def spread(array: str, topic: str, fields: list[str]) -> Column:
-        return F.coalesce(
-            F.transform(array, lambda e: message(topic, *[e[f].alias(f) for f in fields], "common", "page", "ts")),
-            F.array().cast("array<struct<topic:string,value:string>>"),
-        )
-
-    nothing = F.array().cast("array<struct<topic:string,value:string>>")
-    whole = [c for c in log.columns if c not in ("err",)]
-    rest = [c for c in whole if c not in ("start", "displays", "actions")]
-    failed = F.when(F.col("err").isNotNull(), F.array(message(S.TRAFFIC_ERR, F.col("err.*")))).otherwise(nothing)
-    visited = (
-        F.when(F.col("start").isNotNull(), F.array(message(S.TRAFFIC_START, *whole)))
-        .when(
-            F.col("page").isNotNull(),
-            F.concat(
-                spread("displays", S.TRAFFIC_DISPLAY, S.DISPLAY.fieldNames()),
-                spread("actions", S.TRAFFIC_ACTION, [f for f in S.ACTION.fieldNames() if f != "ts"]),
-                F.array(message(S.TRAFFIC_PAGE, *rest)),
-            ),
-        )
-        .otherwise(nothing)
-    )
-    return log.select(F.inline(F.concat(failed, visited)))
+    fields = "map<string,variant>"
+    none = "cast(array() AS array<struct<topic:string,value:string>>)"
+
+    def message(topic: str, value: str) -> str:
+        return f"named_struct('topic', '{topic}', 'value', to_json({value}))"
+
+    def spread(array: str, topic: str) -> str:
+        """A message per element: its fields, and the record's context in place of its own."""
+        context = "map('common', _record['common'], 'page', _record['page'], 'ts', _record['ts'])"
+        own = f"map_filter(try_cast(e AS {fields}), (k, v) -> k NOT IN ('common', 'page', 'ts'))"
+        found = f"filter(try_cast(_record['{array}'] AS array<variant>), e -> try_cast(e AS {fields}) IS NOT NULL)"
+        return f"coalesce(transform({found}, e -> {message(topic, f'map_concat({own}, {context})')}), {none})"
+
+    def without(*names: str) -> str:
+        return "map_filter(_record, (k, v) -> k NOT IN ({}))".format(", ".join(f"'{n}'" for n in names))
+
+    flag = "if(common.is_new IS NULL, map(), map('is_new', CAST(common.is_new AS variant)))"
+    common = f"map_concat(map_filter(CAST(_fields['common'] AS {fields}), (k, v) -> k <> 'is_new'), {flag})"
+    record = f"map_concat(map_filter(_fields, (k, v) -> k <> 'common'), map('common', to_variant_object({common})))"
+    messages = f"""concat(
+        if(err IS NOT NULL, array({message(S.TRAFFIC_ERR, "_record['err']")}), {none}),
+        CASE WHEN start IS NOT NULL THEN array({message(S.TRAFFIC_START, without("err"))})
+             WHEN page IS NOT NULL THEN concat(
+                {spread("displays", S.TRAFFIC_DISPLAY)}, {spread("actions", S.TRAFFIC_ACTION)},
+                array({message(S.TRAFFIC_PAGE, without("err", "start", "displays", "actions"))}))
+             ELSE {none} END)"""
+    parsed = log.withColumn("_fields", F.expr(f"CAST(whole AS {fields})")).withColumn("_record", F.expr(record))
+    return parsed.select(F.inline(F.expr(messages)))

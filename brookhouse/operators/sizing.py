@@ -27,7 +27,7 @@ def small_join(rows: DataFrame, side: DataFrame, on: list[str], how: str = "inne
     """
     if fits(side):
         return rows.join(F.broadcast(side), on, how)
-    hashed = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
+    hashed = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     rows = rows.withColumn("_part", F.pmod(F.xxhash64(*hashed), F.lit(parts)).cast("int"))
     copies = side.withColumn("_part", F.explode(F.array(*map(F.lit, range(parts)))))
     return rows.join(copies, [*on, "_part"], how).drop("_part")

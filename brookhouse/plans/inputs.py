@@ -337,6 +337,21 @@ def behaviour_log(spark, sf_dir, stream=False) -> DataFrame:
     )
 
 
+def behaviour_lines(spark, sf_dir, stream=False) -> DataFrame:
+    """The behaviour log as text, with a field at each level that no schema knows."""
+    def more(array: str, name: str, value) -> Column:
+        return F.transform(array, lambda e: e.withField(name, value(e)))
+
+    log = behaviour_log(spark, sf_dir, stream)
+    return log_lines(log.withColumns({
+        "common": F.col("common").withField("net", F.lit("wifi")),
+        "page": F.col("page").withField("scroll", F.col("page.during_time")),
+        "start": F.col("start").withField("cold", F.lit(True)),
+        "displays": more("displays", "rank", lambda e: e["pos_seq"]), "actions": more("actions", "weight", lambda e: F.lit(1)),
+        "err": F.col("err").withField("trace", F.lit("at x")), "device": F.struct(F.lit("tablet").alias("kind")),
+    }))
+
+
 def log_lines(log: DataFrame) -> DataFrame:
     return log.select(F.explode(F.array(to_line(*log.columns))).alias("value"))
 

@@ -151,6 +151,28 @@ SELECT *, {K} AS k, epoch_us(ts) // 1000 AS ms, {_text('event_id')} AS sid,
 FROM events"""
 FOUND = "(event_type = 'click' AND k % 4 = 0)"
 
+# Whole messages; fields of an object are in the order of their names, the context of a display or action comes last.
+COMMON = f"""json_object('ar', {_text('k % 34')}, 'ba', 'ba', 'ch', 'ch', 'is_new', is_new, 'md', 'md', 'mid', {_text('user_id')},
+            'net', 'wifi', 'os', 'os', 'sid', sid, 'uid', {_text('user_id')}, 'vc', 'v1')"""
+PAGE = f"""json_object('during_time', k, 'item', 'item-' || k, 'item_type', CASE WHEN {FOUND} THEN 'keyword' ELSE 'sku_id' END,
+          'last_page_id', CASE WHEN {FOUND} THEN 'search' ELSE 'home' END, 'page_id', event_type, 'scroll', k)"""
+DEVICE = "json_object('kind', 'tablet')"
+
+
+def _messages(topic: str, value: str, where: str, more: str = "") -> str:
+    return f"SELECT 'dwd_traffic_{topic}' AS topic, CAST({value} AS VARCHAR) AS value FROM ({LOG}) l{more} WHERE {where}"
+
+
+LOG_PAGE = _messages("page", f"json_object('device', {DEVICE}, 'page', {PAGE}, 'ts', ms, 'common', {COMMON})", "event_type <> 'signup'")
+LOG_START = _messages("start", f"json_object('device', {DEVICE}, 'start', json_object('cold', true, 'entry', 'icon', 'loading_time', k), "
+                      f"'ts', ms, 'common', {COMMON})", "event_type = 'signup'")
+LOG_ERR = _messages("err", "json_object('error_code', k + 1000, 'msg', 'event ' || event_id, 'trace', 'at x')", "event_type = 'error'")
+LOG_DISPLAY = _messages("display", f"json_object('item', 'sku-' || i, 'item_type', 'sku_id', 'pos_id', k, 'pos_seq', i, 'rank', i, "
+                        f"'common', {COMMON}, 'page', {PAGE}, 'ts', ms)", "event_type <> 'signup' AND i <= k % 3",
+                        ", generate_series(1, 2) AS g(i)")
+LOG_ACTION = _messages("action", f"json_object('action_id', 'favor_add', 'item', {_text('k')}, 'item_type', 'sku_id', 'weight', 1, "
+                       f"'common', {COMMON}, 'page', {PAGE}, 'ts', ms)", "event_type = 'click'")
+
 PART_SEARCH = """
 SELECT p_name AS keyword, epoch_us(ts) // 1000 AS ts
 FROM events JOIN part ON p_partkey = event_id % (SELECT count(*) FROM part) WHERE event_type = 'view'"""
@@ -256,30 +278,12 @@ WITH l AS (SELECT sid, {_text('user_id')} AS mid, is_new, ms, CAST(make_timestam
      f AS (SELECT *, first_value(CASE is_new WHEN '1' THEN day ELSE day - 1 END)
                      OVER (PARTITION BY mid ORDER BY ms, is_new) AS first_day FROM l)
 SELECT sid, mid, CASE WHEN is_new = '1' AND day <> first_day THEN '0' ELSE is_new END AS is_new, ms AS ts FROM f""",
-    "log_page": f"""
-SELECT sid, event_type AS page_id, 'item-' || k AS item, ms AS ts FROM ({LOG}) WHERE event_type <> 'signup'""",
-    "log_start": f"""
-SELECT sid, 'icon' AS entry, k AS loading_time, ms AS ts FROM ({LOG}) WHERE event_type = 'signup'""",
-    "log_err": f"""
-SELECT k + 1000 AS error_code, 'event ' || event_id AS msg FROM ({LOG}) WHERE event_type = 'error'""",
-    "log_display": f"""
-SELECT CAST(i AS BIGINT) AS pos_seq, 'sku-' || i AS item, 'sku_id' AS item_type, k AS pos_id, sid,
-       event_type AS page_id, ms AS ts
-FROM ({LOG}) l, generate_series(1, 2) AS g(i) WHERE event_type <> 'signup' AND i <= k % 3""",
-    "log_action": f"""
-SELECT 'favor_add' AS action_id, {_text('k')} AS item, 'sku_id' AS item_type, sid, event_type AS page_id, ms AS ts
-FROM ({LOG}) WHERE event_type = 'click'""",
-    "log_split": f"""
-WITH l AS ({LOG})
-SELECT 'dwd_traffic_page' AS topic, sid, {NULL} AS item, {NULL} AS pos_seq, {NULL} AS error_code,
-       {_text('ms')} AS ts, {NULL} AS err, {NULL} AS displays FROM l WHERE event_type <> 'signup'
-UNION ALL SELECT 'dwd_traffic_start', sid, NULL, NULL, NULL, {_text('ms')}, NULL, NULL FROM l WHERE event_type = 'signup'
-UNION ALL SELECT 'dwd_traffic_err', NULL, NULL, NULL, {_text('k + 1000')}, NULL, NULL, NULL
-FROM l WHERE event_type = 'error'
-UNION ALL SELECT 'dwd_traffic_display', sid, 'sku-' || i, {_text('i')}, NULL, {_text('ms')}, NULL, NULL
-FROM l, generate_series(1, 2) AS g(i) WHERE event_type <> 'signup' AND i <= k % 3
-UNION ALL SELECT 'dwd_traffic_action', sid, {_text('k')}, NULL, NULL, {_text('ms')}, NULL, NULL
-FROM l WHERE event_type = 'click'""",
+    "log_page": LOG_PAGE,
+    "log_start": LOG_START,
+    "log_err": LOG_ERR,
+    "log_display": LOG_DISPLAY,
+    "log_action": LOG_ACTION,
+    "log_split": " UNION ALL ".join([LOG_PAGE, LOG_START, LOG_ERR, LOG_DISPLAY, LOG_ACTION]),
     "search_keyword": f"""
 SELECT 'item-' || k AS keyword, ms AS ts FROM ({LOG}) WHERE {FOUND}""",
     "search_keyword_json": f"""

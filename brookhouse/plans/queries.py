@@ -345,48 +345,38 @@ def visitor_fix(spark, sf_dir):
         "ts")
 
 
+def messages(spark, sf_dir, stream=False):
+    """Whole messages of the five topics."""
+    return B.split_messages(B.clean_log(I.behaviour_lines(spark, sf_dir, stream)))
+
+
+def _messages_of(spark, sf_dir, topic):
+    return messages(spark, sf_dir).filter(F.col("topic") == topic)
+
+
 def log_page(spark, sf_dir):
-    return B.pages(_log(spark, sf_dir)).select(
-        F.col("common.sid").alias("sid"), F.col("page.page_id").alias("page_id"), F.col("page.item").alias("item"),
-        "ts")
+    return _messages_of(spark, sf_dir, S.TRAFFIC_PAGE)
 
 
 def log_start(spark, sf_dir):
-    return B.starts(_log(spark, sf_dir)).select(
-        F.col("common.sid").alias("sid"), F.col("start.entry").alias("entry"),
-        F.col("start.loading_time").alias("loading_time"), "ts")
+    return _messages_of(spark, sf_dir, S.TRAFFIC_START)
 
 
 def log_err(spark, sf_dir):
-    return B.errors(_log(spark, sf_dir))
+    return _messages_of(spark, sf_dir, S.TRAFFIC_ERR)
 
 
 def log_display(spark, sf_dir):
-    return B.displays(_log(spark, sf_dir)).select(
-        "pos_seq", "item", "item_type", "pos_id", F.col("common.sid").alias("sid"),
-        F.col("page.page_id").alias("page_id"), "ts")
+    return _messages_of(spark, sf_dir, S.TRAFFIC_DISPLAY)
 
 
 def log_action(spark, sf_dir):
-    return B.actions(_log(spark, sf_dir)).select(
-        "action_id", "item", "item_type", F.col("common.sid").alias("sid"), F.col("page.page_id").alias("page_id"),
-        "ts")
-
-
-def message_fields(messages):
-    """Messages cut down to the fields that identify them."""
-    def at(path):
-        return F.get_json_object("value", path)
-
-    return messages.select(
-        "topic", at("$.common.sid").alias("sid"), at("$.item").alias("item"), at("$.pos_seq").alias("pos_seq"),
-        at("$.error_code").alias("error_code"), at("$.ts").alias("ts"), at("$.err").alias("err"),
-        at("$.displays").alias("displays"))
+    return _messages_of(spark, sf_dir, S.TRAFFIC_ACTION)
 
 
 def log_split(spark, sf_dir):
     """All five topics in one pass."""
-    return message_fields(B.split_messages(_log(spark, sf_dir)))
+    return messages(spark, sf_dir)
 
 
 # --- keywords -----------------------------------------------------------------------------------------------------

@@ -204,8 +204,7 @@ def stream_visitor_fix_native(spark, sf_dir):
 
 
 def stream_log_split(spark, sf_dir):
-    log = B.complete_records(I.behaviour_log(spark, sf_dir, True))
-    return drain(Q.message_fields(B.split_messages(log)), "stream_log_split")
+    return drain(Q.messages(spark, sf_dir, True), "stream_log_split")
 
 
 def stream_keyword_window_count(spark, sf_dir):

@@ -103,7 +103,7 @@ def test_split(split):
     assert sorted(len(r["displays"] or []) for r in rows(B.starts(split))) == [0, 3]
     shown = rows(B.displays(split))
     assert [r["pos_seq"] for r in shown] == [0, 1, 2]
-    assert all(r["ts"] == T0 and r["page"]["page_id"] == "cart" and r["common"]["mid"] == "device-a" for r in shown)
+    assert all(r["ts"] == T0 and r["page"]["page_id"] == "basket" and r["common"]["mid"] == "device-a" for r in shown)
     (acted,) = rows(B.actions(split))
     assert (acted["action_id"], acted["ts"]) == ("favor_add", T0)  # not the action's own time
 
@@ -125,3 +125,17 @@ def test_messages_equal_the_five_outputs(split):
 def test_log_is_parsed_once_for_all_topics(split):
     plan = B.split_messages(split)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_unknown_fields_reach_the_topics(lines):
+    more = {"x": {"deep": [1, 2.5, None]}}
+    raw = lines(record(common=COMMON | more, page=PAGE | more, displays=[SHOWN[0] | more], actions=[ACTED[0] | more], err={"error_code": 1} | more) | more,
+                '{"common":{"mid":"m","mid":"twice"},"page":{"page_id":"p"},"ts":5}')
+    log = B.repair_visitors(B.clean_log(raw), "UTC")
+    got = {(r["topic"], json.loads(r["value"]).get("ts")): json.loads(r["value"]) for r in rows(B.split_messages(log))}
+    context = {"common": COMMON | more, "page": PAGE | more, "ts": 1700000100000}
+    assert got[S.TRAFFIC_PAGE, 1700000100000] == context | more
+    assert got[S.TRAFFIC_DISPLAY, 1700000100000] == SHOWN[0] | more | context
+    assert got[S.TRAFFIC_ACTION, 1700000100000] == ACTED[0] | more | context
+    assert got[S.TRAFFIC_ERR, None] == {"error_code": 1} | more
+    assert got[S.TRAFFIC_PAGE, 5]["page"] == {"page_id": "p"}

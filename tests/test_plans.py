@@ -45,7 +45,7 @@ def test_filters_and_splits_do_not_shuffle(spark):
     log = spark.createDataFrame([], "common struct<mid:string,is_new:string>, page struct<page_id:string>, "
                                     "start struct<entry:string>, displays array<struct<pos_seq:bigint,item:string,"
                                     "item_type:string,pos_id:bigint>>, actions array<struct<action_id:string,"
-                                    "item:string,item_type:string,ts:bigint>>, err struct<msg:string>, ts bigint")
+                                    "item:string,item_type:string,ts:bigint>>, err struct<msg:string>, ts bigint, whole variant")
     for out in (B.pages(log), B.displays(log), B.actions(log), B.split_messages(log)):
         assert "Exchange" not in plan(out)
 
