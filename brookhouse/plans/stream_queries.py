@@ -3,13 +3,13 @@
 Output and checkpoint go to the shared scratch folder.
 """
 
-import dataclasses
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookhouse import schemas as S
+from brookhouse.functions.jsons import to_line
 from brookhouse.operators import behaviour as B
 from brookhouse.operators import facts
 from brookhouse.operators import joins as J
@@ -112,20 +112,27 @@ def stream_config_route_dwd(spark, sf_dir):
     return drain_batches(changes, "stream_config_route_dwd", routed)
 
 
-def _in_batches(spark, sf_dir, name, lines, finish, batches=3):
-    """Feed lines (source row order `at`, text `value`) to a dimension job in several micro-batches, then read its tables.
-
-    The rows of a batch go to one file in their order, as a producer writes them.
-    """
-    root = new_scratch(spark, name)
-    bus = Bus("files", f"{root}/bus", {"maxFilesPerTrigger": "1"})
+def bus_in_batches(spark, name, topic, lines, batches=3):
+    """A new bus of folders with lines (a number `at` that orders them, text `value`), which a stream reads in several
+    micro-batches: a file for each range of `at`, with its rows in order, as a producer writes them."""
+    bus = Bus("files", new_scratch(spark, name), {"maxFilesPerTrigger": "1"})
     lines = materialise(lines, name)
-    top = lines.agg(F.max("at")).first()[0] or 0
+    low, high = lines.agg(F.min("at"), F.max("at")).first()
+    share = (F.col("at") - F.lit(low or 0)) * batches / F.lit((high or 0) - (low or 0) + 1)
     for k in range(batches):
-        part = lines.filter(F.least(F.col("at") * batches / F.lit(top + 1), F.lit(batches - 1)).cast("int") == k)
-        publish(bus, part.coalesce(1).sortWithinPartitions("at").select(F.lit(S.TOPIC_DB).alias("topic"), "value"), "shop", k)
-    settings = Settings(bus, Q.DB, f"{root}/warehouse", f"{root}/checkpoints", Q.UTC, compact_every=2)
-    return finish(settings)
+        part = lines.filter(share.cast("int") == k).coalesce(1).sortWithinPartitions("at")
+        publish(bus, part.select(F.lit(topic).alias("topic"), "value"), "shop", k)
+    return bus
+
+
+def dimension_job(spark, sf_dir, name, lines, routes, compact_every):
+    """Settings of a deployment whose dimension job has run over the lines."""
+    bus = bus_in_batches(spark, name, S.TOPIC_DB, lines)
+    publish(bus, I.feed_lines(spark, routes, S.DIM_ROUTE).select(F.lit(DIM_FEED).alias("topic"), "value"), "config", 0)
+    root = new_scratch(spark, name)
+    settings = Settings(bus, Q.DB, f"{root}/warehouse", f"{root}/checkpoints", Q.UTC, compact_every=compact_every)
+    dim_app(spark, settings).awaitTermination()
+    return settings
 
 
 def _customer_lines(spark, sf_dir):
@@ -139,19 +146,11 @@ def to_line_with_nulls(**fields):
     return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]), {"ignoreNullFields": "false"}).alias("value")
 
 
-def _feed(settings, spark, *routes):
-    """Routing changes on the bus, in a file of their own."""
-    publish(settings.bus, I.feed_lines(spark, list(routes), S.DIM_ROUTE).select(F.lit(DIM_FEED).alias("topic"), "value"), "config", 0)
-
-
 def _dim_cell_merge(spark, sf_dir, overwrite_nulls, name):
-    def finish(settings):
-        _feed(settings, spark, ("r", None, ("customer_info", "dim_customer", "prio,st", "info", "id")))
-        dim_app(spark, settings).awaitTermination()
-        tables = settings.dimensions(spark)
-        return tables.read("dim_customer", ["prio", "st"], overwrite_nulls=overwrite_nulls).withColumn("row_key", F.col("row_key").cast("bigint"))
-
-    return _in_batches(spark, sf_dir, name, _customer_lines(spark, sf_dir), finish)
+    routes = [("r", None, ("customer_info", "dim_customer", "prio,st", "info", "id"))]
+    tables = dimension_job(spark, sf_dir, name, _customer_lines(spark, sf_dir), routes, 2).dimensions(spark)
+    rows = tables.read("dim_customer", ["prio", "st"], overwrite_nulls=overwrite_nulls)
+    return rows.withColumn("row_key", F.col("row_key").cast("bigint"))
 
 
 def stream_dim_cell_merge(spark, sf_dir):
@@ -169,14 +168,8 @@ def stream_config_route_dim(spark, sf_dir):
     lines = lines.select(F.col("ts").alias("at"), to_line_with_nulls(
         database=F.col("database"), table=F.col("table"), type=F.col("type"), ts=F.col("ts"), xid=F.lit(1), data=F.col("data")))
 
-    def finish(settings):
-        settings = dataclasses.replace(settings, compact_every=0)
-        _feed(settings, spark, *I.DIM_FEED)
-        dim_app(spark, settings).awaitTermination()
-        rows = settings.dimensions(spark).log.read()
-        return rows.select("sink_table", F.lit("info").alias("sink_family"), "row_key", "type", F.explode("data").alias("col", "val"))
-
-    return _in_batches(spark, sf_dir, "stream_config_route_dim", lines, finish)
+    log = dimension_job(spark, sf_dir, "stream_config_route_dim", lines, I.DIM_FEED, 0).dimensions(spark).log
+    return log.read().select("sink_table", F.lit("info").alias("sink_family"), "row_key", "type", F.explode("data").alias("col", "val"))
 
 
 def _visitors(log):
@@ -186,15 +179,16 @@ def _visitors(log):
 
 
 def stream_visitor_fix(spark, sf_dir):
-    """First visits kept as a keyed table."""
+    """First visits kept as a keyed table, over several micro-batches."""
     def repaired(root, batch, batch_id):
         with VisitorLog(batch.sparkSession, f"{root}/visitors", Q.UTC).repaired(batch, batch_id) as log:
             path = f"{root}/repaired/batch_id={batch_id}"
             _visitors(log).write.mode("overwrite").parquet(path)
         return batch.sparkSession.read.parquet(path)
 
-    log = B.complete_records(I.behaviour_log(spark, sf_dir, True))
-    return drain_batches(log, "stream_visitor_fix", repaired)
+    lines = I.behaviour_log(spark, sf_dir).select(F.col("ts").alias("at"), to_line("common", "page", "start", "ts").alias("value"))
+    bus = bus_in_batches(spark, "stream_visitor_fix", S.TOPIC_LOG, lines)
+    return drain_batches(B.clean_log(bus.stream(spark, S.TOPIC_LOG)), "stream_visitor_fix", repaired)
 
 
 def stream_visitor_fix_native(spark, sf_dir):

@@ -16,16 +16,30 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from brookhouse.functions.dates import DAY_MS
 from brookhouse.operators.behaviour import first_visits, repair_from
+from brookhouse.operators.sizing import fits
 from brookhouse.streaming.keyedlog import KeyedLog
 
-FIRST_VISIT = T.StructType([T.StructField("mid", T.StringType()), T.StructField("code", T.LongType())])
+FIRST_VISIT = T.StructType([
+    T.StructField("bucket", T.IntegerType()), T.StructField("mid", T.StringType()), T.StructField("code", T.LongType())])
+BUCKETS = 16
 
 
 class VisitorLog:
-    """Table of first visits. A device is written once, so a batch appends its new devices only."""
+    """Table of first visits, in folders by a hash of the device. A device is written once, so a batch appends its new
+    devices only. Of the table a batch reads the folders that its devices are in; these rows are not shuffled, but met
+    where they lie by the batch's devices, unless those are too many to be sent to all tasks.
+    """
 
     def __init__(self, spark: SparkSession, root: str, zone: str | None = None):
-        self.log, self.zone = KeyedLog(spark, root, FIRST_VISIT), zone
+        self.log, self.zone = KeyedLog(spark, root, FIRST_VISIT, ("bucket",)), zone
+
+    def known(self, visits: DataFrame, batch_id: int) -> DataFrame:
+        """Stored first visits of the devices of a batch."""
+        met = visits.select("bucket").distinct().collect()  # BUCKETS rows at most
+        stored = self.log.read(before=batch_id).filter(F.col("bucket").isin([r.bucket for r in met]))
+        stored = stored.select("mid", F.col("code").alias("_known"))
+        devices = visits.select("mid")
+        return stored.join(F.broadcast(devices) if fits(devices) else devices, "mid", "left_semi")
 
     @contextmanager
     def repaired(self, log: DataFrame, batch_id: int) -> Iterator[DataFrame]:
@@ -34,17 +48,18 @@ class VisitorLog:
         The batch and its devices are cached inside the block, as both are used more than once.
         """
         log.persist()
-        known = self.log.read(before=batch_id).select("mid", F.col("code").alias("_known"))
-        visits = first_visits(log).join(known, "mid", "left").persist()
+        seen = first_visits(log).withColumn("bucket", F.pmod(F.xxhash64("mid"), F.lit(BUCKETS)).cast("int")).persist()
+        visits = seen.join(self.known(seen, batch_id), "mid", "left").persist()
         try:
             self.log.append(visits.filter(F.col("_known").isNull() & F.col("code").isNotNull()), batch_id)
             yield repair_from(log, visits.withColumn("code", F.coalesce("_known", "code")), self.zone)
         finally:
             visits.unpersist()
+            seen.unpersist()
             log.unpersist()
 
     def compact(self) -> int | None:
-        return self.log.compact(lambda rows: rows.groupBy("mid").agg(F.min("code").alias("code")))
+        return self.log.compact(lambda rows: rows.groupBy("bucket", "mid").agg(F.min("code").alias("code")))
 
 
 class FirstVisit(StatefulProcessor):

@@ -413,3 +413,16 @@ def test_console(shop, tmp_path):
 
 def test_jobs_are_complete():
     assert len(jobs.JOBS) == 9
+
+
+def test_stored_first_visits_are_not_shuffled(spark, shop, lines):
+    from brookhouse.operators.behaviour import clean_log
+
+    visitors = VisitorLog(spark, f"{shop.settings.warehouse}/v", "UTC")
+    with visitors.repaired(clean_log(lines(*[visit(f"m{k}", "1", T0) for k in range(40)])), 0) as fixed:
+        assert fixed.count() == 40
+    seen = spark.sql("SELECT 'm7' AS mid, cast(pmod(xxhash64('m7'), 16) AS int) AS bucket")
+    known = visitors.known(seen, 1)
+    stored = known._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(mid" not in stored and "BroadcastHashJoin" in stored and "bucket" in stored.split("PartitionFilters:")[1][:80]
+    assert [r.mid for r in known.collect()] == ["m7"]
