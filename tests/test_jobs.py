@@ -421,7 +421,8 @@ def test_stored_first_visits_are_not_shuffled(spark, shop, lines):
     visitors = VisitorLog(spark, f"{shop.settings.warehouse}/v", "UTC")
     with visitors.repaired(clean_log(lines(*[visit(f"m{k}", "1", T0) for k in range(40)])), 0) as fixed:
         assert fixed.count() == 40
-    seen = spark.sql("SELECT 'm7' AS mid, cast(pmod(xxhash64('m7'), 16) AS int) AS bucket")
+    bucket = spark.sql("SELECT cast(pmod(xxhash64('m7'), 16) AS int)").first()[0]
+    seen = spark.createDataFrame([("m7", bucket), ("unseen", bucket)], "mid string, bucket int")
     known = visitors.known(seen, 1)
     stored = known._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(mid" not in stored and "BroadcastHashJoin" in stored and "bucket" in stored.split("PartitionFilters:")[1][:80]
