@@ -86,6 +86,7 @@ def passages(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     shape[:, 5] = np.log1p(np.repeat(t.words_of_row, counts)) / 8
     buckets = np.bincount(owner * BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64), minlength=n * BUCKETS)
     out[:, KINDS + SHAPES :] = np.sqrt(buckets.reshape(n, BUCKETS) / words)
+    out[begins[:-1][t.words_of_row == 0]] = 0
     return out, begins
 
 
@@ -105,8 +106,12 @@ def _forward(m: Model, x: np.ndarray, begins: np.ndarray) -> tuple:
     return x, h, v, u, a, z, 1 / (1 + np.exp(-np.clip(z @ m.out + m.bias[0], -30, 30)))
 
 
-def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 24, hidden: int = 32, inner: int = 16) -> Model:
-    """Adam on the log loss of the bags' labels; the same bags in the same order give the same model."""
+def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int | None = None, hidden: int = 32, inner: int = 16) -> Model:
+    """Adam on the log loss of the bags' labels; the same bags in the same order give the same model.
+
+    24 epochs, or, for few bags, as many as make 600 steps.
+    """
+    epochs = epochs or max(24, -(-600 // -(-len(bags) // 64)))
     r = np.random.default_rng(7)
     every = np.concatenate(bags)
     mean, scale = every.mean(axis=0), 1 / (every.std(axis=0) + 1e-2)

@@ -38,7 +38,7 @@ def test_passages_cover_the_whole_text():
     (t,) = text_slices(pa.array([text, None, "", "x"]))
     x, begins = quality.passages(t)
     assert np.diff(begins).tolist() == [16, 1, 1, 1] and x.shape[0] == 19
-    assert (x[16] == 0).all() and (x[17] == 0).all() and x[18].any()
+    assert (x[16:18] == 0).all() and x[18].max() > 0.1
 
 
 def test_edge_cases(spark, docs, prose):
