@@ -17,7 +17,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 from pathlib import Path
 
 import numpy as np
@@ -29,14 +29,16 @@ from pyspark.sql import functions as F
 
 from brookhouse.llm.huffman import code_lengths, codes, decode_tables, pack, unpack
 from brookhouse.llm.scratch import folder
-from brookhouse.llm.words import LOWER, Texts, text_slices
+from brookhouse.llm.words import LOWER, SPACE, Texts, text_slices
 
 END = 1
 LIMIT = 18
 BLOCK = 1 << 16
 EVERY = 256
 #: Pieces whose ids each of a worker's two generations of its memory holds at most.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
+#: Bytes of text encoded at once.
+SLICE_BYTES = 4 << 20
 
 #: ASCII signs but the apostrophe, which can be part of a contraction.
 _SIGN = np.zeros(256, bool)
@@ -62,19 +64,24 @@ class Encoder:
         self.old: dict[str, bytes] = {}
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        young, old = self.young, self.old
-        new = [x for x in pieces if x not in young and x not in old]
-        coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        fresh = {x: array("I", c.ids).tobytes() for x, c in zip(new, coded, strict=True)}
-        out = [young.get(x) or old.get(x) or fresh.get(x, b"") for x in pieces]
-        if len(young) + len(pieces) > REMEMBERED:
-            self.old, self.young = young, {}
-        self.young.update(zip(pieces, out, strict=True))
+        out = list(map(self.young.get, pieces))
+        absent = [i for i, ids in enumerate(out) if ids is None]
+        if len(self.young) + len(absent) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        new = []
+        for i in absent:
+            if (ids := self.old.get(pieces[i])) is not None:
+                out[i] = self.young[pieces[i]] = ids
+            else:
+                new.append(i)
+        coded = self.tokenizer.encode_batch_fast([pieces[i] for i in new], add_special_tokens=False)
+        for i, ids in zip(new, coded, strict=True):
+            out[i] = self.young[pieces[i]] = array("I", ids.ids).tobytes()
         return out
 
     def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text of a string column."""
-        for t in text_slices(column):
+        for t in text_slices(column, SLICE_BYTES):
             if not len(t.starts):
                 yield from [np.zeros(0, np.uint32)] * len(t.words_of_row)
                 continue
@@ -84,7 +91,7 @@ class Encoder:
                 (starts, ends, rows), raw = _split_signs(t), LOWER[t.raw]
             sizes = ends - starts
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            letters = raw[np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)]
+            letters = raw[~SPACE[raw]]  # pieces are in order and leave out nothing else
             coded = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(letters)).dictionary_encode()
             held = self._ids(coded.dictionary.to_pylist())
             flat = np.frombuffer(b"".join(held), np.uint32)
@@ -92,7 +99,8 @@ class Encoder:
             first = np.cumsum(lengths) - lengths
             which = coded.indices.to_numpy()
             n = lengths[which]
-            ids = flat[np.arange(int(n.sum())) + np.repeat(first[which] - np.cumsum(n) + n, n)]
+            ends_of = np.cumsum(n)
+            ids = flat[np.arange(ends_of[-1], dtype=np.int32) + np.repeat((first[which] - ends_of + n).astype(np.int32), n)]
             cuts = np.cumsum(np.bincount(rows, n, len(t.words_of_row)).astype(np.int64))
             yield from np.split(ids, cuts[:-1])
 
@@ -117,6 +125,12 @@ def _split_signs(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts, ends, rows
 
 
+@lru_cache(maxsize=1)
+def shared_encoder(path: str) -> Encoder:
+    """One per worker process, so that its tasks use what earlier ones have looked up."""
+    return Encoder(path)
+
+
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
@@ -166,7 +180,7 @@ def _lengths(spark: SparkSession, path: str) -> np.ndarray:
 
 
 def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
-    encoder, part, block = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+    encoder, part, block = shared_encoder(tokenizer), TaskContext.get().partitionId(), 0
     docs: list[int | None] = []
     ids: list[np.ndarray] = []
     held = 0
