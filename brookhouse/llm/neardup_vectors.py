@@ -2,8 +2,8 @@
 
 Vectors of unit length with a cosine of 0.93 are at most 0.374 apart. Each of `TABLES` tables cuts `PROJECTIONS` random
 (Gaussian, hence 2-stable) projections into steps of `WIDTH` and uses the steps together as a bucket. Two vectors at that
-distance share a bucket with a probability of 0.998, at a cosine of 0.97 with one of 1 - 1e-7; unrelated ones share one
-of a table with 0.001. All pairs of a bucket get the exact cosine, in double precision, with none left out: large buckets
+distance share a bucket with a probability of 0.999, at a cosine of 0.97 with one of 1 - 1e-5; unrelated ones share one
+of a table with 0.01 (for very many vectors, take more projections and tables). All pairs of a bucket get the exact cosine, in double precision, with none left out: large buckets
 are cut into blocks, and each pair of blocks is a task's group. Exact copies are one vector with a weight. A pair counts
 in the first table whose bucket it shares, so links are summed per vector without listing them; for the components each
 group returns only links that join what is not joined in it yet.
@@ -18,13 +18,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from brookhouse.llm.components import components
 from brookhouse.llm.groups import sorted_groups
 from brookhouse.llm.scratch import keep
 from brookhouse.llm.words import mix
 
-TABLES, PROJECTIONS, WIDTH = 32, 6, 1.2
+TABLES, PROJECTIONS, WIDTH = 16, 5, 1.6
 #: Vectors of a bucket that are compared within one group.
 BLOCK = 1024
 
@@ -36,7 +37,9 @@ def linked_vectors(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
     components, or has no label, links with nothing. Equal rows count once as a link of others; a row without vec_id is
     never linked, has no component_id and is kept.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label")
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, FloatType)
+    embedding = F.col("embedding") if single else F.col("embedding").cast("array<double>").alias("embedding")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), embedding, "label")
     fine = F.forall("embedding", lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False))) & F.exists("embedding", lambda x: x != 0)
     whole = rows.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & fine).withColumns(
         {"h1": F.xxhash64("label", "embedding"), "h2": F.xxhash64(F.lit(1), "label", "embedding")})
@@ -45,13 +48,13 @@ def linked_vectors(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
     member = keep(ids.join(classes, ["h1", "h2"]).select("vec_id", "rep", "weight"))
     reps = whole.join(classes, ["h1", "h2"]).where("vec_id = rep").dropDuplicates(["vec_id", "h1", "h2"])
     placed = keep(reps.select("rep", "weight", F.xxhash64("label", F.size("embedding")).alias("own"), "embedding").mapInArrow(
-        _place, "table int, bucket long, rep long, weight long, own long, buckets binary, vector binary"))
+        _place, "table int, bucket long, rep long, weight long, own long, vector binary"))
     crowded = placed.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
     dealt = placed.join(crowded, "bucket", "left").withColumn("blocks", F.coalesce(F.ceil(F.col("n") / BLOCK), F.lit(1)).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "table", "rep", "weight", "own", "buckets", "vector")
+    dealt = dealt.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "table", "rep", "weight", "own", "vector")
     links = keep(dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high").mapInArrow(
-        partial(_link, cosine=cosine), "rep long, n long, other long"))
+        partial(_link, cosine=cosine, kind="<f4" if single else "<f8"), "rep long, n long, other long"))
     counts = links.where("other is null").groupBy("rep").agg(F.sum("n").alias("n"))
     found = components(links.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b")))
     # a vec_id with several different vectors is in several classes
@@ -72,34 +75,43 @@ def _tables(width: int) -> tuple[np.ndarray, np.ndarray]:
     return r.standard_normal((width, TABLES * PROJECTIONS)), r.uniform(0, WIDTH, TABLES * PROJECTIONS)
 
 
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    unit = vectors.astype(np.float64)
+    unit /= np.abs(unit).max(axis=1, keepdims=True)
+    return unit / np.linalg.norm(unit, axis=1, keepdims=True)
+
+
+def _buckets(unit: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Hashes of the buckets of unit vectors, a column per table."""
+    project, offset = _tables(unit.shape[1])
+    steps = np.floor((unit @ project + offset) / WIDTH).astype(np.int64).view(np.uint64).reshape(len(unit), TABLES, PROJECTIONS)
+    buckets = mix(own.view(np.uint64)[:, None] ^ np.arange(1, TABLES + 1, dtype=np.uint64))
+    for k in range(PROJECTIONS):
+        buckets = mix(buckets + steps[:, :, k])
+    return buckets
+
+
 def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
             part = batch.slice(at, 1024)
             lists = part.column(3)
             lengths = lists.value_lengths().to_numpy()
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
             begins = np.cumsum(lengths) - lengths
             for width in np.unique(lengths):
                 rows = np.flatnonzero(lengths == width)
-                unit = flat[begins[rows][:, None] + np.arange(width)]
-                unit /= np.abs(unit).max(axis=1, keepdims=True)
-                unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                project, offset = _tables(int(width))
-                steps = np.floor((unit @ project + offset) / WIDTH).astype(np.int64).view(np.uint64).reshape(len(rows), TABLES, PROJECTIONS)
-                own = part.column(2).to_numpy()[rows].view(np.uint64)
-                buckets = mix(own[:, None] ^ np.arange(1, TABLES + 1, dtype=np.uint64))
-                for k in range(PROJECTIONS):
-                    buckets = mix(buckets + steps[:, :, k])
-                every, held = [x.tobytes() for x in buckets], [x.tobytes() for x in unit]
+                vectors = flat[begins[rows][:, None] + np.arange(width)]
+                buckets = _buckets(_unit(vectors), part.column(2).to_numpy()[rows])
+                held = pa.array([x.tobytes() for x in vectors], pa.binary())
                 for table in range(TABLES):
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.full(len(rows), table, np.int32)), pa.array(buckets[:, table].view(np.int64)), part.column(0).take(pa.array(rows)),
-                        part.column(1).take(pa.array(rows)), part.column(2).take(pa.array(rows)), pa.array(every, pa.binary()), pa.array(held, pa.binary()),
-                    ], ["table", "bucket", "rep", "weight", "own", "buckets", "vector"])
+                        part.column(1).take(pa.array(rows)), part.column(2).take(pa.array(rows)), held,
+                    ], ["table", "bucket", "rep", "weight", "own", "vector"])
 
 
-def _link(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.RecordBatch]:
+def _link(batches: Iterator[pa.RecordBatch], cosine: float, kind: str) -> Iterator[pa.RecordBatch]:
     counts: list[tuple[np.ndarray, np.ndarray]] = []
     a: list[int] = []
     b: list[int] = []
@@ -108,12 +120,9 @@ def _link(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.Recor
             continue
         rep, weight, own, block = (group[name].to_numpy() for name in ("rep", "weight", "own", "block"))
         low, high, table = (group[name][0].as_py() for name in ("low", "high", "table"))
-        vectors = [np.frombuffer(x.as_py()) for x in group["vector"]]
-        if len({len(x) for x in vectors}) > 1:  # a clash of bucket hashes; `own` tells lengths apart
-            widest = max(map(len, vectors))
-            vectors = [np.pad(x, (0, widest - len(x))) for x in vectors]
-        unit = np.stack(vectors)
-        buckets = np.stack([np.frombuffer(x.as_py(), np.uint64) for x in group["buckets"]])
+        vectors = [np.frombuffer(x.as_py(), kind) for x in group["vector"]]
+        widest = max(map(len, vectors))  # lengths only differ if bucket hashes clash, and then so does `own`
+        unit = _unit(np.stack([np.pad(x, (0, widest - len(x))) for x in vectors] if len({*map(len, vectors)}) > 1 else vectors))
         first, second = np.flatnonzero(block == low), np.flatnonzero(block == high)
         if not len(first) or not len(second):
             continue
@@ -123,9 +132,13 @@ def _link(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.Recor
             near &= np.arange(len(first))[:, None] < np.arange(len(first))
         i, j = np.nonzero(near)
         i, j = first[i], second[j]
+        if not len(i):
+            continue
+        linked, where = np.unique(np.concatenate([i, j]), return_inverse=True)
+        buckets = _buckets(unit[linked], own[linked])
         fresh = np.ones(len(i), bool)
         for earlier in range(table):
-            fresh &= buckets[i, earlier] != buckets[j, earlier]
+            fresh &= buckets[where[: len(i)], earlier] != buckets[where[len(i) :], earlier]
         i, j = i[fresh], j[fresh]
         if not len(i):
             continue
