@@ -95,13 +95,18 @@ def log_of(maker, spark: SparkSession, sf_dir: str, stream: bool = False, end_of
     return with_times(rows)
 
 
+def dealt(lines: DataFrame) -> DataFrame:
+    """Messages in as many partitions as there are cores, as on a bus whose topics have partitions, whatever their number."""
+    return lines if lines.isStreaming else lines.repartition(lines.sparkSession.sparkContext.defaultParallelism)
+
+
 def as_lines(log: DataFrame) -> DataFrame:
     """Change-log records as the JSON text that a bus carries.
 
     `explode` keeps later filters behind the text, which they would otherwise build again for themselves.
     """
     line = to_line("database", "table", "type", "ts", "xid", "commit", "data", "old")
-    return log.select(F.explode(F.array(line)).alias("value"))
+    return dealt(log).select(F.explode(F.array(line)).alias("value"))
 
 
 # --- trade --------------------------------------------------------------------------------------------------------
@@ -353,7 +358,7 @@ def behaviour_lines(spark, sf_dir, stream=False) -> DataFrame:
 
 
 def log_lines(log: DataFrame) -> DataFrame:
-    return log.select(F.explode(F.array(to_line(*log.columns))).alias("value"))
+    return dealt(log).select(F.explode(F.array(to_line(*log.columns))).alias("value"))
 
 
 def page_info(spark, sf_dir) -> DataFrame:

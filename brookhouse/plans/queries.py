@@ -153,7 +153,7 @@ def order_detail_wide_unbounded(spark, sf_dir):
 
 def fact_lines(spark, sf_dir):
     """The order-detail topic: the messages of `order_detail_wide`."""
-    return upsert_messages_of(details(spark, sf_dir).drop("row_time"), S.ORDER_DETAIL, ["id"])
+    return upsert_messages_of(I.dealt(details(spark, sf_dir).drop("row_time")), S.ORDER_DETAIL, ["id"])
 
 
 def fact_table(spark, sf_dir):
