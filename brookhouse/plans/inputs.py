@@ -97,7 +97,7 @@ def log_of(maker, spark: SparkSession, sf_dir: str, stream: bool = False, end_of
 
 def dealt(lines: DataFrame) -> DataFrame:
     """Messages in as many partitions as there are cores, as on a bus whose topics have partitions, whatever their number."""
-    return lines if lines.isStreaming else lines.repartition(lines.sparkSession.sparkContext.defaultParallelism)
+    return lines if lines.isStreaming else lines.repartition(lines.sparkSession.sparkContext.defaultParallelism, "ts")
 
 
 def as_lines(log: DataFrame) -> DataFrame:
