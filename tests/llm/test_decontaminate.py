@@ -63,3 +63,19 @@ def test_edge_cases(spark, docs, bench, prose):
 def test_no_python_runs(spark, docs, bench, prose):
     plan = clean_documents(docs(prose(50, 1)), bench((1, prose(20, 2))))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("small", [100_000, 0])
+def test_anchors_away_from_their_own_offset(spark, docs, bench, monkeypatch, small):
+    """All anchors lie in the middle of the item; the best window holds them shifted by words put in and left out."""
+    monkeypatch.setattr(decontaminate, "SMALL", small)
+    item = [f"{i:03d}{'abc' if 22 <= i <= 77 else 'de'}" for i in range(100)]
+    tail = [f"z{i:03d}" for i in range(60)]
+    shifted = [*item[:10], "put1x", "put2x", *item[10:87], *item[89:]]
+    swapped = [*item[50:], *item[:50]]
+    rows = [(1, " ".join([*tail[:30], *shifted, *tail[30:]])), (2, " ".join([*tail, *swapped])), (3, " ".join([*item[5:], *tail])),
+            (4, " ".join([*tail, *item[:95]])), (5, " ".join([*item[:50], *tail[:30], *item[50:]]))]
+    items = [(1, " ".join(item)), (2, " ".join([*item, *tail[:5]]))]
+    want = brute(rows, items)
+    assert {(1, 1), (2, 1)} <= want.keys() and not any(doc == 5 for doc, _ in want)
+    assert {(r.doc_id, r.item_id): r.similarity for r in leaks(docs(*rows), bench(*items)).collect()} == pytest.approx(want)
