@@ -109,7 +109,9 @@ def _windows(texts: DataFrame, anchors: DataFrame, weighed: DataFrame, k: int, s
     if small:
         found = placed.join(F.broadcast(anchors), "h").withColumn("first", first).select(*hit, "first", around)
     else:
-        found = placed.drop("words").join(anchors, "h").select(*hit).distinct().join(texts.drop("key"), "doc_id").withColumn("first", first).select(*hit, "first", around)
+        found = placed.drop("words").join(anchors, "h").select(*hit).distinct()
+        whole = texts.select(F.col("doc_id").alias("d"), F.col("key").alias("t"), "words").dropDuplicates(["d", "t"])
+        found = found.join(whole, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("t"))).withColumn("first", first).select(*hit, "first", around)
     before = F.lag("pos").over(Window.partitionBy("doc_id", "key", "item").orderBy("pos"))
     found = found.withColumn("from", F.greatest("first", F.coalesce(before + 1, F.lit(0)))).where("from <= pos")
     found = found.withColumn("around", F.expr("slice(around, from - first + 1, size(around))")).join(weighed, "item")

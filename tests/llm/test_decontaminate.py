@@ -79,3 +79,12 @@ def test_anchors_away_from_their_own_offset(spark, docs, bench, monkeypatch, sma
     want = brute(rows, items)
     assert {(1, 1), (2, 1)} <= want.keys() and not any(doc == 5 for doc, _ in want)
     assert {(r.doc_id, r.item_id): r.similarity for r in leaks(docs(*rows), bench(*items)).collect()} == pytest.approx(want)
+
+
+@pytest.mark.parametrize("small", [100_000, 0])
+def test_texts_without_or_with_equal_ids(spark, docs, bench, prose, monkeypatch, small):
+    monkeypatch.setattr(decontaminate, "SMALL", small)
+    item, other = prose(30, 1, 5000), prose(30, 2, 5000)
+    df = docs((None, f"x y {item}"), (None, f"x {other}"), (None, None), (3, f"{prose(40, 3, 5000)} {item}"), (3, prose(90, 4, 5000)), (3, f"x {other}"), (3, f"x {other}"))
+    rows = sorted((r.doc_id or 0, r.item_id, r.similarity, r.start) for r in leaks(df, bench((1, item), (2, other))).collect())
+    assert rows == [(0, 1, 1.0, 2), (0, 2, 1.0, 1), (3, 1, 1.0, 40), (3, 2, 1.0, 1)]
