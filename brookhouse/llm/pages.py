@@ -1,11 +1,14 @@
 """Main text of web pages by consensus host paths.
 
 1. Each page is cut into blocks of text. A block's container is its nearest enclosing element that is no paragraph or
-   inline element; the path of a container is its chain of tags and classes, with digits generalised. A page scores its
-   paths by the text in them (link text counts against them, half of the score goes to the parent).
-2. Per host, Spark sums the votes: each page gives one vote, in parts of its scores. The path with most wins.
-3. Each page is cut again and gives the blocks below the containers with its host's winning path, or, if it has none,
-   below those with its own best path.
+   inline element; the path of a container is its chain of tags and classes, with digits generalised. A page chooses
+   the smallest container that holds nearly all its text (link text counts against it), or the outermost article or main
+   around that.
+2. Per host, Spark counts the choices. The path with most wins, and each other that is a template of the host too: at
+   least `PAGES` pages and a part of `SHARE` of the host's choose it.
+3. Each page is cut again and gives the blocks below all containers with its host's winning paths, with those that stand
+   directly in what is around them; html and body count only for pages that choose them. A page without any gives the
+   blocks of its own choice.
 
 Menus, headers outside the article, footers, sidebars, notices, adverts, forms, scripts, styles and comments are never
 part of a block, by their tags or the words of their class, id or role.
@@ -24,7 +27,11 @@ from pyspark.sql import functions as F
 
 from brookhouse.llm.scratch import keep
 
-#: Winning paths that are sent to all tasks at most; more are joined by shuffle.
+#: Part of a page's text that a container must hold to be chosen.
+NEARLY_ALL = 0.98
+#: What makes a path a template besides the first.
+PAGES, SHARE = 2, 0.01
+#: Hosts whose winning paths are sent to all tasks at most; more are joined by shuffle.
 SMALL = 50_000
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<[!?/a-zA-Z][^>]*(?:>|\Z)""", re.DOTALL)
@@ -110,17 +117,43 @@ class Page:
                 self.blocks.append((path, text, self.in_links))
             self.text, self.in_links = [], 0
 
-    def scores(self) -> dict[str, float]:
-        out: dict[str, float] = defaultdict(float)
-        for path, text, linked in self.blocks:
-            score = max(0, len(text) - 2 * linked)
-            out[path] += score
-            if "/" in path[1:]:
-                out[path.rpartition("/")[0]] += score / 2
-        return out
+    def choice(self) -> tuple[str, bool]:
+        """The path of the page's main container, and whether the page has text outside links that speaks for it."""
+        held = [(path.split("/")[1:], max(0, len(text) - 2 * linked)) for path, text, linked in self.blocks]
+        speaks = any(score for _, score in held)
+        if not speaks:
+            held = [(steps, len(text)) for (steps, _), (_, text, _) in zip(held, self.blocks, strict=True)]
+        least = NEARLY_ALL * sum(score for _, score in held)
+        chosen: list[str] = []
+        while held:
+            scores: dict[str, float] = defaultdict(float)
+            for steps, score in held:
+                if len(steps) > len(chosen):
+                    scores[steps[len(chosen)]] += score
+            step = max(sorted(scores), key=scores.get, default=None)
+            if step is None or scores[step] < least:
+                break
+            held = [(steps, score) for steps, score in held if len(steps) > len(chosen) and steps[len(chosen)] == step]
+            chosen.append(step)
+        for depth, step in enumerate(chosen):
+            if step.partition(".")[0] in ("article", "main"):
+                del chosen[depth + 1 :]
+                break
+        return "".join(f"/{step}" for step in chosen), speaks
+
+    def below(self, paths: list[str]) -> list[str]:
+        """The blocks below the containers with these paths, and those directly in what is around such a container."""
+        taken, around = [False] * len(self.blocks), set()
+        for path in paths:
+            inside = [own == path or own.startswith(path + "/") for own, _, _ in self.blocks]
+            if any(inside):
+                taken = [x or y for x, y in zip(taken, inside, strict=True)]
+                around |= {own for own, _, _ in self.blocks if path.startswith(own + "/") and not _root(own)}
+        return [text for (own, text, _), take in zip(self.blocks, taken, strict=True) if take or own in around]
+
 
-    def below(self, path: str) -> list[str]:
-        return [text for own, text, _ in self.blocks if own == path or own.startswith(path + "/")]
+def _root(path: str) -> bool:
+    return all(step.partition(".")[0] in ("html", "body") for step in path.split("/")[1:])
 
 
 def _marked(attributes: str) -> bool:
@@ -145,32 +178,33 @@ def main_texts(pages: DataFrame) -> DataFrame:
     A NULL or empty html, or one without blocks, has an empty text. Equal rows vote as often as they occur.
     """
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).withColumn("host", host_of(F.col("url")))
-    votes = rows.select("host", "html").mapInArrow(_votes, "host string, path string, vote double").groupBy("host", "path").agg(F.sum("vote").alias("vote"))
-    best = Window.partitionBy("host").orderBy(F.round("vote", 6).desc(), "path")
-    paths = keep(votes.withColumn("place", F.row_number().over(best)).where("place = 1").select("host", "path"))
+    votes = rows.select("host", "html").mapInArrow(_votes, "host string, path string, vote long").groupBy("host", "path").agg(F.sum("vote").alias("vote"))
+    host = Window.partitionBy("host")
+    placed = votes.withColumn("place", F.row_number().over(host.orderBy(F.desc("vote"), "path"))).withColumn("all", F.sum("vote").over(host))
+    won = placed.where((F.col("place") == 1) | ((F.col("vote") >= PAGES) & (F.col("vote") >= SHARE * F.col("all"))))
+    paths = keep(won.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("paths")))  # 1 / SHARE of a host at most
     if paths.count() <= SMALL:
         paths = F.broadcast(paths)
     schema = rows.select("page_id", "url").schema.simpleString()[len("struct<") : -1]
     fields = ", ".join(x.replace(":", " ", 1) for x in schema.split(","))
-    return rows.join(paths, "host", "left").select("page_id", "url", "html", "path").mapInArrow(_texts, f"{fields}, text string, n_chars long")
+    return rows.join(paths, "host", "left").select("page_id", "url", "html", "paths").mapInArrow(_texts, f"{fields}, text string, n_chars long")
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[str, str], float] = defaultdict(float)
+    held: dict[tuple[str, str], int] = defaultdict(int)
     for batch in batches:
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            scores = Page(html.as_py() or "").scores()
-            total = sum(scores.values())
-            for path, score in scores.items() if total else ():
-                held[host, path] += score / total
+            path, speaks = Page(html.as_py() or "").choice()
+            if speaks:
+                held[host, path] += 1
         if len(held) > 50_000:  # summed again after the shuffle
             yield _counted(held)
-            held = defaultdict(float)
+            held = defaultdict(int)
     yield _counted(held)
 
 
 def _counted(held: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.string()), pa.array(list(held.values()), pa.float64())],
+    return pa.RecordBatch.from_arrays([pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.string()), pa.array(list(held.values()), pa.int64())],
                                       ["host", "path", "vote"])
 
 
@@ -178,11 +212,10 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part, texts = batch.slice(at, 500), []
-            for html, path in zip(part.column(2), part.column(3), strict=True):
-                page, path = Page(html.as_py() or ""), path.as_py()
-                found = page.below(path) if path is not None else []
-                if not found and (scores := page.scores()):
-                    found = page.below(max(sorted(scores), key=scores.get))
+            for html, paths in zip(part.column(2), part.column(3), strict=True):
+                page = Page(html.as_py() or "")
+                own, _ = page.choice()
+                found = page.below([path for path in paths.as_py() or () if path == own or not _root(path)]) or page.below([own])
                 texts.append("\n".join(found))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
                                              ["page_id", "url", "text", "n_chars"])

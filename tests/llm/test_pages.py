@@ -52,3 +52,24 @@ def test_query_covers_all_pages(spark):
     rows = op9_pages(spark, SF).collect()
     assert len(rows) == spark.read.parquet(f"{SF}/pages.parquet").count() and all(r.n_chars == len(r.text) for r in rows)
     assert all(r.text for r in rows)
+
+
+def test_nothing_of_the_article_is_lost(spark):
+    lead = "<h1>Head</h1><p>The lead</p>"
+    bodies = [f"<article>{lead}<div class='body'><p>{'long text ' * 90}</p></div></article>",
+              f"<div class='post'>{lead}<div class='body'><p>{'long text ' * 90}</p></div></div>",
+              f"<article>{lead}<section><p>{'one part ' * 40}</p></section>between<section><p>{'next part ' * 40}</p></section></article>",
+              f"<div class='a'><div class='body'>{'b' * 600}</div><div class='more'>{'m' * 400}</div></div>"]
+    got = extract(spark, *((f"http://h{k}/{n}", page(body)) for k, body in enumerate(bodies) for n in range(3)))
+    text, one, two = ("long text " * 90).strip(), ("one part " * 40).strip(), ("next part " * 40).strip()
+    want = [f"Head\nThe lead\n{text}", f"Head\nThe lead\n{text}", f"Head\nThe lead\n{one}\nbetween\n{two}", f"{'b' * 600}\n{'m' * 400}"]
+    assert got == [x for x in want for _ in range(3)]
+
+
+def test_two_templates_of_a_host(spark):
+    news = [("http://h/n", page(f"<div class='news'><p>{'news text ' * 50}</p></div>")) for _ in range(8)]
+    blog = [("http://h/b", page(f"<div class='news'><p>teaser</p></div><div class='blog'><p>{'blog text ' * 90}</p></div>")) for _ in range(2)]
+    bare = [("http://h/c", page(f"<div class='news'><p>{'teaser ' * 9}</p></div><p>{'bare text ' * 90}</p>")) for _ in range(2)]
+    got = extract(spark, *news, *blog, *bare)
+    assert got[:8] == [("news text " * 50).strip()] * 8
+    assert all(("blog text " * 90).strip() in x for x in got[8:10]) and all(("bare text " * 90).strip() in x for x in got[10:])
