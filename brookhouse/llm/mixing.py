@@ -20,6 +20,8 @@ SEED = 17
 #: Tokens of a block on average.
 BLOCK_TOKENS = 100_000
 GRID, ROUNDS = 64, 5
+#: How far the exponent may be off, and the digits of a weight that count.
+STEP, DIGITS = 1 / GRID * (2 / GRID) ** (ROUNDS - 1), 9
 
 
 def mixture(docs: DataFrame, budget: float = 1.0, entropy: float | None = None, repetition: float | None = 2.0, seed: int = SEED) -> DataFrame:
@@ -38,7 +40,11 @@ def mixture(docs: DataFrame, budget: float = 1.0, entropy: float | None = None,
     power = F.when(F.col("t") > 0, F.pow("p", F.lit(alpha))).otherwise(0.0)
     weights = shares.select("source", "t", "all", power.alias("x")).withColumn("weight", F.col("x") / F.nullif(F.sum("x").over(_everything()), F.lit(0.0)))
     # the last digits of a power may differ between machines; the quota must not
-    quota = F.floor(F.round("weight", 9) * F.col("all") * F.lit(float(budget))).cast("long")
+    exact = F.round("weight", DIGITS) * F.col("all") * F.lit(float(budget))
+    # a quota that is a whole number of passes but for the exponent's last step and the digits left out is one
+    passes = F.round(exact / F.nullif(F.col("t"), F.lit(0))) * F.col("t")
+    slack = exact * STEP * F.log(F.col("all") / F.min(F.nullif(F.col("t"), F.lit(0))).over(_everything())) + F.col("all") * F.lit(float(budget) * 10.0**-DIGITS)
+    quota = F.when(F.abs(passes - exact) <= slack, passes).otherwise(F.floor(exact)).cast("long")
     plan = keep(
         weights.withColumn("quota", F.coalesce(quota, F.lit(0).cast("long")))
         .select("source", F.coalesce("weight", F.lit(0.0)).alias("weight"), F.ceil(F.greatest(F.col("t"), F.lit(1)) / BLOCK_TOKENS).cast("long").alias("blocks"),
@@ -94,7 +100,10 @@ def temperature(totals: DataFrame, budget: float, entropy: float | None, repetit
 
 
 def mixed_documents(docs: DataFrame, budget: float, repetition: float) -> DataFrame:
-    """The rows of docs as often as the mixture takes them (not at all, once, or in several copies)."""
+    """The rows of docs as often as the mixture takes them (not at all, once, or in several copies).
+
+    Rows without doc_id are left out: nothing tells which of them the mixture took.
+    """
     taken = mixture(docs, budget, None, repetition).where("doc_id is not null").groupBy("doc_id").agg(F.max("copies").alias("n"))
     n, copy, id_ = fresh(docs.columns, "n"), fresh(docs.columns, "copy"), fresh([*docs.columns, "n", "copy"], "of")
     taken = taken.where("n > 0").select(F.col("doc_id").alias(id_), F.col("n").alias(n))

@@ -73,3 +73,10 @@ def test_edge_cases(spark, docs, prose):
 def test_no_python_runs(spark, docs, prose):
     plan = mixed_documents(docs(prose(50, 1)), 0.9, 1.0)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize(("small", "large"), [(7, 1000), (13, 2100)])
+def test_the_smallest_source_is_taken_whole(spark, docs, prose, small, large):
+    df = docs((1, prose(small, 1), "en", "small"), *((10 + k, prose(large // 10, 2 + k), "en", "large") for k in range(10)), *((30 + k, prose(large // 20, 20 + k), "en", "middle") for k in range(10)))
+    assert [r.doc_id for r in mixed_documents(df, 0.9, 1.0).collect() if r.source == "small"] == [1]
+    assert {r.copies for r in mixture(df, 0.9, None, 2.0).where("source = 'small'").collect()} == {2}
