@@ -37,7 +37,7 @@ def powers(base: int, n: int) -> np.ndarray:
     return _powers(base, max(n - 1, 1).bit_length())[:n]
 
 
-def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+def spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     """Polynomial hashes of values[start:end], the same wherever the span stands."""
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * powers(base, len(values)), out=sums[1:])
@@ -48,7 +48,7 @@ def plain_hashes(t: Texts) -> np.ndarray:
     """A 64-bit hash of each word as it stands, upper and lower case apart."""
     if not len(t.starts):
         return np.zeros(0, np.uint64)
-    return mix(_spans(BYTE_VALUES[t.raw], t.starts, t.ends, BASE) + (t.ends - t.starts).astype(np.uint64) * STEP)
+    return mix(spans(BYTE_VALUES[t.raw], t.starts, t.ends, BASE) + (t.ends - t.starts).astype(np.uint64) * STEP)
 
 
 def _sliding(values: np.ndarray, n: int, pick: np.ufunc) -> np.ndarray:
@@ -73,9 +73,9 @@ def windows(t: Texts, n_words: int, anchor_words: int) -> Windows:
     first = np.arange(len(words) - n_words + 1)
     whole = t.row_of_word[first] == t.row_of_word[first + n_words - 1]
     at = first[whole]
-    h1, h2 = (mix(_spans(words, at, at + n_words, base)) for base in (BASE, BASE_2))
-    spans = np.arange(len(words) - anchor_words + 1)
-    hashes = mix(_spans(words, spans, spans + anchor_words, BASE_2)) | np.uint64(1)
+    h1, h2 = (mix(spans(words, at, at + n_words, base)) for base in (BASE, BASE_2))
+    every = np.arange(len(words) - anchor_words + 1)
+    hashes = mix(spans(words, every, every + anchor_words, BASE_2)) | np.uint64(1)
     inside = n_words - anchor_words  # spans of a window but one
     least = np.where(whole, _sliding(hashes, inside + 1, np.minimum), np.uint64(0))
     edge = np.zeros(inside, np.uint64)
