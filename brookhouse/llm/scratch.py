@@ -24,6 +24,14 @@ def keep(df: DataFrame, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A checkpoint in the shared folder: as `keep`, and the partitions stay what they are."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def discard(df: DataFrame) -> None:
     """Remove a table that `keep` made."""
     jvm = df.sparkSession._jvm

@@ -1,0 +1,105 @@
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from brookhouse.llm.trie import OP11_SQL, conversation_paths, op11_conversations, prefix_trie, with_shared_heads
+from tests.conftest import SF
+from tools.check import connect
+
+TURNS = "conv_id long, turn long, role string, text string, path string, up long"
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def sequences(rows):
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    return {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
+
+
+def rebuilt(own):
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        rest = abs(c) % 100
+        out[c] = own.get(c - rest if c >= 0 else c + rest, [])[:h] + turns[h:]
+    return out
+
+
+def brute(paths):
+    members = defaultdict(list)
+    for c, path in paths.items():
+        for d in range(len(path) + 1):
+            members[tuple(path[:d])].append(c)
+    children = defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        leaves[node] = sum(leaves[x] for x in children[node]) or 1
+        saved[node] = sum(saved[x] for x in children[node]) + ((len(members[node]) - 1) * len(node[-1][1]) if node else 0)
+    out = []
+    for node, own in members.items():
+        ends = ",".join(str(c) for c in sorted(own) if len(paths[c]) == len(node))
+        out.append((min(own), len(node), min(members[node[:-1]]) if node else None, len(own), len(children[node]), leaves[node], saved[node],
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(df):
+    assert df.columns == COLUMNS
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.fixture
+def table(spark):
+    return lambda rows: spark.createDataFrame([(*r, "", 0) for r in rows], TURNS)
+
+
+def talks(seed, n):
+    r = random.Random(seed)
+    rows = []
+    for c in range(n):
+        for turn in range(r.choice([1, 2, 2, 3, 5, 9])):
+            rows.append((c, turn, r.choice(["user", "assistant"]), r.choice(["", "a", "bb", "ccc é"])))
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize(("seed", "n", "shards"), [(1, 150, 1), (2, 150, 3), (3, 300, 17), (4, 60, 60), (5, 1, 4)])
+def test_equals_brute_force(spark, table, seed, n, shards):
+    rows = talks(seed, n)
+    paths = conversation_paths(table(rows).repartition(3))
+    assert got(prefix_trie(paths, shards)) == brute(sequences(rows))
+    assert got(prefix_trie(with_shared_heads(paths), shards)) == brute(rebuilt(sequences(rows)))
+
+
+def test_copies_over_many_shards(spark, table, monkeypatch):
+    """One conversation a few hundred times: its nodes cross all shards, the ids of its ends come from many."""
+    rows = [(c, t, "user", f"turn {t}") for c in range(300) for t in range(7)]
+    rows += [(c, t, "user", f"turn {t}" if t < c % 9 else f"own {c}") for c in range(300, 340) for t in range(9)]
+    assert got(prefix_trie(conversation_paths(table(rows)), 12)) == brute(sequences(rows))
+
+
+def test_a_long_conversation_and_its_copies(spark, table):
+    rows = [(c, t, "user", f"t{t}") for c in (3, 11, 12) for t in range(1500)] + [(12, 1500, "user", "more"), (4, 0, "user", "t0")]
+    assert got(prefix_trie(conversation_paths(table(rows)), 4)) == brute(sequences(rows))
+
+
+def test_edge_cases(spark, table):
+    rows = [(None, 1, "user", "lost"), (100, None, None, None), (100, 1, "user", "hi"), (100, 1, "user", "hi"), (105, 0, "a", "b"), (106, 0, "ab", ""),
+            (-5, 2, "user", "x" * 100_000), (-100, 0, "user", "base"), (2**40, 7, None, "alone"), (107, 0, "user", "hi"), (107, None, "user", "first")]
+    paths = conversation_paths(table(rows))
+    assert got(prefix_trie(paths, 3)) == brute(sequences(rows))
+    assert got(prefix_trie(with_shared_heads(paths), 3)) == brute(rebuilt(sequences(rows)))
+    assert got(prefix_trie(with_shared_heads(conversation_paths(table(rows).limit(0))))) == []
+
+
+def test_query_against_sql(spark):
+    want = connect(SF).execute(OP11_SQL).fetchall()
+    assert len(want) > 20 and got(op11_conversations(spark, SF)) == sorted(want, key=str)
