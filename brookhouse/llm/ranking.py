@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brookhouse.llm.scratch import keep
-from brookhouse.llm.windows import BASE_2, plain_hashes, spans
+from brookhouse.llm.windows import BASE_2, SLICE_BYTES, plain_hashes, spans
 from brookhouse.llm.words import BYTE_VALUES, LOWER, Texts, text_slices
 
 TOP = 20
@@ -63,7 +63,7 @@ def term_slices(column: pa.Array) -> Iterator[Texts]:
         column = pa.concat_arrays([column])
     _, offsets, data = column.buffers()
     letters = _TERM[np.frombuffer(data, np.uint8)] if data is not None else np.zeros(0, np.uint8)
-    yield from text_slices(pa.LargeStringArray.from_buffers(len(column), offsets, pa.py_buffer(letters)))
+    yield from text_slices(pa.LargeStringArray.from_buffers(len(column), offsets, pa.py_buffer(letters)), SLICE_BYTES)
 
 
 def _hashes(t: Texts) -> tuple[np.ndarray, np.ndarray]:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brookhouse.llm.sketch import ROWS, Sketch, cells_for, maybe_repeated, merged, text_bytes
-from brookhouse.llm.windows import windows
+from brookhouse.llm.windows import SLICE_BYTES, windows
 from brookhouse.llm.words import Texts, text_slices
 
 WINDOW, ANCHOR = 20, 10
@@ -35,7 +35,7 @@ WINDOW, ANCHOR = 20, 10
 def _count(batches: Iterator[pa.RecordBatch], cells: int, window: int, anchor: int) -> Iterator[pa.RecordBatch]:
     sketch = Sketch(cells)
     for batch in batches:
-        for t in text_slices(batch.column("text")):
+        for t in text_slices(batch.column("text"), SLICE_BYTES):
             sketch.add(windows(t, window, anchor).marks)
     yield from sketch.blocks()
 
@@ -57,7 +57,7 @@ def _suspects(t: Texts, again: np.ndarray, window: int, anchor: int) -> tuple[np
 def _candidates(batches: Iterator[pa.RecordBatch], again: Broadcast, window: int, anchor: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        for t in text_slices(batch.column("text")):
+        for t in text_slices(batch.column("text"), SLICE_BYTES):
             rows, _, h1, h2, earliest = _suspects(t, again.value, window, anchor)
             columns = [h1[earliest].view(np.int64), h2[earliest].view(np.int64), ids[t.first : t.last][rows[earliest]].astype(np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["h1", "h2", "doc_id"])
@@ -66,7 +66,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], again: Broadcast, window: int
 def _cut(batches: Iterator[pa.RecordBatch], again: Broadcast, window: int, anchor: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, firsts = batch.column("doc_id"), batch.column("firsts")
-        for t in text_slices(batch.column("text")):
+        for t in text_slices(batch.column("text"), SLICE_BYTES):
             rows, starts, h1, _, earliest = _suspects(t, again.value, window, anchor)
             own = firsts.slice(t.first, t.last - t.first)
             keeps = earliest & _holds(own, rows, h1.view(np.int64))

@@ -25,7 +25,11 @@ class Windows(NamedTuple):
     marks: np.ndarray  # a hash for each place where an anchor stands
 
 
-@lru_cache(maxsize=8)
+#: Bytes of text worked on at once, and the longest table of powers that a worker keeps (2**KEPT_BITS).
+SLICE_BYTES = 1 << 20
+KEPT_BITS = 21
+
+
 def _powers(base: int, bits: int) -> np.ndarray:
     """base**0 .. base**(2**bits - 1) modulo 2**64."""
     steps = np.full(1 << bits, base, np.uint64)
@@ -33,8 +37,12 @@ def _powers(base: int, bits: int) -> np.ndarray:
     return np.cumprod(steps, dtype=np.uint64)
 
 
+_kept_powers = lru_cache(maxsize=8)(_powers)
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    return _powers(base, max(n - 1, 1).bit_length())[:n]
+    bits = max(n - 1, 1).bit_length()
+    return (_kept_powers if bits < KEPT_BITS else _powers)(base, bits)[:n]
 
 
 def spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
