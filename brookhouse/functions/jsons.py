@@ -4,28 +4,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DIRT = "_corrupt_record"
-
-
 def parse_objects(raw: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Replace the text column by the fields of its JSON object; rows that are not one whole object are dropped.
 
     Other columns of `raw` (a bus offset, say) are kept. A field of the wrong type becomes NULL, the rest of the
-    record stays. The parser itself would ignore what follows the first object, so the text must also be the only
-    element of an array: two objects on a line, or one with other text around it, are not. `inline` keeps the parsed
-    record out of reach of filter push-down, which would otherwise parse every line twice.
+    record stays. The parser itself would ignore what follows the first object, so the text is parsed as the only
+    element of an array: two objects on a line, or one with other text around it, are not. That is one parse; the
+    generators keep the parsed records out of reach of filter push-down, which would otherwise repeat it.
     """
-    marked = T.StructType([*schema.fields, T.StructField(DIRT, T.StringType())])
-    parsed = F.from_json(F.col(value), marked, {"columnNameOfCorruptRecord": DIRT})
-    rest = [F.col(c) for c in raw.columns if c != value]
     text = F.btrim(value, F.lit(" \t\r\n"))
-    readable = F.coalesce(*[F.when(F.col(f.name).isNotNull(), True) for f in schema.fields], F.lit(False))
+    rest = [F.col(c) for c in raw.columns if c != value]
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema))
     return (
         raw.filter(text.startswith("{") & text.endswith("}"))
-        .filter(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1)
-        .select(*rest, F.inline(F.array(parsed)))
-        .filter(F.col(DIRT).isNull() | readable)
-        .drop(DIRT)
+        .select(*rest, F.explode(F.array(parsed)).alias("_objects"))
+        .filter(F.size("_objects") == 1)
+        .select(*rest, F.inline("_objects"))
     )
 
 

@@ -138,16 +138,21 @@ def order_info_changes(spark, sf_dir, stream=False) -> DataFrame:
 
 
 def activity_changes(spark, sf_dir, stream=False) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem", stream).filter("l_discount >= 0.05")
-    return changes(rows, "order_detail_activity", "insert", order_seconds("l_orderkey"), pairs(
-        order_detail_id=line_id(), activity_id=text(F.col("l_suppkey") % 10), activity_rule_id=text("l_suppkey"),
+    """Lines with a discount of 5 % and more have an activity; for the others one is changed."""
+    rows = table(spark, sf_dir, "lineitem", stream)
+    kind = F.when(F.col("l_discount") >= 0.05, "insert").otherwise("update")
+    return changes(rows, "order_detail_activity", kind, order_seconds("l_orderkey"), pairs(
+        order_id=text("l_orderkey"), order_detail_id=line_id(), activity_id=text(F.col("l_suppkey") % 10),
+        activity_rule_id=text("l_suppkey"),
     ))
 
 
 def coupon_changes(spark, sf_dir, stream=False) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem", stream).filter("l_tax >= 0.05")
-    return changes(rows, "order_detail_coupon", "insert", order_seconds("l_orderkey"), pairs(
-        order_detail_id=line_id(), coupon_id=text("l_suppkey"),
+    """Lines with a tax of 5 % and more have a coupon; for the others one is deleted."""
+    rows = table(spark, sf_dir, "lineitem", stream)
+    kind = F.when(F.col("l_tax") >= 0.05, "insert").otherwise("delete")
+    return changes(rows, "order_detail_coupon", kind, order_seconds("l_orderkey"), pairs(
+        order_id=text("l_orderkey"), order_detail_id=line_id(), coupon_id=text("l_suppkey"),
     ))
 
 

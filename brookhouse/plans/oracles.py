@@ -298,6 +298,29 @@ FROM (SELECT unnest(regexp_extract_all(keyword, '[a-z]+')) AS word FROM ({PART_S
 WITH w AS (SELECT string_agg(w, '|' ORDER BY length(w) DESC, w) AS p
            FROM (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS w FROM part))
 SELECT p_partkey, unnest(regexp_extract_all(replace(p_name, ' ', ''), (SELECT p FROM w))) AS word FROM part""",
+    "keyword_tokens_smart": """
+WITH RECURSIVE names AS (SELECT p_partkey, replace(p_name, ' ', '') || '-' || p_partkey AS t, string_split(p_name, ' ') AS w FROM part),
+listed AS (
+  SELECT unnest(w) AS w FROM names UNION
+  SELECT w[i] || left(w[i + 1], 2) FROM (SELECT w, unnest(range(1, len(w))) AS i FROM names)),
+ends AS (SELECT p_partkey, t, unnest(range(1, length(t) + 1)) AS e FROM names),
+edges AS (
+  SELECT e.p_partkey, e.t, e.e, coalesce(list(length(l.w)) FILTER (l.w IS NOT NULL), []) AS sizes
+  FROM ends e LEFT JOIN listed l ON length(l.w) <= e.e AND substring(e.t, e.e - length(l.w) + 1, length(l.w)) = l.w GROUP BY ALL),
+graphs AS (SELECT p_partkey, t, list(sizes ORDER BY e) AS sizes FROM edges GROUP BY ALL),
+scored AS (
+  SELECT p_partkey, t, sizes, list_reduce(list_prepend([0::BIGINT], sizes), lambda best, own: list_append(best, greatest(
+    best[len(best)], list_max(list_transform(own, lambda x: best[len(best) - x + 1] + x * 1000000000000 - 100000000 - x * x))))) AS best FROM graphs),
+path AS (
+  SELECT p_partkey, t, sizes, best, length(t) AS e, 0 AS size, false AS taken FROM scored UNION ALL
+  SELECT p_partkey, t, sizes, best, e - greatest(step, 1), greatest(step, 1), step > 0 FROM (
+    SELECT *, coalesce(list_max(list_filter(sizes[e], lambda x: best[e - x + 1] + x * 1000000000000 - 100000000 - x * x = best[e + 1])), 0) AS step
+    FROM path WHERE e > 0)),
+skipped AS (
+  SELECT p_partkey, substring(t, e + 1, 1) AS c, e, e - row_number() OVER (PARTITION BY p_partkey ORDER BY e) AS run
+  FROM path WHERE size > 0 AND NOT taken AND regexp_matches(substring(t, e + 1, 1), '[A-Za-z0-9]'))
+SELECT p_partkey, substring(t, e + 1, size) AS word FROM path WHERE taken UNION ALL
+SELECT p_partkey, string_agg(c, '' ORDER BY e) FROM skipped GROUP BY p_partkey, run""",
     "date_functions": f"""
 SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d %H:%M:%S') AS moment,
        strftime(ts, '%Y%m%d') AS part, {_east('%Y-%m-%d')} AS day_east,

@@ -132,6 +132,7 @@ def payment_success_update(spark, sf_dir):
 
 
 def details(spark, sf_dir, bounds=J.SAME_PURCHASE, stream=False):
+    """With bounds, time buckets spread a busy order; without, its lines are found and dealt to several tasks."""
     lines = facts.order_detail_inserts(I.log_of(I.order_detail_changes, spark, sf_dir, stream, "order_detail"), DB)
     return J.order_detail_wide(
         lines,
@@ -139,7 +140,7 @@ def details(spark, sf_dir, bounds=J.SAME_PURCHASE, stream=False):
         facts.activity_inserts(I.log_of(I.activity_changes, spark, sf_dir, stream, "order_detail_activity"), DB),
         facts.coupon_inserts(I.log_of(I.coupon_changes, spark, sf_dir, stream, "order_detail_coupon"), DB),
         bounds,
-        NO_SALT if stream else hot_keys(lines, "order_id"),
+        NO_SALT if bounds else hot_keys(lines, "order_id"),
     )
 
 
@@ -152,8 +153,9 @@ def order_detail_wide_unbounded(spark, sf_dir):
 
 
 def fact_lines(spark, sf_dir):
-    """The order-detail topic: the messages of `order_detail_wide`."""
-    return upsert_messages_of(I.dealt(details(spark, sf_dir).drop("row_time")), S.ORDER_DETAIL, ["id"])
+    """The order-detail topic: the messages of `order_detail_wide`, whose text is built once (see `as_lines`)."""
+    messages = upsert_messages_of(I.dealt(details(spark, sf_dir).drop("row_time")), S.ORDER_DETAIL, ["id"])
+    return messages.select("topic", "key", F.explode(F.array("value")).alias("value"))
 
 
 def fact_table(spark, sf_dir):
@@ -421,6 +423,22 @@ def keyword_tokens_dictionary(spark, sf_dir):
     return K.split_keywords(joined, "text", "dictionary", words=words).select("p_partkey", "word")
 
 
+def _trap_words(parts):
+    """The words of part names, and each but the last with the first two letters of the one behind it: the longest word at a
+    place is then often a wrong one."""
+    pairs = F.explode(F.arrays_zip(F.slice("w", 1, F.size("w") - 1).alias("a"), F.slice("w", 2, F.size("w") - 1).alias("b"))).alias("p")
+    split = parts.select(F.split("p_name", " ").alias("w"))
+    return split.select(F.explode("w").alias("w")).unionByName(
+        split.select(pairs).select(F.concat("p.a", F.left("p.b", F.lit(2))).alias("w"))).distinct()
+
+
+def keyword_tokens_smart(spark, sf_dir):
+    """Part names without blanks and with their number, cut along the best path over all listed words."""
+    parts = I.table(spark, sf_dir, "part")
+    joined = parts.select("p_partkey", F.concat(F.regexp_replace("p_name", " ", ""), F.lit("-"), I.text("p_partkey")).alias("text"))
+    return K.split_keywords(joined, "text", "smart", words=_trap_words(parts)).select("p_partkey", "word")
+
+
 # --- dates --------------------------------------------------------------------------------------------------------
 
 
@@ -449,6 +467,6 @@ BATCH: dict[str, Query] = {
         dim_cell_merge_nulls, config_feed, config_current, dim_registry, dim_tables, upsert_latest,
         upsert_with_deletes, upsert_messages, log_cleanse, visitor_fix, log_page, log_start, log_err, log_display,
         log_action, log_split, search_keyword, search_keyword_json, keyword_window_count, keyword_tokens_regex,
-        keyword_tokens_dictionary, date_functions,
+        keyword_tokens_dictionary, keyword_tokens_smart, date_functions,
     )
 }

@@ -63,3 +63,52 @@ def test_a_million_listed_words(spark, text):
 def test_tokens_need_no_python(spark, text):
     df = K.split_keywords(text("ab"), "t", "dictionary", words=spark.createDataFrame([("a",)], "w string"))
     assert "Python" not in df._jdf.queryExecution().toString()
+
+
+def test_smart_gives_up_a_long_word_for_the_next_one(spark, text):
+    listed = spark.createDataFrame([("研究",), ("研究生",), ("生命",), ("命",), ("起源",), ("T恤",)], "w string")
+    assert words(text("研究生命起源"), "dictionary", words=listed) == ["研究生", "命", "起源"]
+    assert words(text("研究生命起源"), "smart", words=listed) == ["研究", "生命", "起源"]
+    assert words(text("No7 T恤，茶研究生x-2"), "smart", words=listed) == ["No7", "T恤", "茶", "研究生", "x", "2"]
+    assert words(text("茶x"), "smart", words=listed.limit(0)) == ["茶", "x"]
+    assert words(text(None), "smart", words=listed) == [] and words(text(""), "smart", words=listed) == []
+
+
+def test_best_path_equals_all_paths():
+    import itertools
+    import random
+
+    def paths(text, graph, at=0):
+        if at == len(text):
+            yield []
+            return
+        for size in graph.get(at, ()):
+            yield from ([(at, size)] + rest for rest in paths(text, graph, at + size))
+        yield from paths(text, graph, at + 1)
+
+    r = random.Random(4)
+    listed = ["".join(p) for n in (2, 3, 4) for p in itertools.product("甲乙", repeat=n) if r.random() < 0.4]
+    for _ in range(200):
+        text = "".join(r.choice("甲乙") for _ in range(r.randrange(1, 11)))
+        graph = {i: [len(w) for w in listed if text.startswith(w, i)] for i in range(len(text))}
+
+        def worth(path):
+            return sum(n for _, n in path), -len(path), -sum(n * n for _, n in path)
+
+        top = max(map(worth, paths(text, graph)))
+        edges = [(i + 1, n) for i, sizes in graph.items() for n in sizes]
+        got = K.best_path(text, [i for i, _ in edges], [n for _, n in edges])
+        assert "".join(got) == text
+        taken = [w for w in got if len(w) > 1]
+        assert (sum(map(len, taken)), -len(taken), -sum(len(w) ** 2 for w in taken)) == top
+
+
+def test_long_texts_take_time_in_proportion(spark, text):
+    import time
+
+    listed = spark.createDataFrame([("ab",), ("ba",), ("茶茶",)], "w string")
+    words(text("ab茶茶"), "smart", words=listed), words(text("ab茶茶"), "dictionary", words=listed)
+    for mode in ("smart", "dictionary"):
+        began = time.monotonic()
+        assert len(words(text("ab-茶茶 " * 8000), mode, words=listed)) == 16_000
+        assert time.monotonic() - began < 15
