@@ -11,7 +11,8 @@
    blocks of its own choice.
 
 Menus, headers outside the article, footers, sidebars, notices, adverts, forms, scripts, styles and comments are never
-part of a block, by their tags or the words of their class, id or role.
+part of a block, by their tags or the names in their class, id or role. A name counts as a whole: it is one of a list of
+words, or made of such words and of words for place and shape only (`site-footer`, not `notice-of-motion`).
 """
 
 from __future__ import annotations
@@ -35,9 +36,9 @@ PAGES, SHARE = 2, 0.01
 SMALL = 50_000
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<[!?/a-zA-Z][^>]*(?:>|\Z)""", re.DOTALL)
-NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
-CLASS = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 WORD = re.compile(r"[a-z]+")
+NAMED = re.compile("class|id|role", re.IGNORECASE)
 
 RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "xmp", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -54,6 +55,22 @@ DROPPED_WORDS = {
     "pagination", "popup", "promo", "promoted", "related", "respond", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "widget",
     "alert", "toolbar", "masthead", "complementary", "contentinfo", "search", "replies",
 }
+#: What a name may hold besides: words for place, shape and number.
+OTHER_WORDS = {
+    "area", "bar", "block", "bottom", "box", "btn", "button", "buttons", "center", "container", "content", "fixed", "form", "global", "group", "header", "holder",
+    "horizontal", "icons", "id", "inner", "item", "items", "js", "large", "left", "link", "links", "list", "main", "message", "mobile", "outer", "overlay", "page",
+    "panel", "post", "posts", "primary", "right", "row", "secondary", "section", "signup", "site", "slot", "small", "sticky", "stories", "top", "unit", "vertical",
+    "wrap", "wrapper", "zone",
+}
+#: Elements that a start tag ends if their end tag is left out, and elements beyond which it does not look for them.
+ENDS = {
+    "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
+    "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"td", "th", "tr"}, {"table"}),
+    "tbody": ({"td", "th", "tr", "thead", "tbody", "tfoot", "caption"}, {"table"}), "thead": ({"caption"}, {"table"}),
+    "tfoot": ({"td", "th", "tr", "thead", "tbody", "tfoot", "caption"}, {"table"}),
+}
+#: Elements whose items end with them; an end tag of an item does not look beyond.
+SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"table"}, "th": {"table"}, "tr": {"table"}, "p": {"td", "th", "table", "li", "dd", "div", "section", "article"}}
 
 
 class Page:
@@ -83,12 +100,11 @@ class Page:
                 if tag in INLINE:
                     continue
                 self._end(path)
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] == tag:
-                        path, dropped = stack[depth][1], stack[depth][2]
-                        del stack[depth:]
-                        article = any(x[0] in ("article", "main") for x in stack)
-                        break
+                depth = _open(stack, {tag}, SCOPES.get(tag, ()))
+                if depth is not None:
+                    path, dropped = stack[depth][1], stack[depth][2]
+                    del stack[depth:]
+                    article = any(x[0] in ("article", "main") for x in stack)
             elif tag in RAW:
                 close = re.compile(f"</{tag}[^>]*>", re.IGNORECASE).search(html, at)
                 at = close.end() if close else end
@@ -98,9 +114,19 @@ class Page:
                 links = 1 if tag == "a" else links
             else:
                 self._end(path)
-                if tag in VOID or (tag in LEAF and not _marked(found[3])):
+                while stack and stack[-1][0] == "p":  # nothing but inline elements stands in a paragraph
+                    _, path, dropped = stack.pop()
+                ended = _open(stack, *ENDS[tag]) if tag in ENDS else None
+                while ended is not None:
+                    path, dropped = stack[ended][1], stack[ended][2]
+                    del stack[ended:]
+                    ended = _open(stack, *ENDS[tag])
+                if tag in VOID:
                     continue
                 stack.append((tag, path, dropped))
+                if tag in LEAF:
+                    dropped = dropped or _marked(found[3])
+                    continue
                 dropped = dropped or tag in DROPPED_TAGS or (tag == "header" and not article) or (tag not in ("html", "body", "article", "main") and _marked(found[3]))
                 article = article or tag in ("article", "main")
                 path = f"{path}/{_step(tag, found[3])}"
@@ -152,17 +178,39 @@ class Page:
         return [text for (own, text, _), take in zip(self.blocks, taken, strict=True) if take or own in around]
 
 
+def _open(stack: list[tuple[str, str, bool]], tags: set[str], scope: set[str]) -> int | None:
+    """Depth of the innermost open element with one of the tags, if none of `scope` is open inside it."""
+    for depth in range(len(stack) - 1, -1, -1):
+        if stack[depth][0] in tags:
+            return depth
+        if stack[depth][0] in scope:
+            return None
+    return None
+
+
 def _root(path: str) -> bool:
     return all(step.partition(".")[0] in ("html", "body") for step in path.split("/")[1:])
 
 
+def _attribute(attributes: str, *names: str) -> list[str]:
+    """Values of the attributes with these whole names."""
+    return ["".join(found[1:]) for found in ATTRIBUTE.findall(attributes) if found[0].lower() in names]
+
+
 def _marked(attributes: str) -> bool:
-    return any(not DROPPED_WORDS.isdisjoint(WORD.findall("".join(found).lower())) for found in NAMES.findall(attributes)) if attributes else False
+    if not attributes or not NAMED.search(attributes):
+        return False
+    return any(_boilerplate(name) for value in _attribute(attributes, "class", "id", "role") for name in value.split())
+
+
+def _boilerplate(name: str) -> bool:
+    words = set(WORD.findall(re.sub("(?<=[a-z])(?=[A-Z])", "-", name).lower()))
+    return not DROPPED_WORDS.isdisjoint(words) and words <= DROPPED_WORDS | OTHER_WORDS
 
 
 def _step(tag: str, attributes: str) -> str:
-    found = CLASS.search(attributes) if attributes else None
-    names = sorted(set(re.sub(r"\d+", "#", "".join(x or "" for x in found.groups())).lower().replace("/", "_").split())) if found else []
+    values = _attribute(attributes, "class") if attributes and NAMED.search(attributes) else []
+    names = sorted(set(re.sub(r"\d+", "#", values[0]).lower().replace("/", "_").split())) if values else []
     return ".".join([tag, *names])
 
 

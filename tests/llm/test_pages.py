@@ -73,3 +73,27 @@ def test_two_templates_of_a_host(spark):
     got = extract(spark, *news, *blog, *bare)
     assert got[:8] == [("news text " * 50).strip()] * 8
     assert all(("blog text " * 90).strip() in x for x in got[8:10]) and all(("bare text " * 90).strip() in x for x in got[10:])
+
+
+def test_end_tags_left_out_after_a_marked_element(spark):
+    bodies = [
+        ("<article><h1>T</h1><p class='notice'>Cookie note<p>Para one<p>Para two</article>", "T\nPara one\nPara two"),
+        ("<article><ul><li class=share>x<li>Item one<li>Item two</ul><p>After</p></article>", "Item one\nItem two\nAfter"),
+        ("<article><ul><li class=share>x<ul><li>inner</ul><li>Item one</ul>After</article>", "Item one\nAfter"),
+        ("<article><p class=ad>Buy<div>Text</div><p>More</article>", "Text\nMore"),
+        ("<article><dl><dt class=ad>Buy<dd class=promo>now<dt>Term<dd>Said</dl>End</article>", "Term\nSaid\nEnd"),
+        ("<article><table><tr><td class=sponsor>Buy<td>One<tr class=ad><td>x<td>y<tr><td>Two</table>End</article>", "One\nTwo\nEnd"),
+        ("<article><ul><li class=share>x</ul><p>After</p></article>", "After"),
+        ("<article><p class=notice>Note</p>Text<p>More</article>", "Text\nMore"),
+        ("<article><blockquote class=promo>Buy<p>now</p></blockquote><p>More</article>", "More"),
+    ]
+    assert extract(spark, *((f"http://e{k}/", page(body)) for k, (body, _) in enumerate(bodies))) == [want for _, want in bodies]
+
+
+def test_names_count_as_a_whole(spark):
+    parts = [("section class='search-methods'", True), ("div class='notice-of-motion'", True), ("p data-id='menu'", True), ("p data-class=ad", True), ("p title='class=ad'", True),
+             ("div id=related_work", True), ("div class='story advert'", False), ("div class='cookie-notice'", False), ("div ID='siteFooter'", False), ("div class='ad-slot-12'", False),
+             ("div class=comments-list", False), ("section role='complementary'", False), ("div class='shared'", True), ("p class='social_links-bar'", False)]
+    body = "".join(f"<{start}>part {k}</{start.split()[0]}>" for k, (start, _) in enumerate(parts))
+    (got,) = extract(spark, ("http://n/", page(f"<article><h1>Head</h1>{body}</article>")))
+    assert got.split("\n") == ["Head", *(f"part {k}" for k, (_, stays) in enumerate(parts) if stays)]
