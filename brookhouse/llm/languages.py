@@ -18,13 +18,15 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brookhouse.llm.words import LOWER, Texts, mix, text_slices
 
-#: Documents that the field is fitted on at most (the smallest hashes of their ids); all others are only labelled.
-SAMPLE = 1000
+#: Documents of a language that the field is fitted on at most (the smallest hashes of their ids, none of more bytes than
+#: SAMPLE_BYTES); all others are only labelled.
+SAMPLE = 250
+SAMPLE_BYTES = 1 << 16
 HASHED = 1 << 16
 LEXICON = 30_000
 SEGMENT = 128
@@ -119,9 +121,15 @@ def emissions(ids: np.ndarray, begins: np.ndarray, weights: np.ndarray) -> np.nd
 
 def posteriors(scores: np.ndarray, counts: np.ndarray, transitions: np.ndarray) -> np.ndarray:
     """For each word the posterior of each state. scores: of all words of all texts in order; counts: words of each text."""
+    return messages(scores, counts, transitions)[0]
+
+
+def messages(scores: np.ndarray, counts: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The posteriors and the forward messages, both summing to one for each word. A text starts from a uniform state
+    before its first word."""
     n, states = scores.shape
     if not n:
-        return np.zeros((0, states))
+        return np.zeros((0, states)), np.zeros((0, states))
     move = np.exp(transitions - transitions.max()).astype(np.float64)
     potential = np.exp(scores - scores.max(axis=1, keepdims=True)).astype(np.float64) + 1e-30
     segments = -(-counts // SEGMENT)
@@ -157,12 +165,33 @@ def posteriors(scores: np.ndarray, counts: np.ndarray, transitions: np.ndarray)
         x = (ahead[own] @ move) * p
         ahead[own] = x / x.sum(axis=1, keepdims=True)
         out[first[own] + step] = ahead[own]
+    forward = out.copy()
     for step in reversed(range(longest)):
         own, p = at(step)
         out[first[own] + step] *= behind[own]
         x = (p * behind[own]) @ move.T
         behind[own] = x / x.sum(axis=1, keepdims=True)
-    return out / out.sum(axis=1, keepdims=True)
+    return out / out.sum(axis=1, keepdims=True), forward
+
+
+def loss_gradient(scores: np.ndarray, counts: np.ndarray, true: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient of the summed log loss of the texts' true states, by the scores of each word and by the transitions.
+
+    The joint posterior of two neighbours is forward message times move times what the second's posterior adds to the
+    message that reaches it. Before the first word stands a uniform state, in the loss of the true states as well.
+    """
+    post, forward = messages(scores, counts, transitions)
+    wrong = post.copy()
+    wrong[np.arange(len(true)), true] -= 1
+    move = np.exp(transitions - transitions.max())
+    starts = (np.cumsum(counts) - counts)[counts > 0]
+    inner = np.ones(len(true), bool)
+    inner[starts] = False
+    b = np.flatnonzero(inner)
+    joint = forward[b - 1][:, :, None] * move[None] * (post[b] / np.maximum(forward[b - 1] @ move, 1e-300))[:, None, :]
+    grad = joint.sum(axis=0)
+    np.add.at(grad, (true[b - 1], true[b]), -1)
+    return wrong, grad + move / move.sum(axis=0) * wrong[starts].sum(axis=0)
 
 
 def fit(texts: list[str], languages: list[str], epochs: int = 3, rate: float = 0.3) -> Field:
@@ -200,48 +229,38 @@ def fit(texts: list[str], languages: list[str], epochs: int = 3, rate: float = 0
             flat = ids[np.arange(int(sizes.sum())) + np.repeat(begins[used] - np.cumsum(sizes) + sizes, sizes)]
             scores = emissions(flat, np.concatenate([[0], np.cumsum(sizes)]), weights)[which]
             counts = np.array(counts)
-            post = posteriors(scores, counts, transitions)
-            true = gold[owner[place]]
-            wrong = post.copy()
-            wrong[np.arange(len(true)), true] -= 1
+            wrong, moves = loss_gradient(scores, counts, gold[owner[place]], transitions)
             delta = np.stack([np.bincount(which, wrong[:, s], len(used)) for s in range(len(names))], axis=1)
             grad = np.zeros_like(weights)
             np.add.at(grad, flat, np.repeat(delta, sizes, axis=0).astype(np.float32))
             grad /= len(counts)
             squares += grad * grad
             weights -= rate * grad / np.sqrt(squares)
-            inner = np.ones(len(place), bool)
-            inner[np.cumsum(counts) - counts] = False
-            b = np.flatnonzero(inner)
-            # pairs of neighbours: their joint posterior from the chain's own factors
-            move, p = np.exp(transitions - transitions.max()), np.exp(scores - scores.max(axis=1, keepdims=True)) + 1e-30
-            back = post[b] / np.maximum(_ahead(post, b, move) * p[b], 1e-30)
-            joint = post[b - 1][:, :, None] * move[None] * (p[b] * back)[:, None, :]
-            joint /= joint.sum(axis=(1, 2), keepdims=True)
-            counted = np.zeros_like(transitions)
-            np.add.at(counted, (true[b - 1], true[b]), 1)
-            g = (joint.sum(axis=0) - counted) / len(counts)
+            g = moves / len(counts)
             moved += g * g
             transitions -= rate * g / np.sqrt(moved)
     return Field(names, lexicon, weights, transitions)
 
 
-def _ahead(post: np.ndarray, b: np.ndarray, move: np.ndarray) -> np.ndarray:
-    return post[b - 1] @ move
-
-
 def _learnable(doc_id):
     """Rows with remainder 2 are held out."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
-    """Fit on at most `sample` documents with text and lang that are not held out; None if there is none."""
-    some = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & _learnable(F.col("doc_id")))
-    ids = some.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = some.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "lang").collect()  # `sample` ids at most
-    rows = sorted((row.doc_id, row.text, row.lang) for row in rows if row.text.strip())
-    return fit([row[1] for row in rows], [row[2] for row in rows]) if rows else None
+    """Fit on at most `sample` documents of each lang, with text and not held out; None if there is none.
+
+    Of rows with equal doc_id and lang the one with the smallest text teaches, so neither repeated rows nor a very long
+    text make the sample larger than `sample` times SAMPLE_BYTES for a language.
+    """
+    some = docs.select("doc_id", F.col("text").cast("string").alias("text"), "lang").where(
+        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & _learnable(F.col("doc_id"))
+        & (F.octet_length("text") <= SAMPLE_BYTES) & (F.btrim("text", F.lit(" \t\r\n\x0b\x0c")) != ""))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ids = some.select("doc_id", "lang").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample).drop("n")
+    chosen = some.join(F.broadcast(ids), ["doc_id", "lang"])  # `sample` ids of a language at most
+    rows = sorted(tuple(row) for row in chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect())
+    return fit([row[2] for row in rows], [row[1] for row in rows]) if rows else None
 
 
 def _label(batches: Iterator[pa.RecordBatch], field: Field | None, spans: bool) -> Iterator[pa.RecordBatch]:

@@ -69,3 +69,41 @@ def test_features_of_a_word_do_not_depend_on_its_neighbours(field):
     assert each[0] == each[5] and each[0] and each[4] == []
     alone = [sorted(L.features(words.slice(k, 1), field.lexicon)[0].tolist()) for k in range(6)]
     assert alone == each
+
+
+@pytest.mark.parametrize("counts", [[6], [1, 4, 1], [3, 200]])
+def test_gradient_equals_finite_differences(monkeypatch, counts):
+    monkeypatch.setattr(L, "SEGMENT", 4)
+    r = np.random.default_rng(len(counts))
+    counts = np.array(counts)
+    n, states = int(counts.sum()), 3
+    scores, move, true = r.standard_normal((n, states)), r.standard_normal((states, states)), r.integers(0, states, n)
+
+    def loss(scores, move):
+        total, at = 0.0, 0
+        for size in counts:
+            every = np.logaddexp.reduce(move, axis=0) - np.log(states) + scores[at]
+            own = every[true[at]]
+            for t in range(at + 1, at + size):
+                every = np.logaddexp.reduce(every[:, None] + move, axis=0) + scores[t]
+                own += move[true[t - 1], true[t]] + scores[t, true[t]]
+            total += np.logaddexp.reduce(every) - own
+            at += size
+        return total
+
+    by_score, by_move = L.loss_gradient(scores, counts, true, move)
+    for grad, value, f in ((by_move, move, lambda x: loss(scores, x)), (by_score[:8], scores, lambda x: loss(x, move))):
+        for i, j in np.ndindex(grad.shape):
+            step = np.zeros_like(value)
+            step[i, j] = 1e-5
+            assert grad[i, j] == pytest.approx((f(value + step) - f(value - step)) / 2e-5, abs=1e-4)
+
+
+def test_a_rare_language_is_learned_and_the_sample_is_bounded(spark, docs, monkeypatch):
+    rows = [(k, f"the common words of text {k} " * 5, "en", None) for k in range(400)] + [(k, f"seldene wörter nummer {k} " * 5, "de", None) for k in range(400, 404)]
+    rows += [rows[0]] * 5 + [(500, "x " * 60_000, "zz", None)]
+    taught = {}
+    monkeypatch.setattr(L, "fit", lambda texts, languages: taught.update(texts=texts, languages=languages))
+    L.train(docs(*rows), 20)
+    assert taught["languages"].count("en") == 20 and 1 <= taught["languages"].count("de") <= 4 and "zz" not in taught["languages"]
+    assert len(set(taught["texts"])) == len(taught["texts"])
