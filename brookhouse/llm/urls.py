@@ -3,7 +3,11 @@
 A url that a rule fits gets the rule's verdict. The others get their host's: trust is personalised PageRank from hosts
 most of whose pages the rules allow, along links; distrust is the same from hosts most of whose pages they block, against
 the links (who links to a bad host is suspect). A host is blocked if its distrust exceeds its trust by more than `MARGIN` times. Links
-are those between different hosts in the pages' html, and between a host and the domain that it is part of, both ways.
+are those between different hosts in the pages' html, and between a host and the domain that it is part of, both ways. The
+mass of hosts without links goes back to the seeds, and rounds go on until less than `SETTLED` of it still moves.
+
+Both ranks are sums of a series: what seeds send in no, one, two, ... steps, each `DAMPING` times weaker. Mass that goes
+back to the seeds only scales the sum, so it is accounted for by making it one at the end.
 """
 
 from __future__ import annotations
@@ -16,8 +20,14 @@ from brookhouse.llm.scratch import discard, keep
 
 #: (verdict, host and path)
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
-DAMPING, ROUNDS, MARGIN = 0.85, 12, 2.0
-LINK = r"""(?i)\bhref\s*=\s*["']?\s*([a-z][a-z0-9+.-]*://[^\s"'<>]+)"""
+DAMPING, MARGIN = 0.85, 2.0
+#: Mass on its way below which trust and distrust have settled, and steps after which that is an error.
+SETTLED, ROUNDS = 1e-4, 500
+#: Steps between two tables that are written.
+STEPS = 8
+#: What a row of the propagation is: on its way, or arrived.
+TRUST, DISTRUST, TRUST_SUM, DISTRUST_SUM = range(4)
+LINK = r"""(?i)\bhref\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^\s"'<>]+)"""
 
 
 def judged(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -47,7 +57,7 @@ def host_scores(rows: DataFrame) -> DataFrame:
     seeds = rows.where("host <> ''").groupBy("host").agg(F.count_if(F.col("said") == "allow").alias("good"), F.count_if(F.col("said") == "block").alias("bad"), F.count("*").alias("n"))
     seeds = keep(seeds.select("host", (2 * F.col("good") > F.col("n")).cast("double").alias("good"), (2 * F.col("bad") > F.col("n")).cast("double").alias("bad")))
     linked = rows.where("host <> ''").select("host", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)))).alias("url"))
-    linked = linked.select(F.col("host").alias("src"), host_of(F.col("url")).alias("dst")).where("dst <> '' and src <> dst")
+    linked = linked.select(F.col("host").alias("src"), host_of(F.concat(F.lit(":"), F.regexp_replace("url", "^[^/]*:", ""))).alias("dst")).where("dst <> '' and src <> dst")
     up = seeds.select("host", F.expr("substring(host, instr(host, '.') + 1)").alias("parent")).where("instr(host, '.') > 0 and instr(parent, '.') > 0")
     both = up.select(F.col("host").alias("src"), F.col("parent").alias("dst")).unionByName(up.select(F.col("parent").alias("src"), F.col("host").alias("dst")))
     links = linked.unionByName(both).distinct()
@@ -56,21 +66,33 @@ def host_scores(rows: DataFrame) -> DataFrame:
     links = keep(links.join(out, "src").join(into, "dst").select("src", "dst", "outs", "ins"))
     total = seeds.agg(F.sum("good"), F.sum("bad")).first()
     known = links.select(F.col("src").alias("host")).unionByName(links.select(F.col("dst").alias("host"))).unionByName(seeds.select("host")).distinct()
-    start = keep(known.join(seeds, "host", "left").select(
-        "host", (F.coalesce("good", F.lit(0.0)) / F.lit(total[0] or 1.0)).alias("good"), (F.coalesce("bad", F.lit(0.0)) / F.lit(total[1] or 1.0)).alias("bad")))
-    now = keep(start.select("host", F.col("good").alias("trust"), F.col("bad").alias("distrust")))
-    for _ in range(ROUNDS):
-        forth = links.join(now.select(F.col("host").alias("src"), "trust"), "src").select(
-            F.col("dst").alias("host"), (F.col("trust") / F.col("outs")).alias("trust"), F.lit(0.0).alias("distrust"))
-        back = links.join(now.select(F.col("host").alias("dst"), "distrust"), "dst").select(
-            F.col("src").alias("host"), F.lit(0.0).alias("trust"), (F.col("distrust") / F.col("ins")).alias("distrust"))
-        moved = forth.unionByName(back).groupBy("host").agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d"))
-        after = keep(start.join(moved, "host", "left").select(
-            "host", ((1 - DAMPING) * F.col("good") + DAMPING * F.coalesce("t", F.lit(0.0))).alias("trust"),
-            ((1 - DAMPING) * F.col("bad") + DAMPING * F.coalesce("d", F.lit(0.0))).alias("distrust")))
+    known = keep(known)
+
+    def moves(kind: int, after: int, rows: DataFrame, host: str, to: str, share) -> DataFrame:
+        return rows.select(F.col(host).alias("host"), F.lit(kind).alias("kind"), F.col(to).alias("to"), F.lit(after).alias("after"), share.alias("share"))
+
+    steps = moves(TRUST, TRUST, links, "src", "dst", DAMPING / F.col("outs")).unionByName(moves(DISTRUST, DISTRUST, links, "dst", "src", DAMPING / F.col("ins")))
+    for kind, after in ((TRUST, TRUST_SUM), (DISTRUST, DISTRUST_SUM), (TRUST_SUM, TRUST_SUM), (DISTRUST_SUM, DISTRUST_SUM)):
+        steps = steps.unionByName(moves(kind, after, known, "host", "host", F.lit(1.0)))
+    steps = keep(steps)
+    now = keep(seeds.select("host", F.inline(F.array(
+        F.struct(F.lit(TRUST).alias("kind"), (F.col("good") / F.lit(total[0] or 1.0)).alias("mass")),
+        F.struct(F.lit(DISTRUST).alias("kind"), (F.col("bad") / F.lit(total[1] or 1.0)).alias("mass"))))).where("mass > 0"))
+    done = 0
+    while (now.where(F.col("kind").isin(TRUST, DISTRUST)).agg(F.sum("mass")).first()[0] or 0.0) >= SETTLED:
+        if done >= ROUNDS:
+            raise RuntimeError(f"trust and distrust have not settled after {done} steps")
+        after = now
+        for _ in range(STEPS):
+            after = steps.join(after, ["host", "kind"]).groupBy(F.col("to").alias("host"), F.col("after").alias("kind")).agg(
+                F.sum(F.col("share") * F.col("mass")).alias("mass"))
+        after = keep(after)
         discard(now)
-        now = after
-    return now
+        now, done = after, done + STEPS
+    part = lambda *kinds: F.coalesce(F.sum(F.when(F.col("kind").isin(*kinds), F.col("mass"))), F.lit(0.0))
+    sums = keep(known.join(now, "host", "left").groupBy("host").agg(part(TRUST, TRUST_SUM).alias("trust"), part(DISTRUST, DISTRUST_SUM).alias("distrust")))
+    trust, distrust = sums.agg(F.sum("trust"), F.sum("distrust")).first()
+    return sums.select("host", (F.col("trust") / F.lit(trust or 1.0)).alias("trust"), (F.col("distrust") / F.lit(distrust or 1.0)).alias("distrust"))
 
 
 def op10_urls(spark, sf_dir: str) -> DataFrame:

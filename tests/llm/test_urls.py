@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from brookhouse.llm.urls import DAMPING, ROUNDS, RULES, host_scores, judged, op10_urls
+from brookhouse.llm.urls import DAMPING, RULES, host_scores, judged, op10_urls
 from tests.conftest import SF
 
 
@@ -42,13 +42,15 @@ def test_propagation_against_plain_python(spark):
     trust = good = {h: float(h == "good") for h in hosts}
     distrust = bad = {h: float(h == "bad") for h in hosts}
     outs, ins = ({h: sum(e[k] == h for e in edges) for h in hosts} for k in (0, 1))
-    for _ in range(ROUNDS):
-        trust = {h: (1 - DAMPING) * good[h] + DAMPING * sum(trust[a] / outs[a] for a, b in edges if b == h) for h in hosts}
-        distrust = {h: (1 - DAMPING) * bad[h] + DAMPING * sum(distrust[b] / ins[b] for a, b in edges if a == h) for h in hosts}
+    for _ in range(300):
+        loose, lost = sum(trust[h] for h in hosts if not outs[h]), sum(distrust[h] for h in hosts if not ins[h])
+        trust = {h: (1 - DAMPING + DAMPING * loose) * good[h] + DAMPING * sum(trust[a] / outs[a] for a, b in edges if b == h) for h in hosts}
+        distrust = {h: (1 - DAMPING + DAMPING * lost) * bad[h] + DAMPING * sum(distrust[b] / ins[b] for a, b in edges if a == h) for h in hosts}
+    assert sum(trust.values()) == pytest.approx(1) and sum(distrust.values()) == pytest.approx(1)
     got = {r.host: r for r in host_scores(df).collect()}
     assert set(got) == hosts
     for h in hosts:
-        assert (got[h].trust, got[h].distrust) == (pytest.approx(trust[h]), pytest.approx(distrust[h]))
+        assert (got[h].trust, got[h].distrust) == (pytest.approx(trust[h], abs=2e-4), pytest.approx(distrust[h], abs=2e-4))
     urls = spark.createDataFrame([(k, f"http://{h}/", "".join(f"<a href=http://{x}/>" for x in out)) for k, (h, _, out) in enumerate(pages) if h], "page_id long, url string, html string")
     rules = (("allow", "good/"), ("block", "bad/"))
     verdict = {r.host: r.verdict for r in judged(urls, rules).collect()}
@@ -60,3 +62,22 @@ def test_query_covers_all_pages(spark):
     assert len(rows) == spark.read.parquet(f"{SF}/pages.parquet").count()
     for r in rows:
         assert r.rule == rule_of(r.host, r.path)[0]
+
+
+def test_distrust_reaches_the_end_of_a_long_chain(spark, monkeypatch):
+    hosts = [f"h{k}" for k in range(21)] + ["bad"]
+    pages = [(k, f"http://{h}/", f"<a href='//{after}/x'>") for k, (h, after) in enumerate(zip(hosts, [*hosts[1:], "bad"]))]
+    rows = {r.host: r for r in judged(spark.createDataFrame(pages, "page_id long, url string, html string"), (("block", "bad/"),)).collect()}
+    assert all(rows[h].verdict == "block" for h in hosts)
+    far = [rows[h].distrust for h in hosts[:-1]]
+    assert far == sorted(far) and far[0] > 0
+    monkeypatch.setattr("brookhouse.llm.urls.ROUNDS", 3)
+    with pytest.raises(RuntimeError):
+        judged(spark.createDataFrame(pages, "page_id long, url string, html string"), (("block", "bad/"),))
+
+
+def test_long_html_and_repeated_rows(spark):
+    long = "<p>x</p>" * 50_000 + "<a href=http://bad/>"
+    rows = [(1, "http://one/", long), (1, "http://one/", long), (2, "http://bad/", None)]
+    got = judged(spark.createDataFrame(rows, "page_id long, url string, html string"), (("block", "bad/"),)).collect()
+    assert sorted((r.page_id, r.verdict) for r in got) == [(1, "block"), (1, "block"), (2, "block")]
