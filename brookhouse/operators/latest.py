@@ -15,6 +15,22 @@ def latest_by_key(rows: DataFrame, keys: list[str], order: Column, deleted: Colu
     return last.filter(~F.col("_last.gone")).select("_last.row.*")
 
 
+def compacted(messages: DataFrame) -> DataFrame:
+    """What a compacted topic holds: of messages (key, value, source, offset) the last of each key, unless it deletes it."""
+    return latest_by_key(messages, ["key"], F.struct("source", "offset"), F.col("value").isNull()).select("key", "value")
+
+
+# Kinds of change in the column `op` of a changelog.
+INSERT, DELETE = "+I", "-D"
+
+
+def fold_changes(changes: DataFrame) -> DataFrame:
+    """The rows that a changelog leaves: each as often as it was inserted more than deleted, in whatever order."""
+    fields = [c for c in changes.columns if c != "op"]
+    left = changes.groupBy(*fields).agg(F.sum(F.when(F.col("op") == INSERT, 1).otherwise(-1)).alias("_n")).filter("_n > 0")
+    return left.select(*fields, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))).drop("col")
+
+
 def keyed_messages(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Key and value of each row as JSON, for a compacted topic."""
     return rows.select(

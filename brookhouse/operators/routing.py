@@ -1,7 +1,7 @@
 """Routing by configuration: which tables go where, with which columns.
 
-The configuration is a table of its own: a snapshot of the relational table, overlaid by its change feed. It is
-evaluated for every batch, so a change takes effect with the next batch and there is no start-up race.
+The configuration is a table of its own: a snapshot of the relational table, overlaid by its change feed. It is looked
+at for every batch, so a change takes effect with the next batch and there is no start-up race.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -37,25 +37,38 @@ def decode_feed(raw: DataFrame, route: T.StructType) -> DataFrame:
     )
 
 
-def current_routes(snapshot: DataFrame | None, feed: DataFrame, route: T.StructType, key: list[str]) -> DataFrame:
-    """One route per key: the last change wins, a delete removes the route, the snapshot serves untouched keys.
-
-    When a change moves a route to another key, the old key is removed as well.
-    """
+def route_events(feed: DataFrame, route: T.StructType, key: list[str]) -> DataFrame:
+    """What each change does to its key; a change that moves a route to another key also deletes the old one."""
     names = route.fieldNames()
     changes = feed.select(*names, "op", "seq", F.lit(1).alias("_rank"))
     moved = feed.filter(
         (F.col("op") != "d") & F.col("before").isNotNull()
         & (F.struct(*key) != F.struct(*[F.col("before")[k] for k in key]))
     ).select(*[F.col("before")[n].alias(n) for n in names], F.lit("d").alias("op"), "seq", F.lit(0).alias("_rank"))
-    rows = changes.unionByName(moved)
+    return changes.unionByName(moved)
+
+
+def snapshot_events(snapshot: DataFrame, route: T.StructType) -> DataFrame:
+    """Rows of the relational table, as events before all changes."""
+    before_all = F.struct(F.lit(-1).cast("bigint").alias("ts_ms"), F.lit(-1).cast("bigint").alias("pos"))
+    return snapshot.select(*route.fieldNames()).withColumns({"op": F.lit("r"), "seq": before_all, "_rank": F.lit(1)})
+
+
+def last_events(events: DataFrame, key: list[str]) -> DataFrame:
+    """The last event of each key, deletes too: with later events it folds to what all of them fold to."""
+    return latest_by_key(events, key, F.struct("seq", "_rank", "sink_table"))
+
+
+def live_routes(last: DataFrame, route: T.StructType) -> DataFrame:
+    return last.filter(F.col("op") != "d").select(*route.fieldNames())
+
+
+def current_routes(snapshot: DataFrame | None, feed: DataFrame, route: T.StructType, key: list[str]) -> DataFrame:
+    """One route per key: the last change wins, a delete removes the route, the snapshot serves untouched keys."""
+    events = route_events(feed, route, key)
     if snapshot is not None:
-        before_all = F.struct(F.lit(-1).cast("bigint").alias("ts_ms"), F.lit(-1).cast("bigint").alias("pos"))
-        rows = rows.unionByName(
-            snapshot.select(*names).withColumns({"op": F.lit("r"), "seq": before_all, "_rank": F.lit(1)})
-        )
-    order = F.struct("seq", "_rank", "sink_table")
-    return latest_by_key(rows, key, order, F.col("op") == "d").select(*names)
+        events = events.unionByName(snapshot_events(snapshot, route))
+    return live_routes(last_events(events, key), route)
 
 
 def keep_listed(data: Column, columns: Column) -> Column:
@@ -107,20 +120,27 @@ def registry_actions(feed: DataFrame) -> DataFrame:
     return feed.select("sink_table", action.alias("action"), "sink_family", "seq")
 
 
+def table_events(actions: DataFrame) -> DataFrame:
+    """Actions in the shape of `last_tables`."""
+    return actions.select("sink_table", "action", "sink_family", "seq", F.when(F.col("action") != "create", F.col("seq")).alias("emptied"))
+
+
+def last_tables(events: DataFrame) -> DataFrame:
+    """The last action on each table and the last that emptied it; folds with later events as `last_events` does."""
+    last = events.groupBy("sink_table").agg(
+        F.max_by(F.struct("action", "sink_family", "seq"), "seq").alias("last"), F.max("emptied").alias("emptied"))
+    return last.select("sink_table", "last.*", "emptied")
+
+
+def existing_tables(last: DataFrame) -> DataFrame:
+    """Tables that exist and the generation they are in."""
+    generation = F.when(F.col("emptied").isNotNull(), F.concat_ws("-", "emptied.ts_ms", "emptied.pos")).otherwise(FIRST)
+    return last.filter(F.col("action") != "drop").select("sink_table", "sink_family", generation.alias("generation"))
+
+
 def registered_tables(actions: DataFrame) -> DataFrame:
     """Tables that exist after all actions and the generation they are in.
 
     Creating a table that exists keeps its rows; recreating it starts a new, empty generation.
     """
-    emptied = F.max(F.when(F.col("action") != "create", F.col("seq")))
-    return (
-        actions.groupBy("sink_table")
-        .agg(
-            F.max_by("action", "seq").alias("last"),
-            emptied.alias("emptied"),
-            F.max_by("sink_family", "seq").alias("sink_family"),
-        )
-        .filter(F.col("last") != "drop")
-        .select("sink_table", "sink_family", F.when(
-            F.col("emptied").isNotNull(), F.concat_ws("-", "emptied.ts_ms", "emptied.pos")).otherwise(FIRST).alias("generation"))
-    )
+    return existing_tables(last_tables(table_events(actions)))

@@ -34,8 +34,10 @@ def small_join(rows: DataFrame, side: DataFrame, on: list[str], how: str = "inne
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names for files all executors reach; a session without one (tests) gets its own."""
+    """The folder that the cluster names for files all executors reach; a session in one process (tests) may do without."""
     if spark.conf.get("spark.checkpoint.dir", None) is None:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="brookhouse-"))
     return spark.conf.get("spark.checkpoint.dir").rstrip("/")
 

@@ -5,6 +5,7 @@ key (7 seconds apart), so lines and orders agree on them without a join.
 """
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -156,6 +157,12 @@ def coupon_changes(spark, sf_dir, stream=False) -> DataFrame:
     ))
 
 
+def order_log(spark, sf_dir) -> DataFrame:
+    """The changes of all four tables behind the order-detail fact."""
+    makers = (order_detail_changes, order_info_changes, activity_changes, coupon_changes)
+    return reduce(DataFrame.unionByName, [maker(spark, sf_dir) for maker in makers])
+
+
 def order_cancel_changes(spark, sf_dir, stream=False) -> DataFrame:
     """Orders with status F are cancelled up to an hour later; the others change to another status, or from another."""
     rows = table(spark, sf_dir, "orders", stream)

@@ -16,12 +16,15 @@ from brookhouse.operators import joins as J
 from brookhouse.operators import keyword as K
 from brookhouse.operators import lookup as L
 from brookhouse.operators import routing as R
+from brookhouse.operators.changes import parse_changes
+from brookhouse.operators.latest import DELETE, INSERT, compacted, fold_changes, latest_by_key
 from brookhouse.operators.sizing import materialise, new_scratch
 from brookhouse.plans import inputs as I
 from brookhouse.plans import queries as Q
-from brookhouse.sources.bus import Bus, timed_json_table
+from brookhouse.sources.bus import Bus, json_table, timed_json_table
 from brookhouse.streaming.jobs import DIM_FEED, Settings, dim_app
-from brookhouse.streaming.sinks import ROCKSDB, STATE_STORE, publish, start
+from brookhouse.streaming.orders import TABLES, OrderState, order_rows
+from brookhouse.streaming.sinks import ROCKSDB, STATE_STORE, publish, start, upsert_changes
 from brookhouse.streaming.visitors import VisitorLog, repair_stream
 
 NOW = {"availableNow": True}
@@ -52,9 +55,10 @@ def drain(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(f"{root}/out")
 
 
-def drain_batches(rows: DataFrame, name: str, each) -> DataFrame:
-    """Same, with a function of (root, micro-batch, number) that gives the rows to store."""
-    spark, root = rows.sparkSession, new_scratch(rows.sparkSession, name)
+def drain_batches(rows: DataFrame, name: str, each, root: str | None = None) -> DataFrame:
+    """Same, with a function of (root, micro-batch, number) that gives the rows to store. With the `root` of an earlier call
+    the stream goes on where that one ended."""
+    spark, root = rows.sparkSession, root or new_scratch(rows.sparkSession, name)
 
     def sink(batch, batch_id):
         each(root, batch, batch_id).write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
@@ -69,7 +73,38 @@ def stream_cart_add(spark, sf_dir):
 
 
 def stream_order_detail_wide(spark, sf_dir):
-    return drain(Q.details(spark, sf_dir, stream=True).drop("row_time"), "stream_order_detail_wide")
+    """One state for all four sides, over three micro-batches in no order at all: what the changelog leaves. Activities and
+    coupons come before or after their lines."""
+    log = I.order_log(spark, sf_dir)
+    lines = log.select(F.pmod(F.xxhash64("table", F.col("data")["id"], F.col("data")["order_detail_id"]), F.lit(3)).alias("at"),
+                       to_line("database", "table", "type", "ts", "data").alias("value"))
+    *_, bus = bus_in_batches(spark, "stream_order_detail_wide", S.TOPIC_DB, lines)
+
+    def changes(root, batch, batch_id):
+        return OrderState(batch.sparkSession, f"{root}/open_orders").changes(order_rows(batch, Q.DB), batch_id)
+
+    rows = drain_batches(parse_changes(bus.stream(spark, S.TOPIC_DB), TABLES), "stream_order_detail_wide", changes)
+    return fold_changes(rows)
+
+
+def stream_order_detail_wide_late(spark, sf_dir):
+    """The same by chained joins: each line once, when the watermark says that nothing can come any more."""
+    return drain(Q.details(spark, sf_dir, stream=True).drop("row_time"), "stream_order_detail_wide_late")
+
+
+def upsert_topic(spark, sf_dir):
+    """The last order of each customer through a compacted topic: an order with status P deletes its customer's row.
+
+    Each of several batches sends one message per key, as a producer does that compacts what it sends.
+    """
+    rows = I.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    key, bus = ["o_custkey"], Bus("files", new_scratch(spark, "upsert_topic"))
+    most = rows.agg(F.max("o_orderkey")).first()[0] or 0
+    for k in range(3):
+        last = latest_by_key(rows.filter((F.col("o_orderkey") * 3 / F.lit(most + 1)).cast("int") == k), key, F.col("o_orderkey"))
+        changes = last.select(F.when(F.col("o_orderstatus") == "P", DELETE).otherwise(INSERT).alias("op"), *rows.columns)
+        publish(bus, upsert_changes(changes, "last_order", key), "shop", k)
+    return json_table(compacted(bus.read_keyed(spark, "last_order")).select("value"), rows.schema)
 
 
 def fact_stream(spark, sf_dir):
@@ -113,25 +148,29 @@ def stream_config_route_dwd(spark, sf_dir):
 
 
 def bus_in_batches(spark, name, topic, lines, batches=3):
-    """A new bus of folders with lines (a number `at` that orders them, text `value`), which a stream reads in several
-    micro-batches: a file for each range of `at`, with its rows in order, as a producer writes them."""
-    bus = Bus("files", new_scratch(spark, name), {"maxFilesPerTrigger": "1"})
+    """A bus of folders to which lines (a number `at` that orders them, text `value`) are sent in several batches, as it is
+    after each of them. A batch is a range of `at`, written in order to as many files as there are cores, as a producer does
+    with its partitions; a stream that is not ended in between reads as many files at a time."""
+    files = spark.sparkContext.defaultParallelism
+    bus = Bus("files", new_scratch(spark, name), {"maxFilesPerTrigger": str(files)})
     lines = materialise(lines, name)
     low, high = lines.agg(F.min("at"), F.max("at")).first()
     share = (F.col("at") - F.lit(low or 0)) * batches / F.lit((high or 0) - (low or 0) + 1)
     for k in range(batches):
-        part = lines.filter(share.cast("int") == k).coalesce(1).sortWithinPartitions("at")
+        part = lines.filter(share.cast("int") == k).repartitionByRange(files, "at").sortWithinPartitions("at")
         publish(bus, part.select(F.lit(topic).alias("topic"), "value"), "shop", k)
-    return bus
+        yield bus
 
 
 def dimension_job(spark, sf_dir, name, lines, routes, compact_every):
-    """Settings of a deployment whose dimension job has run over the lines."""
-    bus = bus_in_batches(spark, name, S.TOPIC_DB, lines)
-    publish(bus, I.feed_lines(spark, routes, S.DIM_ROUTE).select(F.lit(DIM_FEED).alias("topic"), "value"), "config", 0)
+    """Settings of a deployment whose dimension job has run over the lines, batch by batch."""
     root = new_scratch(spark, name)
-    settings = Settings(bus, Q.DB, f"{root}/warehouse", f"{root}/checkpoints", Q.UTC, compact_every=compact_every)
-    dim_app(spark, settings).awaitTermination()
+    for k, bus in enumerate(bus_in_batches(spark, name, S.TOPIC_DB, lines)):
+        if not k:
+            publish(bus, I.feed_lines(spark, routes, S.DIM_ROUTE).select(F.lit(DIM_FEED).alias("topic"), "value"), "config", 0)
+        whole = Bus(bus.kind, bus.location)
+        settings = Settings(whole, Q.DB, f"{root}/warehouse", f"{root}/checkpoints", Q.UTC, compact_every=compact_every)
+        dim_app(spark, settings).awaitTermination()
     return settings
 
 
@@ -187,18 +226,34 @@ def stream_visitor_fix(spark, sf_dir):
         return batch.sparkSession.read.parquet(path)
 
     lines = I.behaviour_log(spark, sf_dir).select(F.col("ts").alias("at"), to_line("common", "page", "start", "ts").alias("value"))
-    bus = bus_in_batches(spark, "stream_visitor_fix", S.TOPIC_LOG, lines)
-    return drain_batches(B.clean_log(bus.stream(spark, S.TOPIC_LOG)), "stream_visitor_fix", repaired)
+    root = new_scratch(spark, "stream_visitor_fix")
+    for bus in bus_in_batches(spark, "stream_visitor_fix", S.TOPIC_LOG, lines):
+        whole = Bus(bus.kind, bus.location).stream(spark, S.TOPIC_LOG)
+        rows = drain_batches(B.clean_log(whole), "stream_visitor_fix", repaired, root)
+    return rows
 
 
 def stream_visitor_fix_native(spark, sf_dir):
-    """First visits kept in the state store."""
-    log = B.complete_records(I.behaviour_log(spark, sf_dir, True))
-    return drain(_visitors(repair_stream(log, Q.UTC)), "stream_visitor_fix_native")
+    """First visits kept in the state store. Records come up to two hours late, also across batches; the last one lets the
+    watermark pass all others."""
+    log = I.behaviour_log(spark, sf_dir)
+    line = to_line("common", "page", "start", "ts").alias("value")
+    late = F.pmod(F.xxhash64("common.sid"), F.lit(2 * 3_600_000))
+    lines = log.select((F.col("ts") + late).alias("at"), line)
+    *_, bus = bus_in_batches(spark, "stream_visitor_fix_native", S.TOPIC_LOG, lines)
+    end = log.limit(1).withColumns({
+        "common": F.col("common").withField("mid", F.lit("end")).withField("sid", F.lit("end")), "ts": F.lit(I.FAR_SECONDS * 1000).cast("bigint")})
+    publish(bus, end.select(F.lit(S.TOPIC_LOG).alias("topic"), line), "end", 0)
+    rows = drain(_visitors(repair_stream(B.clean_log(bus.stream(spark, S.TOPIC_LOG)), Q.UTC, "3 hours")), "stream_visitor_fix_native")
+    return rows.filter(F.col("sid") != "end")
 
 
 def stream_log_split(spark, sf_dir):
-    return drain(Q.messages(spark, sf_dir, True), "stream_log_split")
+    """The behaviour log from a bus of several files."""
+    lines = I.behaviour_lines(spark, sf_dir)
+    bus = Bus("files", new_scratch(spark, "stream_log_split"))
+    publish(bus, lines.select(F.lit(S.TOPIC_LOG).alias("topic"), "value"), "shop", 0)
+    return drain(B.split_messages(B.clean_log(bus.stream(spark, S.TOPIC_LOG))), "stream_log_split")
 
 
 def stream_keyword_window_count(spark, sf_dir):
@@ -213,13 +268,14 @@ def stream_keyword_window_count(spark, sf_dir):
 STREAMS: dict[str, Q.Query] = {
     f.__name__: f
     for f in (
-        stream_cart_add, stream_order_detail_wide, stream_order_cancel, stream_payment_success, stream_comment_lookup,
+        stream_cart_add, stream_order_detail_wide, stream_order_detail_wide_late, stream_order_cancel, stream_payment_success, stream_comment_lookup,
         stream_config_route_dwd, stream_dim_cell_merge, stream_dim_cell_merge_nulls, stream_config_route_dim,
         stream_visitor_fix, stream_visitor_fix_native, stream_log_split,
-        stream_keyword_window_count,
+        stream_keyword_window_count, upsert_topic,
     )
 }
 # Each twin is checked against the SQL of its batch form.
 TWIN_OF = {name: name.removeprefix("stream_") for name in STREAMS} | {
     "stream_visitor_fix_native": "visitor_fix", "stream_config_route_dwd": "config_route_dwd_json",
+    "stream_order_detail_wide_late": "order_detail_wide", "upsert_topic": "upsert_with_deletes",
 }

@@ -1,9 +1,10 @@
 """The warehouse's nine streaming jobs: wiring of sources, operators and sinks."""
 
+import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from brookhouse import schemas as S
@@ -16,6 +17,8 @@ from brookhouse.sources.jdbc import read_routes
 from brookhouse.streaming import sinks
 from brookhouse.streaming.dimtables import DimensionTables
 from brookhouse.streaming.keyedlog import KeyedLog, in_order
+from brookhouse.streaming.orders import TABLES, OrderState, order_rows
+from brookhouse.streaming.routes import RouteTable, table_now
 from brookhouse.streaming.visitors import VisitorLog, repair_stream
 
 # Topics of the routing tables' change feeds.
@@ -28,7 +31,8 @@ class Settings:
     """Where a deployment keeps its things. `database` is the shop's database, `warehouse` and `checkpoints` shared folders.
 
     `zone` decides calendar days (None: session zone). `salt` above 1 is the number of tasks that share the lines of one
-    order in joins; orders are copied as often. Keyed tables are compacted each `compact_every` micro-batches (0: never). `config_url` preloads routing tables over JDBC.
+    order in joins; orders are copied as often. Keyed tables are compacted each `compact_every` micro-batches (0: never). `config_url` preloads routing tables over JDBC. `idle`: seconds (of `clock`) that early order
+    lines keep an order after its last row; None: for ever.
     """
 
     bus: Bus
@@ -41,6 +45,8 @@ class Settings:
     salt: int = 1
     compact_every: int = 100
     window: str = "10 seconds"
+    idle: float | None = None
+    clock: Callable[[], float] = time.time
     config_url: str | None = None
     config_properties: dict[str, str] = field(default_factory=dict)
     olap_url: str | None = None
@@ -63,26 +69,22 @@ class Settings:
     def dimension(self, spark: SparkSession, sink_table: str, columns: list[str]) -> DataFrame:
         """Current rows of a dimension table, by the configuration as it is now; a dropped table has none.
 
-        A table that only the preloaded snapshot names has had no action and is in generation 0.
+        A table that only the preloaded snapshot names has had no action and is in generation 0. The configuration is that
+        of the dimension job's routes, with what is new on the feed.
         """
-        actions = routing.registry_actions(self.feed(spark, DIM_FEED, S.DIM_ROUTE)).filter(
-            F.col("sink_table") == sink_table)
-        current = routing.registered_tables(actions).first()
-        dropped = current is None and not actions.isEmpty()
-        rows = self.dimensions(spark).read(sink_table, columns, current["generation"] if current else routing.FIRST)
+        generation, dropped = table_now(self.routes(spark, DIM_FEED, S.DIM_ROUTE, routing.DIM_KEY).current(), sink_table)
+        rows = self.dimensions(spark).read(sink_table, columns, generation)
         return rows.limit(0) if dropped else rows
 
     def dictionary(self, spark: SparkSession) -> DataFrame:
         """Dictionary as it is now."""
         return lookup.dictionary_rows(self.dimension(spark, S.DIM_DICTIONARY, ["dic_name"]), "row_key")
 
-    def feed(self, spark: SparkSession, topic: str, route) -> DataFrame:
-        """All changes of a routing table up to now."""
-        return routing.decode_feed(self.bus.read(spark, topic), route)
+    def routes(self, spark: SparkSession, table: str, route, key: list[str]) -> RouteTable:
+        def snapshot() -> DataFrame:
+            return read_routes(spark, self.config_url, table, self.config_properties)
 
-    def routes(self, spark: SparkSession, table: str, route, key: list[str], feed: DataFrame | None = None) -> DataFrame:
-        snapshot = read_routes(spark, self.config_url, table, self.config_properties) if self.config_url else None
-        return routing.current_routes(snapshot, self.feed(spark, table, route) if feed is None else feed, route, key)
+        return RouteTable(spark, f"{self.warehouse}/routes/{table}", self.bus, table, route, key, snapshot if self.config_url else None)
 
 
 def dim_app(spark: SparkSession, s: Settings) -> StreamingQuery:
@@ -90,14 +92,9 @@ def dim_app(spark: SparkSession, s: Settings) -> StreamingQuery:
     tables = s.dimensions(spark)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        feed = s.feed(session, DIM_FEED, S.DIM_ROUTE).persist()
-        try:
-            routes = s.routes(session, DIM_FEED, S.DIM_ROUTE, routing.DIM_KEY, feed)
-            routed = routing.route_dimensions(clean_changes(positioned(batch), s.database), routes)
-            tables.write(routed, routing.registered_tables(routing.registry_actions(feed)), batch_id)
-        finally:
-            feed.unpersist()
+        routes = s.routes(batch.sparkSession, DIM_FEED, S.DIM_ROUTE, routing.DIM_KEY).advance(batch_id)
+        routed = routing.route_dimensions(clean_changes(positioned(batch), s.database), routes.live())
+        tables.write(routed, routes.registered(), batch_id)
         if s.compact_every and (batch_id + 1) % s.compact_every == 0:
             tables.compact()
 
@@ -109,7 +106,7 @@ def dwd_base_log(spark: SparkSession, s: Settings, native_state: bool = False) -
     log = behaviour.clean_log(s.bus.stream(spark, S.TOPIC_LOG))
     if native_state:
         zone = s.zone or spark.conf.get("spark.sql.session.timeZone")
-        return s.run(behaviour.split_messages(repair_stream(log, zone)), "dwd_base_log", s.publish("dwd_base_log"))
+        return s.run(behaviour.split_messages(repair_stream(log, zone, s.delay)), "dwd_base_log", s.publish("dwd_base_log"))
     visitors = VisitorLog(spark, f"{s.warehouse}/visitors", s.zone)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -125,8 +122,8 @@ def dwd_base_db(spark: SparkSession, s: Settings) -> StreamingQuery:
     """Business changes into fact topics, by configuration."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        routes = s.routes(batch.sparkSession, FACT_FEED, S.FACT_ROUTE, routing.FACT_KEY)
-        routed = routing.route_facts(parse_changes(batch), routes)
+        routes = s.routes(batch.sparkSession, FACT_FEED, S.FACT_ROUTE, routing.FACT_KEY).advance(batch_id)
+        routed = routing.route_facts(parse_changes(batch), routes.live())
         sinks.publish(s.bus, routing.routed_messages(routed), "dwd_base_db", batch_id)
 
     return s.run(s.bus.stream(spark, S.TOPIC_DB), "dwd_base_db", sink)
@@ -137,8 +134,12 @@ def dwd_trade_cart_add(spark: SparkSession, s: Settings) -> StreamingQuery:
     return s.run(sinks.json_messages(rows, S.CART_ADD), "dwd_trade_cart_add", s.publish("dwd_trade_cart_add"))
 
 
-def dwd_trade_order_detail(spark: SparkSession, s: Settings) -> StreamingQuery:
-    """Order lines with buyer, activity and coupon. A line is sent once, when its optional parts can no longer come."""
+def dwd_trade_order_detail(spark: SparkSession, s: Settings, early: bool = False) -> StreamingQuery:
+    """Order lines with buyer, activity and coupon. A line is sent once, when its optional parts can no longer come; `early`
+    sends it as soon as its order is there, and again whenever an optional part comes (activities and coupons must name
+    their order for that)."""
+    if early:
+        return _early_order_detail(spark, s)
     db = s.database
     wide = joins.order_detail_wide(
         facts.order_detail_inserts(s.changes(spark, "order_detail"), db),
@@ -151,6 +152,19 @@ def dwd_trade_order_detail(spark: SparkSession, s: Settings) -> StreamingQuery:
     return s.run(messages, "dwd_trade_order_detail", s.publish("dwd_trade_order_detail"))
 
 
+def _early_order_detail(spark: SparkSession, s: Settings) -> StreamingQuery:
+    name = "dwd_trade_order_detail"
+    state = OrderState(spark, f"{s.warehouse}/open_orders", s.idle, s.clock)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        changes = state.changes(order_rows(batch, s.database, s.salt), batch_id)
+        sinks.publish(s.bus, sinks.upsert_changes(changes, S.ORDER_DETAIL, ["id"]), name, batch_id)
+        if s.compact_every and (batch_id + 1) % s.compact_every == 0:
+            state.compact()
+
+    return s.run(parse_changes(s.bus.stream(spark, S.TOPIC_DB), TABLES), name, sink)
+
+
 def dwd_trade_order_cancel_detail(spark: SparkSession, s: Settings) -> StreamingQuery:
     rows = joins.order_cancel_wide(
         timed_json_table(s.bus.stream(spark, S.ORDER_DETAIL), S.ORDER_DETAIL_FACT, s.delay),
@@ -211,21 +225,37 @@ def dwd_interaction_comment_info(spark: SparkSession, s: Settings) -> StreamingQ
 KEYWORD_COUNTS = S.T.StructType([*S.longs("window_start", "window_end"), *S.strings("keyword"), *S.longs("views")])
 
 
+def keyword_table(spark: SparkSession, s: Settings) -> KeyedLog:
+    return KeyedLog(spark, f"{s.warehouse}/{S.KEYWORD_WINDOW}", KEYWORD_COUNTS)
+
+
+def merge_counts(log: DataFrame) -> DataFrame:
+    """The last count of each window and keyword, so a window that a renewed run counts again is there once."""
+    return latest_by_key(log, ["window_start", "window_end", "keyword"], in_order()).drop("batch_id")
+
+
+def current_counts(spark: SparkSession, s: Settings) -> DataFrame:
+    return merge_counts(keyword_table(spark, s).read())
+
+
 def dws_traffic_source_keyword_page_view_window(
     spark: SparkSession, s: Settings, mode: str = "whitespace", words: DataFrame | None = None
 ) -> StreamingQuery:
-    """Views per search keyword and window, to an OLAP table over JDBC or to a table in the warehouse."""
+    """Views per search keyword and window, to an OLAP table over JDBC (a repeated batch is appended again) or to a table in
+    the warehouse (it is not), which `current_counts` reads by window and keyword."""
     name = S.KEYWORD_WINDOW
     pages = json_table(s.bus.stream(spark, S.TRAFFIC_PAGE), S.PAGE_INFO)
     tokens = keyword.split_keywords(keyword.search_keywords(pages), "keyword", mode, words=words)
     counts = keyword.count_by_window(tokens, s.window, s.delay)
-    table = KeyedLog(spark, f"{s.warehouse}/{name}", KEYWORD_COUNTS)
+    table = keyword_table(spark, s)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         if s.olap_url:
             sinks.append_jdbc(batch, s.olap_url, name, s.olap_properties)
-        else:
-            table.append(batch, batch_id)
+            return
+        table.append(batch, batch_id)
+        if s.compact_every and (batch_id + 1) % s.compact_every == 0:
+            table.compact(merge_counts)
 
     return s.run(counts, name, sink)
 

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from brookhouse.operators.latest import keyed_messages
-from brookhouse.sources.bus import Bus
-from brookhouse.streaming.keyedlog import KeyedLog, batch_of, complete, number_in
+from brookhouse.operators.latest import INSERT, keyed_messages
+from brookhouse.sources.bus import Bus, keyed_lines
+from brookhouse.streaming.keyedlog import KeyedLog, batch_of, commit, complete, number_in, staging
 
 
 # State of streams is kept off the heap, so it may be larger than the executors' memory.
@@ -17,10 +17,10 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def publish(bus: Bus, messages: DataFrame, writer: str, batch_id: int) -> None:
-    """Send messages (topic, value and maybe key) to the topics they name.
+    """Send messages (topic, value and maybe key) to the topics they name; with a key, a NULL value deletes it.
 
-    Files: a repeated batch of a run is skipped, so each record is there once per run; keys are only used by Kafka, where
-    they choose the partition. Kafka: Spark's sink delivers at least once; a consumer that needs exactly once drops
+    Files: a batch is written aside and then committed whole, and a repeated batch of a run is skipped, so each record is
+    there once per run and none is read before its batch is. Kafka: Spark's sink delivers at least once; a consumer that needs exactly once drops
     repeated keys. `bus.producer` is passed on to Kafka's producers.
     """
     if bus.kind == "kafka":
@@ -31,7 +31,10 @@ def publish(bus: Bus, messages: DataFrame, writer: str, batch_id: int) -> None:
     spark, root = messages.sparkSession, f"{bus.location}/{writer}"
     folder = f"{root}/batch_id={number_in(spark, root, batch_id)}"
     if not complete(spark, folder):
-        messages.select("topic", "value").write.mode("overwrite").partitionBy("topic").text(folder)
+        aside = staging(root)
+        keyed = "key" in messages.columns
+        (keyed_lines(messages) if keyed else messages.select("topic", "value")).write.partitionBy("keyed" if keyed else "topic").text(aside)
+        commit(spark, aside, folder)
 
 
 def json_messages(rows: DataFrame, topic: str) -> DataFrame:
@@ -44,6 +47,15 @@ def upsert_messages(rows: DataFrame, topic: str, keys: list[str]) -> DataFrame:
     return keyed_messages(rows, keys).withColumn("topic", F.lit(topic))
 
 
+def upsert_changes(changes: DataFrame, topic: str, keys: list[str]) -> DataFrame:
+    """A changelog (`op` +I or -D, and the rows' columns) as keyed JSON for a compacted topic: the new row of each key, or
+    no value if it only lost one."""
+    fields = [c for c in changes.columns if c != "op"]
+    rows = changes.select("op", F.to_json(F.struct(*keys)).alias("key"), F.to_json(F.struct(*fields)).alias("value"))
+    last = rows.groupBy("key").agg(F.max(F.when(F.col("op") == INSERT, F.col("value"))).alias("value"))
+    return last.withColumn("topic", F.lit(topic))
+
+
 def upsert_rows(table: KeyedLog, rows: DataFrame, batch_id: int) -> None:
     """Rows into a keyed table; `latest_by_key` over its log gives the current rows."""
     table.append(rows, batch_id)

@@ -2,9 +2,10 @@
 
 `VisitorLog` keeps the state as a keyed table of its own and repairs each micro-batch with joins, so a device with a
 large share of the records is spread over tasks. `repair_stream` keeps it in the engine's state store: no table to
-read, but all records of a device pass through one task, in the order they arrive.
+read and records may come out of order, but all records of a device pass through one task.
 """
 
+import json
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -12,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from brookhouse.functions.dates import DAY_MS
 from brookhouse.operators.behaviour import first_visits, repair_from
@@ -62,50 +63,51 @@ class VisitorLog:
         return self.log.compact(lambda rows: rows.groupBy("bucket", "mid").agg(F.min("code").alias("code")))
 
 
-class FirstVisit(StatefulProcessor):
-    """One value per device, never expired: time and flag of its first deciding record."""
+def _repair_in_time(zone: str):
+    """Group function: hold a device's records until the watermark has passed them, release them in order of time.
 
-    def __init__(self, zone: str):
-        self.zone = zone
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("first_visit", "code bigint")
-
-    def _days(self, ms: pd.Series) -> pd.Series:
-        return pd.to_datetime(ms, unit="ms", utc=True).dt.tz_convert(self.zone).dt.normalize()
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        code = self.state.get()[0] if self.state.exists() else None
-        for frame in rows:
-            frame = frame.sort_values(["ts", "is_new"], kind="stable")
-            if code is None:
-                deciding = frame[frame["is_new"].isin(["0", "1"])]
-                if len(deciding):
-                    first = deciding.iloc[0]
-                    code = int(first["ts"]) * 2 + int(first["is_new"])
-                    self.state.update((code,))
-            if code is not None:
-                first_ts = code // 2 - (0 if code % 2 else DAY_MS)
-                first_day = self._days(pd.Series([first_ts])).iloc[0]
-                wrong = (frame["is_new"] == "1") & (self._days(frame["ts"]) != first_day)
-                frame = frame.assign(is_new=frame["is_new"].mask(wrong, "0"))
-            yield frame[["is_new", "record"]]
-
-    def close(self) -> None:
-        pass
-
-
-def repair_stream(log: DataFrame, zone: str) -> DataFrame:
-    """Repair with native state. The record crosses to Python as one text, only the flag comes back changed.
-
-    Needs the RocksDB state store.
+    The state is the code of the device's first deciding record (-1: none yet) and the records that wait, as JSON.
     """
-    plain = log.select(
-        F.col("common.mid").alias("mid"), F.col("ts"), F.col("common.is_new").alias("is_new"),
-        F.to_json(F.struct(*log.columns)).alias("record"),
-    )
-    repaired = plain.groupBy("mid").transformWithStateInPandas(
-        FirstVisit(zone), outputStructType="is_new string, record string", outputMode="Append", timeMode="None")
+    def days(ms: list[int]) -> pd.Series:
+        return pd.to_datetime(pd.Series(ms, dtype="int64"), unit="ms", utc=True).dt.tz_convert(zone).dt.normalize()
+
+    def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        code, held = state.get if state.exists else (-1, "[]")
+        waiting = json.loads(held)
+        if not state.hasTimedOut:
+            for frame in frames:
+                waiting += [list(x) for x in zip(frame["ts"].tolist(), frame["is_new"].tolist(), frame["record"].tolist())]
+        passed = state.getCurrentWatermarkMs()
+        ready = sorted((x for x in waiting if x[0] <= passed), key=lambda x: (x[0], x[1] or "", x[2]))
+        waiting = [x for x in waiting if x[0] > passed]
+        if code < 0:
+            code = next((ts * 2 + int(flag) for ts, flag, _ in ready if flag in ("0", "1")), -1)
+        state.update((code, json.dumps(waiting)))
+        if waiting:
+            state.setTimeoutTimestamp(min(x[0] for x in waiting))
+        if ready:
+            out = pd.DataFrame(ready, columns=["ts", "is_new", "record"])
+            if code >= 0:
+                first = days([code // 2 - (0 if code % 2 else DAY_MS)]).iloc[0]
+                wrong = (out["is_new"] == "1") & (days(out["ts"].tolist()) != first)
+                out["is_new"] = out["is_new"].mask(wrong, "0")
+            yield out[["is_new", "record"]]
+
+    return step
+
+
+def repair_stream(log: DataFrame, zone: str, delay: str = "5 seconds") -> DataFrame:
+    """Repair with native state and the log's own watermark.
+
+    Records may come out of order by up to `delay`; each waits for the watermark and is then released by an event-time
+    timer, in order of time within its device. A record that comes later than that is dropped. One number per device is
+    kept for ever. The record crosses to Python as one text, only the flag comes back changed. Needs the RocksDB state store.
+    """
+    timed = log.withColumn("_time", F.timestamp_millis("ts")).withWatermark("_time", delay)
+    plain = timed.select(
+        F.col("common.mid").alias("mid"), "ts", F.col("common.is_new").alias("is_new"), F.to_json(F.struct(*log.columns)).alias("record"), "_time")
+    repaired = plain.groupBy("mid").applyInPandasWithState(
+        _repair_in_time(zone), "is_new string, record string", "code bigint, held string", "append", GroupStateTimeout.EventTimeTimeout)
     return (
         repaired.select("is_new", F.inline(F.array(F.from_json("record", log.schema))))
         .withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
