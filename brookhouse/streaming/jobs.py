@@ -31,7 +31,8 @@ class Settings:
     """Where a deployment keeps its things. `database` is the shop's database, `warehouse` and `checkpoints` shared folders.
 
     `zone` decides calendar days (None: session zone). `salt` above 1 is the number of tasks that share the lines of one
-    order in joins; orders are copied as often. Keyed tables are compacted each `compact_every` micro-batches (0: never). `config_url` preloads routing tables over JDBC. `idle`: seconds (of `clock`) that early order
+    order in joins; orders are copied as often. Keyed tables are compacted each `compact_every` micro-batches (0: never),
+    dimension tables have `buckets` folders of row keys. `config_url` preloads routing tables over JDBC. `idle`: seconds (of `clock`) that early order
     lines keep an order after its last row; None: for ever.
     """
 
@@ -44,6 +45,7 @@ class Settings:
     delay: str = "5 seconds"
     salt: int = 1
     compact_every: int = 100
+    buckets: int = 8
     window: str = "10 seconds"
     idle: float | None = None
     clock: Callable[[], float] = time.time
@@ -64,21 +66,22 @@ class Settings:
         return change_log(self.bus.stream(spark, S.TOPIC_DB), tables, self.delay)
 
     def dimensions(self, spark: SparkSession) -> DimensionTables:
-        return DimensionTables(spark, f"{self.warehouse}/dim")
+        return DimensionTables(spark, f"{self.warehouse}/dim", self.buckets)
 
-    def dimension(self, spark: SparkSession, sink_table: str, columns: list[str]) -> DataFrame:
-        """Current rows of a dimension table, by the configuration as it is now; a dropped table has none.
+    def dimension(self, spark: SparkSession, sink_table: str, columns: list[str], keys: DataFrame | None = None) -> DataFrame:
+        """Current rows of a dimension table, by the configuration as it is now; a dropped table has none. `keys`: a column of
+        the row keys that are asked for; other buckets are not opened.
 
         A table that only the preloaded snapshot names has had no action and is in generation 0. The configuration is that
         of the dimension job's routes, with what is new on the feed.
         """
         generation, dropped = table_now(self.routes(spark, DIM_FEED, S.DIM_ROUTE, routing.DIM_KEY).current(), sink_table)
-        rows = self.dimensions(spark).read(sink_table, columns, generation)
+        rows = self.dimensions(spark).read(sink_table, columns, generation, keys=keys)
         return rows.limit(0) if dropped else rows
 
-    def dictionary(self, spark: SparkSession) -> DataFrame:
-        """Dictionary as it is now."""
-        return lookup.dictionary_rows(self.dimension(spark, S.DIM_DICTIONARY, ["dic_name"]), "row_key")
+    def dictionary(self, spark: SparkSession, codes: DataFrame | None = None) -> DataFrame:
+        """Dictionary as it is now, or at least its rows of some codes."""
+        return lookup.dictionary_rows(self.dimension(spark, S.DIM_DICTIONARY, ["dic_name"], codes), "row_key")
 
     def routes(self, spark: SparkSession, table: str, route, key: list[str]) -> RouteTable:
         def snapshot() -> DataFrame:
@@ -202,7 +205,7 @@ def dwd_trade_order_pay_suc_detail(
     table = payment_table(spark, s)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = lookup.payment_facts(batch, s.dictionary(batch.sparkSession)).persist()
+        rows = lookup.payment_facts(batch, s.dictionary(batch.sparkSession, batch.select("payment_type"))).persist()
         try:
             sinks.upsert_rows(table, rows, batch_id)
             sinks.publish(s.bus, sinks.upsert_messages(rows, S.PAYMENT_SUCCESS, ["id"]), name, batch_id)
@@ -216,7 +219,7 @@ def dwd_interaction_comment_info(spark: SparkSession, s: Settings) -> StreamingQ
     name = "dwd_interaction_comment_info"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = lookup.comment_facts(batch, s.dictionary(batch.sparkSession))
+        rows = lookup.comment_facts(batch, s.dictionary(batch.sparkSession, batch.select("appraise")))
         sinks.publish(s.bus, sinks.json_messages(rows, S.COMMENT_INFO), name, batch_id)
 
     return s.run(facts.comments(s.changes(spark, "comment_info"), s.database), name, sink)

@@ -22,7 +22,6 @@ from brookhouse.streaming.keyedlog import KeyedLog
 
 FIRST_VISIT = T.StructType([
     T.StructField("bucket", T.IntegerType()), T.StructField("mid", T.StringType()), T.StructField("code", T.LongType())])
-BUCKETS = 16
 
 
 class VisitorLog:
@@ -31,13 +30,15 @@ class VisitorLog:
     where they lie by the batch's devices, unless those are too many to be sent to all tasks.
     """
 
-    def __init__(self, spark: SparkSession, root: str, zone: str | None = None):
-        self.log, self.zone = KeyedLog(spark, root, FIRST_VISIT, ("bucket",)), zone
+    def __init__(self, spark: SparkSession, root: str, zone: str | None = None, buckets: int = 16):
+        self.zone, self.buckets = zone, buckets
+        self.log = KeyedLog(spark, root, FIRST_VISIT, ("bucket",))
 
     def known(self, visits: DataFrame, batch_id: int) -> DataFrame:
         """Stored first visits of the devices of a batch."""
-        met = visits.select("bucket").distinct().collect()  # BUCKETS rows at most
-        stored = self.log.read(before=batch_id).filter(F.col("bucket").isin([r.bucket for r in met]))
+        met = visits.select("bucket").distinct().collect()  # `buckets` rows at most
+        buckets = [r.bucket for r in met]
+        stored = self.log.read(before=batch_id, only={"bucket": buckets}).filter(F.col("bucket").isin(buckets))
         stored = stored.select("mid", F.col("code").alias("_known"))
         devices = visits.select("mid")
         return stored.join(F.broadcast(devices) if fits(devices) else devices, "mid", "left_semi")
@@ -49,7 +50,7 @@ class VisitorLog:
         The batch and its devices are cached inside the block, as both are used more than once.
         """
         log.persist()
-        seen = first_visits(log).withColumn("bucket", F.pmod(F.xxhash64("mid"), F.lit(BUCKETS)).cast("int")).persist()
+        seen = first_visits(log).withColumn("bucket", F.pmod(F.xxhash64("mid"), F.lit(self.buckets)).cast("int")).persist()
         visits = seen.join(self.known(seen, batch_id), "mid", "left").persist()
         try:
             self.log.append(visits.filter(F.col("_known").isNull() & F.col("code").isNotNull()), batch_id)

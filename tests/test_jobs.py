@@ -567,6 +567,23 @@ def test_jobs_are_complete():
     assert len(jobs.JOBS) == 9
 
 
+def test_a_lookup_opens_the_buckets_of_its_codes(spark, shop):
+    tables = shop.settings.dimensions(spark)
+    codes = [str(k) for k in range(60)]
+    shop.send(jobs.DIM_FEED, DIC)
+    shop.send(S.TOPIC_DB, *[change("base_dic", "insert", 1, {"dic_code": c, "dic_name": f"n{c}"}) for c in codes])
+    shop.run(jobs.dim_app)
+    for compacted_ in (False, True):
+        if compacted_:
+            tables.compact()
+        asked = spark.createDataFrame([("7",), (None,), ("7",)], "payment_type string")
+        some = shop.settings.dictionary(spark, asked)
+        found = {r["rowkey"] for r in rows(some)}
+        files = {f.split("/")[-2] for f in tables.events("dim_base_dic", keys=asked).inputFiles()}
+        assert "7" in found and 0 < len(found) < 30 and len(files) == 1
+        assert {r["rowkey"] for r in rows(shop.settings.dictionary(spark))} == set(codes)
+
+
 def test_stored_first_visits_are_not_shuffled(spark, shop, lines):
     from brookhouse.operators.behaviour import clean_log
 
