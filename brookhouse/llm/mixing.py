@@ -19,6 +19,8 @@ from brookhouse.llm.sqlwords import words_of
 SEED = 17
 #: Tokens of a block on average.
 BLOCK_TOKENS = 100_000
+#: A section of a source's blocks are those whose hashes agree but for so many bits: 2**14 sections.
+SECTION_BITS = 50
 GRID, ROUNDS = 64, 5
 #: How far the exponent may be off, and the digits of a weight that count.
 STEP, DIGITS = 1 / GRID * (2 / GRID) ** (ROUNDS - 1), 9
@@ -54,10 +56,16 @@ def mixture(docs: DataFrame, budget: float = 1.0, entropy: float | None = None,
     name = plan.withColumnRenamed("source", "of")
     dealt = rows.join(name, F.col("source").eqNullSafe(F.col("of"))).drop("of").withColumn(
         "block", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("blocks")))
-    blocks = dealt.groupBy("source", "block", "rest").agg(F.sum("n_tokens").alias("b"))
-    order = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed), F.lit(1), "block"), "block")
-    before = F.coalesce(F.sum("b").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    room = blocks.select(F.col("source").alias("of"), F.col("block").alias("no"), "b", (F.col("rest") - before).alias("room"))
+    # blocks come in the order of their hashes; sections of that order are summed first, so no task has all blocks of a source
+    place = F.xxhash64(F.lit(seed), F.lit(1), "block")
+    blocks = dealt.groupBy("source", "block", "rest").agg(F.sum("n_tokens").alias("b")).withColumn("section", F.shiftright(place, SECTION_BITS))
+    sections = blocks.groupBy("source", "section").agg(F.sum("b").alias("s"))
+    ahead = F.sum("s").over(Window.partitionBy("source").orderBy("section").rowsBetween(Window.unboundedPreceding, -1))
+    sections = sections.select(F.col("source").alias("of"), F.col("section").alias("at"), F.coalesce(ahead, F.lit(0)).alias("ahead"))
+    order = Window.partitionBy("source", "section").orderBy(place, "block")
+    before = F.col("ahead") + F.coalesce(F.sum("b").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    room = blocks.join(sections, F.col("source").eqNullSafe(F.col("of")) & (F.col("section") == F.col("at"))).select(
+        F.col("source").alias("of"), F.col("block").alias("no"), "b", (F.col("rest") - before).alias("room"))
     placed = dealt.join(room, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("no")))
     whole = placed.where((F.col("room") <= 0) | (F.col("b") <= F.col("room"))).withColumn(
         "more", ((F.col("room") > 0) & (F.col("b") <= F.col("room"))).cast("long"))
