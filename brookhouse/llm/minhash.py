@@ -31,8 +31,9 @@ from brookhouse.llm.components import components
 from brookhouse.llm.groups import sorted_groups
 from brookhouse.llm.scratch import keep
 from brookhouse.llm.words import mix, shingle_sets, text_slices
+from brookhouse.llm.workers import frugal
 
-COORDINATES = 32
+COORDINATES = 32  # a power of two
 MISS = 2e-5
 #: Members of a posting list, and shingles of a family, that one task compares with each other.
 BLOCK = 2048
@@ -78,8 +79,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     )
 
 
+@frugal
 def _sign(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """The coordinate's number is the upper half of a coordinate value, so that values tell coordinates apart."""
+    """The lowest bits of a coordinate value are the coordinate's number, so that values tell coordinates apart."""
     for batch in batches:
         for t in text_slices(batch.column(1)):
             sets = shingle_sets(t, words)
@@ -89,8 +91,8 @@ def _sign(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
             begins = np.concatenate([[0], np.cumsum(sizes[some])[:-1]]).astype(np.int64)
             signature = np.zeros((len(some), COORDINATES), np.int64)
             for k in range(COORDINATES if len(some) else 0):
-                low = np.minimum.reduceat(((values ^ _seeds[2 * k]) * (_seeds[2 * k + 1] | np.uint64(1))) >> np.uint64(32), begins)
-                signature[:, k] = low.astype(np.int64) | (k << 32)
+                low = np.minimum.reduceat((values ^ _seeds[2 * k]) * (_seeds[2 * k + 1] | np.uint64(1)), begins)
+                signature[:, k] = (low & np.uint64(-COORDINATES % 2**64) | np.uint64(k)).view(np.int64)
             ends = np.cumsum((sizes > 0) * COORDINATES)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(t.first, t.last - t.first),
@@ -162,6 +164,7 @@ def _rest(postings: DataFrame, first: DataFrame, texts: DataFrame, words: int, p
         partial(_join_blocks, percent=percent), "a long, b long")
 
 
+@frugal
 def _with_set(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for t in text_slices(batch.column(3)):
@@ -171,6 +174,7 @@ def _with_set(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
                                              ["family", "component", "id", "size", "shingles"])
 
 
+@frugal
 def _join_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Compare the full sets of two blocks (or of one with itself) as long as they are in different components."""
     for group in sorted_groups(batches, ["family", "low", "high"]):
@@ -209,7 +213,8 @@ def _matrix(values: pa.ChunkedArray) -> np.ndarray:
         values = values.chunk(0)
     flat, rows = values.flatten().to_numpy(), np.repeat(np.arange(len(values)), values.value_lengths().to_numpy())
     out = np.repeat(-1 - np.arange(len(values))[:, None], COORDINATES, axis=1)
-    out[rows, flat >> 32] = flat & 0xFFFFFFFF
+    bits = flat.astype(np.int64).view(np.uint64)
+    out[rows, (bits % np.uint64(COORDINATES)).astype(np.int64)] = (bits // np.uint64(COORDINATES)).astype(np.int64)
     return out
 
 
@@ -217,6 +222,7 @@ def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+@frugal
 def _roots(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
     a, b = [], []
     for group in sorted_groups(batches, ["post", "block"]):
@@ -251,6 +257,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
         partial(_similar, words=words, percent=percent), "a long, b long")
 
 
+@frugal
 def _similar(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):

@@ -19,6 +19,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from brookhouse.llm.scratch import fresh
 from brookhouse.llm.words import Texts, text_slices, word_hashes
+from brookhouse.llm.workers import frugal
 
 PASSAGE = 64
 BUCKETS = 128
@@ -170,6 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     return fit(bags, np.array([row.quality for row in rows], np.float32))
 
 
+@frugal
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for t in text_slices(batch.column("text")):
@@ -189,6 +191,7 @@ def _position(docs: DataFrame, name: str) -> int:
     return [column.lower() for column in docs.columns].index(name)
 
 
+@frugal
 def _score(batches: Iterator[pa.RecordBatch], text: int, model: Model | None, names: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         scores = np.full(batch.num_rows, 0.5)
