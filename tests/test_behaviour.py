@@ -9,10 +9,10 @@ from brookhouse import schemas as S
 from brookhouse.operators import behaviour as B
 from tests.conftest import rows
 
-COMMON = {"ar": "14", "uid": "u-5", "os": "Linux", "ch": "c", "is_new": "1", "md": "m", "mid": "device-a",
+COMMON = {"ar": "23", "uid": "u-5", "os": "Linux", "ch": "c", "is_new": "1", "md": "m", "mid": "device-a",
           "vc": "3.0", "ba": "b", "sid": "s"}
 PAGE = {"page_id": "basket", "during_time": 1200, "last_page_id": "item"}
-SHOWN = [{"pos_seq": i, "item": str(i), "item_type": "sku_id", "pos_id": 5} for i in range(3)]
+SHOWN = [{"pos_seq": i, "item": str(i), "item_type": "sku_id", "pos_id": 9} for i in range(3)]
 ACTED = [{"action_id": "favor_add", "item": "8", "item_type": "sku_id", "ts": 1700000005000}]
 
 
