@@ -74,16 +74,24 @@ def pack(ids: np.ndarray, lengths: np.ndarray, code: np.ndarray, every: int) ->
 
 def unpack(payload: bytes, offsets: np.ndarray, n: int, every: int, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The n ids, decoded from all bit offsets in step."""
+    return unpack_all([(payload, offsets, n)], every, symbols, sizes)[0]
+
+
+def unpack_all(parts: list[tuple[bytes, np.ndarray, int]], every: int, symbols: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The ids of several payloads, each given with its bit offsets and number of ids: all offsets advance in step, and the
+    more there are, the less a step costs each."""
     top = len(sizes).bit_length() - 1
-    words = np.zeros(len(payload) // 4 + 2, np.uint64)
-    words[:-2] = np.frombuffer(payload, ">u4")
+    begins = np.cumsum([0, *(len(payload) // 4 for payload, _, _ in parts)])
+    words = np.zeros(int(begins[-1]) + 2, np.uint64)
+    words[:-2] = np.frombuffer(b"".join(payload for payload, _, _ in parts), ">u4")
     windows = (words[:-1] << np.uint64(32)) | words[1:]
-    out = np.zeros((len(offsets), every), np.uint32)
-    at, last = offsets.astype(np.int64), len(windows) - 1
+    at = np.concatenate([offsets.astype(np.int64) + 32 * begin for (_, offsets, _), begin in zip(parts, begins[:-1], strict=True)])
+    out, last = np.zeros((len(at), every), np.uint32), len(windows) - 1
     mask = np.uint64((1 << top) - 1)
-    for step in range(every if len(offsets) else 0):
+    for step in range(every if len(at) else 0):
         shift = (64 - top - (at & 31)).astype(np.uint64)
-        bits = (windows[np.minimum(at >> 5, last)] >> shift) & mask  # the last place may run past its end
+        bits = (windows[np.minimum(at >> 5, last)] >> shift) & mask  # the last place of a payload may run past its end
         out[:, step] = symbols[bits]
         at += sizes[bits]
-    return out.ravel()[:n]
+    cuts = np.cumsum([len(offsets) for _, offsets, _ in parts])
+    return [own.ravel()[:n] for own, (_, _, n) in zip(np.split(out, cuts[:-1]), parts, strict=True)]

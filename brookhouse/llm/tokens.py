@@ -27,19 +27,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brookhouse.llm.huffman import code_lengths, codes, decode_tables, pack, unpack
+from brookhouse.llm.huffman import code_lengths, codes, decode_tables, pack, unpack_all
 from brookhouse.llm.scratch import folder
 from brookhouse.llm.words import LOWER, SPACE, Texts, text_slices
+from brookhouse.llm.workers import frugal
 
 END = 1
 LIMIT = 18
 BLOCK = 1 << 16
 EVERY = 256
+#: Blocks decoded at once.
+TOGETHER = 8
 #: Pieces whose ids each of a worker's two generations of its memory holds at most.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Bytes of text encoded at once.
 SLICE_BYTES = 4 << 20
 
+#: New pieces given to the library as one text, with this sign between them; pieces that have it are given alone.
+GROUP, BETWEEN = 256, "|"
+
 #: ASCII signs but the apostrophe, which can be part of a contraction.
 _SIGN = np.zeros(256, bool)
 _SIGN[[b for b in range(0x21, 0x7F) if not chr(b).isalnum() and chr(b) != "'"]] = True
@@ -60,6 +66,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        (self.between,) = self._raw([BETWEEN])[0]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -74,11 +81,30 @@ class Encoder:
                 out[i] = self.young[pieces[i]] = ids
             else:
                 new.append(i)
-        coded = self.tokenizer.encode_batch_fast([pieces[i] for i in new], add_special_tokens=False)
-        for i, ids in zip(new, coded, strict=True):
-            out[i] = self.young[pieces[i]] = array("I", ids.ids).tobytes()
+        for i, ids in zip(new, self._ask([pieces[i] for i in new]), strict=True):
+            out[i] = self.young[pieces[i]] = ids
+        return out
+
+    def _ask(self, pieces: list[str]) -> list[bytes]:
+        """The library's ids of each piece. Most of a call's time goes with the call, so pieces are joined to longer texts."""
+        plain = [i for i, piece in enumerate(pieces) if BETWEEN not in piece and "<|" not in piece]
+        groups = [plain[k : k + GROUP] for k in range(0, len(plain), GROUP)]
+        out: list[bytes | None] = [None] * len(pieces)
+        for group, coded in zip(groups, self._raw([f" {BETWEEN} ".join([pieces[i] for i in group]) for group in groups]), strict=True):
+            ids = np.array(coded, np.uint32)
+            cuts = [-1, *np.flatnonzero(ids == self.between).tolist(), len(ids)]
+            if len(cuts) == len(group) + 1:
+                held = ids.tobytes()
+                for i, a, b in zip(group, cuts[:-1], cuts[1:], strict=True):
+                    out[i] = held[4 * a + 4 : 4 * b]
+        alone = [i for i, ids in enumerate(out) if ids is None]
+        for i, coded in zip(alone, self._raw([pieces[i] for i in alone]), strict=True):
+            out[i] = array("I", coded).tobytes()
         return out
 
+    def _raw(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
     def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text of a string column."""
         for t in text_slices(column, SLICE_BYTES):
@@ -179,6 +205,7 @@ def _lengths(spark: SparkSession, path: str) -> np.ndarray:
     return lengths
 
 
+@frugal
 def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
     encoder, part, block = shared_encoder(tokenizer), TaskContext.get().partitionId(), 0
     docs: list[int | None] = []
@@ -216,6 +243,7 @@ def _widen(held: bytes) -> np.ndarray:
     return np.frombuffer(held, "<u4" if held[0] == 4 else "<u2", offset=1).astype(np.uint32)
 
 
+@frugal
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(0, np.int64)
     for batch in batches:
@@ -227,6 +255,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], ["id", "n"])
 
 
+@frugal
 def _pack(batches: Iterator[pa.RecordBatch], lengths: np.ndarray) -> Iterator[pa.RecordBatch]:
     code = codes(lengths)
     for batch in batches:
@@ -237,13 +266,17 @@ def _pack(batches: Iterator[pa.RecordBatch], lengths: np.ndarray) -> Iterator[pa
                                              ["part", "block", "start", "doc_ids", "sizes", "checkpoints", "payload"])
 
 
+@frugal
 def _unpack(batches: Iterator[pa.RecordBatch], lengths: np.ndarray, digest: bool) -> Iterator[pa.RecordBatch]:
     symbols, sizes = decode_tables(lengths)
     for batch in batches:
-        for i in range(batch.num_rows):
-            doc_ids, own, start = batch.column(3)[i].values, batch.column(4)[i].values.to_numpy(), batch.column(2)[i].as_py()
-            offsets = np.frombuffer(batch.column(5)[i].as_py(), "<u4")
-            ids = unpack(batch.column(6)[i].as_py(), offsets, int(own.sum()), EVERY, symbols, sizes).astype("<u4")
+        every_size = [batch.column(4)[i].values.to_numpy() for i in range(batch.num_rows)]
+        decoded = (ids for k in range(0, batch.num_rows, TOGETHER) for ids in unpack_all(
+            [(batch.column(6)[i].as_py(), np.frombuffer(batch.column(5)[i].as_py(), "<u4"), int(every_size[i].sum())) for i in range(k, min(k + TOGETHER, batch.num_rows))],
+            EVERY, symbols, sizes))
+        for i, ids in enumerate(decoded):
+            doc_ids, own, start = batch.column(3)[i].values, every_size[i], batch.column(2)[i].as_py()
+            ids = ids.astype("<u4")
             ends = np.cumsum(own, dtype=np.int64)
             each = [ids[a:b].tobytes() for a, b in zip(ends - own, ends, strict=True)]
             columns = [doc_ids, pa.array(start + ends - own)]
