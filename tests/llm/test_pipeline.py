@@ -28,6 +28,6 @@ def test_stages_in_order(spark):
 
 def test_run_and_registration(spark):
     assert QUERIES["pipeline"] is corpus_pipeline.run
-    assert {name.split("_")[0] for name in QUERIES if name != "pipeline"} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES if name != "pipeline"} == {f"op{n}" for n in range(1, 14)}
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() > 50
