@@ -2,8 +2,9 @@
 
 Vectors of unit length with a cosine of 0.93 are at most 0.374 apart. Each of `TABLES` tables cuts `PROJECTIONS` random
 (Gaussian, hence 2-stable) projections into steps of `WIDTH` and uses the steps together as a bucket. Two vectors at that
-distance share a bucket with a probability of 0.999, at a cosine of 0.97 with one of 1 - 1e-5; unrelated ones share one
-of a table with 0.01 (for very many vectors, take more projections and tables). All pairs of a bucket get the exact cosine, in double precision, with none left out: large buckets
+distance share a bucket of some table with a probability of 0.9995, at a cosine of 0.97 with one of 1 - 2e-8; unrelated
+ones share one of all tables with 0.006, so a label of many vectors compares under a hundredth of its pairs. Tables hold ids
+only; a vector is sent where its bucket has a second one. All pairs of a bucket get the exact cosine, in double precision, with none left out: large buckets
 are cut into blocks, and each pair of blocks is a task's group. Exact copies are one vector with a weight. A pair counts
 in the first table whose bucket it shares, so links are summed per vector without listing them; for the components each
 group returns only links that join what is not joined in it yet.
@@ -25,7 +26,7 @@ from brookhouse.llm.groups import sorted_groups
 from brookhouse.llm.scratch import keep
 from brookhouse.llm.words import mix
 
-TABLES, PROJECTIONS, WIDTH = 16, 5, 1.6
+TABLES, PROJECTIONS, WIDTH = 56, 12, 1.9
 #: Vectors of a bucket that are compared within one group.
 BLOCK = 1024
 
@@ -47,14 +48,14 @@ def linked_vectors(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
     classes = ids.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"))
     member = keep(ids.join(classes, ["h1", "h2"]).select("vec_id", "rep", "weight"))
     reps = whole.join(classes, ["h1", "h2"]).where("vec_id = rep").dropDuplicates(["vec_id", "h1", "h2"])
-    placed = keep(reps.select("rep", "weight", F.xxhash64("label", F.size("embedding")).alias("own"), "embedding").mapInArrow(
-        _place, "table int, bucket long, rep long, weight long, own long, vector binary"))
-    crowded = placed.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
-    dealt = placed.join(crowded, "bucket", "left").withColumn("blocks", F.coalesce(F.ceil(F.col("n") / BLOCK), F.lit(1)).cast("int"))
+    held = keep(reps.select("rep", "weight", F.xxhash64("label", F.size("embedding")).alias("own"), "embedding"))
+    placed = keep(held.select("rep", "own", "embedding").mapInArrow(_place, "table int, bucket long, rep long"))
+    shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    dealt = placed.join(shared, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "table", "rep", "weight", "own", "vector")
+    dealt = dealt.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "table", "rep").join(held, "rep")
     links = keep(dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high").mapInArrow(
-        partial(_link, cosine=cosine, kind="<f4" if single else "<f8"), "rep long, n long, other long"))
+        partial(_link, cosine=cosine), "rep long, n long, other long"))
     counts = links.where("other is null").groupBy("rep").agg(F.sum("n").alias("n"))
     found = components(links.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b")))
     # a vec_id with several different vectors is in several classes
@@ -91,27 +92,29 @@ def _buckets(unit: np.ndarray, own: np.ndarray) -> np.ndarray:
     return buckets
 
 
+def _matrices(lists: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers and vectors of each length among the lists."""
+    lengths = lists.value_lengths().to_numpy()
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    begins = np.cumsum(lengths) - lengths
+    for width in np.unique(lengths):
+        rows = np.flatnonzero(lengths == width)
+        yield rows, flat[begins[rows][:, None] + np.arange(width)]
+
+
 def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
             part = batch.slice(at, 1024)
-            lists = part.column(3)
-            lengths = lists.value_lengths().to_numpy()
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            begins = np.cumsum(lengths) - lengths
-            for width in np.unique(lengths):
-                rows = np.flatnonzero(lengths == width)
-                vectors = flat[begins[rows][:, None] + np.arange(width)]
-                buckets = _buckets(_unit(vectors), part.column(2).to_numpy()[rows])
-                held = pa.array([x.tobytes() for x in vectors], pa.binary())
-                for table in range(TABLES):
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(rows), table, np.int32)), pa.array(buckets[:, table].view(np.int64)), part.column(0).take(pa.array(rows)),
-                        part.column(1).take(pa.array(rows)), part.column(2).take(pa.array(rows)), held,
-                    ], ["table", "bucket", "rep", "weight", "own", "vector"])
-
-
-def _link(batches: Iterator[pa.RecordBatch], cosine: float, kind: str) -> Iterator[pa.RecordBatch]:
+            rep, own = part.column(0).to_numpy(), part.column(1).to_numpy()
+            for rows, vectors in _matrices(part.column(2)):
+                buckets = _buckets(_unit(vectors), own[rows])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.tile(np.arange(TABLES, dtype=np.int32), len(rows))), pa.array(buckets.view(np.int64).ravel()), pa.array(np.repeat(rep[rows], TABLES)),
+                ], ["table", "bucket", "rep"])
+
+
+def _link(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.RecordBatch]:
     counts: list[tuple[np.ndarray, np.ndarray]] = []
     a: list[int] = []
     b: list[int] = []
@@ -120,9 +123,10 @@ def _link(batches: Iterator[pa.RecordBatch], cosine: float, kind: str) -> Iterat
             continue
         rep, weight, own, block = (group[name].to_numpy() for name in ("rep", "weight", "own", "block"))
         low, high, table = (group[name][0].as_py() for name in ("low", "high", "table"))
-        vectors = [np.frombuffer(x.as_py(), kind) for x in group["vector"]]
-        widest = max(map(len, vectors))  # lengths only differ if bucket hashes clash, and then so does `own`
-        unit = _unit(np.stack([np.pad(x, (0, widest - len(x))) for x in vectors] if len({*map(len, vectors)}) > 1 else vectors))
+        lists = group["embedding"].combine_chunks()
+        unit = np.zeros((group.num_rows, lists.value_lengths().to_numpy().max()))  # lengths only differ if bucket hashes clash, and then so does `own`
+        for rows, vectors in _matrices(lists):
+            unit[rows, : vectors.shape[1]] = _unit(vectors)
         first, second = np.flatnonzero(block == low), np.flatnonzero(block == high)
         if not len(first) or not len(second):
             continue
@@ -136,9 +140,9 @@ def _link(batches: Iterator[pa.RecordBatch], cosine: float, kind: str) -> Iterat
             continue
         linked, where = np.unique(np.concatenate([i, j]), return_inverse=True)
         buckets = _buckets(unit[linked], own[linked])
-        fresh = np.ones(len(i), bool)
+        fresh = np.arange(len(i))
         for earlier in range(table):
-            fresh &= buckets[where[: len(i)], earlier] != buckets[where[len(i) :], earlier]
+            fresh = fresh[buckets[where[fresh], earlier] != buckets[where[len(i) + fresh], earlier]]
         i, j = i[fresh], j[fresh]
         if not len(i):
             continue

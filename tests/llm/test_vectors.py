@@ -59,3 +59,30 @@ def test_edge_cases(spark):
 def test_query_against_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     assert got(op1_embeddings(spark, SF)) == brute(rows)
+
+
+def test_large_label_compares_few_pairs_and_finds_links(spark):
+    """One label of unrelated vectors with planted pairs just above the bound: what its buckets hold, and recall."""
+    r = np.random.default_rng(5)
+    base = r.standard_normal((20_000, 64))
+    near = base[:4000] / np.linalg.norm(base[:4000], axis=1, keepdims=True)
+    across = r.standard_normal((4000, 64))
+    across -= (across * near).sum(axis=1, keepdims=True) * near
+    across /= np.linalg.norm(across, axis=1, keepdims=True)
+    planted = 0.9301 * near + np.sqrt(1 - 0.9301**2) * across
+    unit = neardup_vectors._unit(np.concatenate([base, planted]))
+    buckets = neardup_vectors._buckets(unit, np.zeros(len(unit), np.int64))
+    pairs = sum(int((n * (n - 1) // 2).sum()) for n in (np.unique(column, return_counts=True)[1].astype(np.int64) for column in buckets.T))
+    assert pairs < 0.01 * len(unit) * (len(unit) - 1) / 2
+    met = (buckets[:4000] == buckets[20_000:]).any(axis=1)
+    assert met.mean() > 0.998
+    rows = [(k, [float(x) for x in v], 1) for k, v in enumerate(unit[np.r_[:3000, 20_000:23_000]])]
+    out = got(linked_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")))
+    assert sum(out[k + 3000][1] == k for k in range(3000)) == int(met[:3000].sum())
+
+
+def test_vectors_travel_only_where_buckets_are_shared(spark):
+    """Unrelated vectors reach no comparison: the tables hold ids."""
+    rows = sample(9, 60, 1, 0.0, dim=64)
+    out = got(linked_vectors(spark.createDataFrame(rows, SCHEMA)))
+    assert out == brute(rows) and all(x == (0, i, True) for i, x in out.items())
