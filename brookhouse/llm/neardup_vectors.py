@@ -13,7 +13,8 @@ group returns only links that join what is not joined in it yet.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,7 @@ def linked_vectors(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
     ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
+@lru_cache(maxsize=4)
 def _tables(width: int) -> tuple[np.ndarray, np.ndarray]:
     """Projections and offsets for vectors of a length; the same in every task."""
     r = np.random.default_rng(width)
@@ -114,59 +116,87 @@ def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ], ["table", "bucket", "rep"])
 
 
+class _Near(NamedTuple):
+    """Rows of a group that have a near one, and the pairs (i, j) of them."""
+
+    table: int
+    rep: np.ndarray
+    weight: np.ndarray
+    own: np.ndarray
+    unit: np.ndarray
+    i: np.ndarray
+    j: np.ndarray
+
+
 def _link(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.RecordBatch]:
-    counts: list[tuple[np.ndarray, np.ndarray]] = []
-    a: list[int] = []
-    b: list[int] = []
+    held: list[_Near] = []
     for group in sorted_groups(batches, ["bucket", "low", "high"]):
-        if group.num_rows < 2:
+        near = _near(group, cosine) if group.num_rows > 1 else None
+        if near is None:
             continue
-        rep, weight, own, block = (group[name].to_numpy() for name in ("rep", "weight", "own", "block"))
-        low, high, table = (group[name][0].as_py() for name in ("low", "high", "table"))
-        lists = group["embedding"].combine_chunks()
-        unit = np.zeros((group.num_rows, lists.value_lengths().to_numpy().max()))  # lengths only differ if bucket hashes clash, and then so does `own`
-        for rows, vectors in _matrices(lists):
-            unit[rows, : vectors.shape[1]] = _unit(vectors)
-        first, second = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        if not len(first) or not len(second):
-            continue
-        near = unit[first] @ unit[second].T >= cosine
-        near &= own[first][:, None] == own[second]
-        if low == high:
-            near &= np.arange(len(first))[:, None] < np.arange(len(first))
-        i, j = np.nonzero(near)
-        i, j = first[i], second[j]
-        if not len(i):
-            continue
-        linked, where = np.unique(np.concatenate([i, j]), return_inverse=True)
-        buckets = _buckets(unit[linked], own[linked])
-        fresh = np.arange(len(i))
-        for earlier in range(table):
-            fresh = fresh[buckets[where[fresh], earlier] != buckets[where[len(i) + fresh], earlier]]
-        i, j = i[fresh], j[fresh]
-        if not len(i):
-            continue
-        total = np.bincount(i, weight[j], len(rep)) + np.bincount(j, weight[i], len(rep))
-        some = np.flatnonzero(total)
-        counts.append((rep[some], total[some].astype(np.int64)))
-        label = np.arange(len(rep))
-        cuts = np.flatnonzero(np.diff(i)) + 1
-        for x, others in zip(i[np.concatenate([[0], cuts])], np.split(j, cuts), strict=True):
+        if held and (near.unit.shape[1] != held[0].unit.shape[1] or sum(len(x.rep) for x in held) + len(near.rep) > 2 * BLOCK or sum(len(x.i) for x in held) > BLOCK**2):
+            yield _first_met(held)
+            held = []
+        held.append(near)
+    if held:
+        yield _first_met(held)
+
+
+def _near(group: pa.Table, cosine: float) -> _Near | None:
+    own, block = group["own"].to_numpy(), group["block"].to_numpy()
+    low, high, table = (group[name][0].as_py() for name in ("low", "high", "table"))
+    first, second = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    if not len(first) or not len(second):
+        return None
+    lists = group["embedding"].combine_chunks()
+    unit = np.zeros((group.num_rows, lists.value_lengths().to_numpy().max()))  # lengths only differ if bucket hashes clash, and then so does `own`
+    for rows, vectors in _matrices(lists):
+        unit[rows, : vectors.shape[1]] = _unit(vectors)
+    near = unit[first] @ unit[second].T >= cosine
+    near &= own[first][:, None] == own[second]
+    if low == high:
+        near &= np.arange(len(first))[:, None] < np.arange(len(first))
+    i, j = np.nonzero(near)
+    if not len(i):
+        return None
+    linked, where = np.unique(np.concatenate([first[i], second[j]]), return_inverse=True)
+    return _Near(table, group["rep"].to_numpy()[linked], group["weight"].to_numpy()[linked], own[linked], unit[linked], where[: len(i)], where[len(i) :])
+
+
+def _first_met(groups: list[_Near]) -> pa.RecordBatch:
+    """Pairs that share no bucket of an earlier table: their sums by vector, and for each group links that join its rows."""
+    rep, weight = (np.concatenate([getattr(x, name) for x in groups]) for name in ("rep", "weight"))
+    buckets = _buckets(np.concatenate([x.unit for x in groups]), np.concatenate([x.own for x in groups]))
+    starts = np.cumsum([0, *(len(x.rep) for x in groups)])
+    i, j = (np.concatenate([getattr(x, name) + start for x, start in zip(groups, starts, strict=False)]) for name in "ij")
+    group = np.repeat(np.arange(len(groups)), [len(x.i) for x in groups])
+    table = np.array([x.table for x in groups])[group]
+    fresh = np.arange(len(i))
+    for earlier in range(table.max()):
+        fresh = fresh[(table[fresh] <= earlier) | (buckets[i[fresh], earlier] != buckets[j[fresh], earlier])]
+    i, j, group = i[fresh], j[fresh], group[fresh]
+    total = np.bincount(i, weight[j], len(rep)) + np.bincount(j, weight[i], len(rep))
+    some = np.flatnonzero(total)
+    a: list[int] = []
+    b: list[int] = []
+    for k in np.unique(group):
+        start, end = np.searchsorted(group, [k, k + 1])
+        x_of, others_of, base = i[start:end] - starts[k], j[start:end] - starts[k], rep[starts[k] : starts[k + 1]]
+        label = np.arange(len(base))
+        cuts = np.flatnonzero(np.diff(x_of)) + 1
+        for x, others in zip(x_of[np.concatenate([[0], cuts])], np.split(others_of, cuts), strict=True):
             labels, where = np.unique(label[others], return_index=True)
             new = labels != label[x]
             if new.any():
-                a += [int(rep[x])] * int(new.sum())
-                b += rep[others[where[new]]].tolist()
+                a += [int(base[x])] * int(new.sum())
+                b += base[others[where[new]]].tolist()
                 label[np.isin(label, labels)] = label[x]
-        if len(a) + sum(len(x) for x, _ in counts) > 20_000:
-            yield _rows(counts, a, b)
-            counts, a, b = [], [], []
-    yield _rows(counts, a, b)
+    return _rows(rep[some], total[some].astype(np.int64), a, b)
 
 
-def _rows(counts: list, a: list[int], b: list[int]) -> pa.RecordBatch:
-    rep = np.concatenate([*(x for x, _ in counts), np.array(a, np.int64)])
-    n = np.concatenate([*(x for _, x in counts), np.zeros(len(a), np.int64)])
+def _rows(linked: np.ndarray, links: np.ndarray, a: list[int], b: list[int]) -> pa.RecordBatch:
+    rep = np.concatenate([linked, np.array(a, np.int64)])
+    n = np.concatenate([links, np.zeros(len(a), np.int64)])
     other = pa.concat_arrays([pa.nulls(len(rep) - len(a), pa.int64()), pa.array(b, pa.int64())])
     return pa.RecordBatch.from_arrays([pa.array(rep), pa.array(n), other], ["rep", "n", "other"])
 
