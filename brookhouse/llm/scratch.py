@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession) -> str:
-    """A new folder below `spark.checkpoint.dir`; a session without that setting (tests) gets one of its own."""
+    """A new folder below `spark.checkpoint.dir`. A session in one process (tests) may do without that setting and gets one of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="brookhouse-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root}/{uuid.uuid4().hex}"
