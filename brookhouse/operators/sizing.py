@@ -23,14 +23,18 @@ def small_join(rows: DataFrame, side: DataFrame, on: list[str], how: str = "inne
     """Join with a side that is small as a rule: by broadcast if it fits, else by shuffle.
 
     The keys of such sides are few (tables, codes), so in the shuffle the rows of each key are dealt to `parts` slots,
-    and the side's rows are copied to all of them.
+    and the side's rows are copied to all of them. With one part, for keys that are many and about equally frequent, nothing is
+    copied. What does not fit is not left to the planner, which would weigh the copies by the compressed file that they come
+    from, and broadcast them.
     """
     if fits(side):
         return rows.join(F.broadcast(side), on, how)
+    if parts == 1:
+        return rows.join(side.hint("merge"), on, how)
     hashed = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     rows = rows.withColumn("_part", F.pmod(F.xxhash64(*hashed), F.lit(parts)).cast("int"))
     copies = side.withColumn("_part", F.explode(F.array(*map(F.lit, range(parts)))))
-    return rows.join(copies, [*on, "_part"], how).drop("_part")
+    return rows.join(copies.hint("merge"), [*on, "_part"], how).drop("_part")
 
 
 def scratch_dir(spark: SparkSession) -> str:

@@ -395,11 +395,11 @@ def search_keyword_json(spark, sf_dir):
 
 
 def part_searches(spark, sf_dir, stream=False):
-    """Page records of all events; the views search for a part by its name."""
+    """Page records of all events; the views search for a part by its name. Each part is asked for about equally often."""
     parts = I.table(spark, sf_dir, "part").select("p_partkey", "p_name")
     seen = I.table(spark, sf_dir, "events", stream).select(
         (F.col("event_id") % parts.count()).alias("p_partkey"), "event_type", I.epoch_ms("ts").alias("ts"))
-    pages = small_join(seen, parts, ["p_partkey"]).select("ts", I.pairs(
+    pages = small_join(seen, parts, ["p_partkey"], parts=1).select("ts", I.pairs(
         last_page_id=F.when(F.col("event_type") == "view", "search").otherwise("home"), item_type=F.lit("keyword"),
         item=F.col("p_name")).alias("page"))
     return K.search_keywords(pages)

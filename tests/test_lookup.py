@@ -50,6 +50,17 @@ def test_small_dictionary_is_broadcast_and_large_is_not(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_a_side_that_does_not_fit_is_not_broadcast_by_the_planner_either(spark, monkeypatch, parts):
+    codes = spark.range(1000).select(F.col("id").cast("string").alias("rowkey"), "id")
+    facts = spark.range(2000).select(F.col("id").cast("string").alias("rowkey"))
+    monkeypatch.setattr(sizing, "fits", lambda df: False)
+    joined = sizing.small_join(facts, codes, ["rowkey"], parts=parts)
+    got = joined.collect()
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert len(got) == 1000 and "Broadcast" not in text and ("_part" in text) == (parts > 1)
+
+
 def test_sizes_are_weighed_without_gathering_rows(spark):
     codes = spark.range(1000).select(F.col("id").cast("string").alias("rowkey"))
     assert sizing.fits(codes) and not sizing.fits(codes, max_rows=999) and not sizing.fits(codes, max_bytes=100)
