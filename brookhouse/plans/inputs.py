@@ -96,9 +96,15 @@ def log_of(maker, spark: SparkSession, sf_dir: str, stream: bool = False, end_of
     return with_times(rows)
 
 
+# Messages of a partition, at most but for chance.
+PARTITION_ROWS = 1_000_000
+
+
 def dealt(lines: DataFrame) -> DataFrame:
-    """Messages in as many partitions as there are cores, as on a bus whose topics have partitions, whatever their number."""
-    return lines if lines.isStreaming else lines.repartition(lines.sparkSession.sparkContext.defaultParallelism, "ts")
+    """Messages in as many partitions as there are cores, or more if they are many, as on a bus whose topics have partitions."""
+    if lines.isStreaming:
+        return lines
+    return lines.repartition(max(lines.sparkSession.sparkContext.defaultParallelism, -(-lines.count() // PARTITION_ROWS)), "ts")
 
 
 def as_lines(log: DataFrame) -> DataFrame:

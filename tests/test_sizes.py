@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from brookhouse.plans import inputs as I
 from brookhouse.plans import queries as Q
 from brookhouse.plans import stream_queries as streams
 from brookhouse.sources.bus import Bus
@@ -43,3 +44,10 @@ def test_the_order_log_comes_in_several_batches(spark, monkeypatch, name, batche
     monkeypatch.setattr(streams, "publish", lambda bus, *sent_: (buses.append(bus), kept(bus, *sent_)))
     getattr(streams, name)(spark, SF)
     assert len(buses) == batches and (name.endswith("late") or all(len(sent(buses[0], k)) > 1 for k in range(3)))
+
+
+def test_more_messages_are_dealt_to_more_tasks(spark, monkeypatch):
+    few, many = spark.range(1000).withColumnRenamed("id", "ts"), spark.range(40_000).withColumnRenamed("id", "ts")
+    monkeypatch.setattr(I, "PARTITION_ROWS", 1000)
+    assert I.dealt(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert I.dealt(many).rdd.getNumPartitions() == 40
