@@ -31,6 +31,16 @@ def test_the_fact_topic_is_written_where_the_last_join_left_it(spark):
     assert "REPARTITION" not in plan
 
 
+@pytest.mark.parametrize("query, facts", [
+    (Q.order_cancel, Q.J.order_cancel_wide), (Q.order_cancel_unbounded, Q.J.order_cancel_wide), (Q.payment_interval, Q.J.paid_order_lines),
+    (Q.payment_interval_after_order, Q.J.paid_order_lines), (Q.payment_success, Q.J.paid_order_lines)])
+def test_only_lines_that_can_be_met_are_carried_to_the_last_join(spark, monkeypatch, query, facts):
+    carried = []
+    monkeypatch.setattr(Q.J, facts.__name__, lambda lines, *rest: (carried.append(lines), facts(lines, *rest))[1])
+    met = query(spark, SF).count()
+    assert 0 < met <= carried[0].count() < Q.fact_table(spark, SF).count() / 2
+
+
 def test_unordered_batches_are_written_by_several_tasks(spark):
     lines = spark.range(0, 4000, 1, 4).select(F.pmod(F.xxhash64("id"), F.lit(1 << 30)).alias("at"), F.col("id").cast("string").alias("value"))
     for k, bus in enumerate(streams.bus_in_batches(spark, "unordered", "t", lines, ordered=False)):
