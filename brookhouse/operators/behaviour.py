@@ -76,12 +76,16 @@ def busy_devices(visits: DataFrame, share: float = 0.02, parts: int = 64) -> Sal
     return Salt(parts, tuple(sorted(r.mid for r in busy))) if busy else NO_SALT
 
 
+def repaired_flag(first: Column, zone: str | None = None) -> Column:
+    """Flag of a record, old if it says new on another day than its device's first; as it is if that is not known."""
+    wrong = (F.col("common.is_new") == "1") & (day_of(F.col("ts"), zone) != first)
+    return F.when(wrong, F.lit("0")).otherwise(F.col("common.is_new"))
+
+
 def repair_with(log: DataFrame, devices: DataFrame, zone: str | None = None, salt: Salt = NO_SALT) -> DataFrame:
     """Rewrite the flag of records that say new on another day than their device's first."""
     joined = interval_join(log.withColumn("_mid", F.col("common.mid")), devices, "_mid", "mid", None, "left", salt)
-    wrong = (F.col("common.is_new") == "1") & (day_of(F.col("ts"), zone) != F.col("_first_day"))
-    fixed = F.when(wrong, F.lit("0")).otherwise(F.col("common.is_new"))
-    return joined.withColumn("common", F.col("common").withField("is_new", fixed)).select(*log.columns)
+    return joined.withColumn("common", F.col("common").withField("is_new", repaired_flag(F.col("_first_day"), zone))).select(*log.columns)
 
 
 def repair_from(log: DataFrame, visits: DataFrame, zone: str | None = None) -> DataFrame:
@@ -107,6 +111,8 @@ def repair_visitors(log: DataFrame, zone: str | None = None) -> DataFrame:
 
 # --- split --------------------------------------------------------------------------------------------------------
 
+TOPICS = (S.TRAFFIC_PAGE, S.TRAFFIC_START, S.TRAFFIC_ERR, S.TRAFFIC_DISPLAY, S.TRAFFIC_ACTION)
+
 
 def errors(log: DataFrame) -> DataFrame:
     """Error objects alone, without their context."""
@@ -141,37 +147,45 @@ def actions(log: DataFrame) -> DataFrame:
     )
 
 
-def split_messages(log: DataFrame) -> DataFrame:
+def split_messages(log: DataFrame, topics: tuple[str, ...] = TOPICS) -> DataFrame:
     """All five outputs in one pass: topic and JSON text, with every field of the record, known or not.
 
-    Each record becomes the list of its messages, so the log is read once however many topics there are. The flag of new
+    Each record becomes the list of its messages, so the log is read once however many topics there are; of topics that are
+    not among `topics` no message is built. The context that the items of a record share becomes text once. The flag of new
     visitors is that of the typed column, which a repair may have changed.
     """
     fields = "map<string,variant>"
     none = "cast(array() AS array<struct<topic:string,value:string>>)"
 
-    def message(topic: str, value: str) -> str:
-        return f"named_struct('topic', '{topic}', 'value', to_json({value}))"
+    def message(topic: str, text: str) -> str:
+        return f"named_struct('topic', '{topic}', 'value', {text})"
 
     def spread(array: str, topic: str) -> str:
         """A message per element: its fields, and the record's context in place of its own."""
-        context = "map('common', _record['common'], 'page', _record['page'], 'ts', _record['ts'])"
-        own = f"map_filter(try_cast(e AS {fields}), (k, v) -> k NOT IN ('common', 'page', 'ts'))"
-        found = f"filter(try_cast(_record['{array}'] AS array<variant>), e -> try_cast(e AS {fields}) IS NOT NULL)"
-        return f"coalesce(transform({found}, e -> {message(topic, f'map_concat({own}, {context})')}), {none})"
-
-    def without(*names: str) -> str:
-        return "map_filter(_record, (k, v) -> k NOT IN ({}))".format(", ".join(f"'{n}'" for n in names))
-
+        if topic not in topics:
+            return none
+        own = "to_json(map_filter(item, (k, v) -> k NOT IN ('common', 'page', 'ts')))"
+        found = f"filter(transform(try_cast(_record['{array}'] AS array<variant>), e -> try_cast(e AS {fields})), item -> item IS NOT NULL)"
+        own = f"transform({found}, item -> {own})"
+        text = "concat(left(own, length(own) - 1), if(own = '{}', '', ','), substring(_context, 2))"
+        return f"coalesce(transform({own}, own -> {message(topic, text)}), {none})"
+
+    def whole(topic: str, *but: str) -> str:
+        left_out = ", ".join(f"'{n}'" for n in but)
+        return f"array({message(topic, f'to_json(map_filter(_record, (k, v) -> k NOT IN ({left_out})))')})" if topic in topics else none
+
+    error = message(S.TRAFFIC_ERR, "to_json(_record['err'])")
     flag = "if(common.is_new IS NULL, map(), map('is_new', CAST(common.is_new AS variant)))"
     common = f"map_concat(map_filter(CAST(_fields['common'] AS {fields}), (k, v) -> k <> 'is_new'), {flag})"
     record = f"map_concat(map_filter(_fields, (k, v) -> k <> 'common'), map('common', to_variant_object({common})))"
+    items = "start IS NULL AND page IS NOT NULL AND (_record['displays'] IS NOT NULL OR _record['actions'] IS NOT NULL)"
+    context = "to_json(map('common', _record['common'], 'page', _record['page'], 'ts', _record['ts']))"
     messages = f"""concat(
-        if(err IS NOT NULL, array({message(S.TRAFFIC_ERR, "_record['err']")}), {none}),
-        CASE WHEN start IS NOT NULL THEN array({message(S.TRAFFIC_START, without("err"))})
+        {f"if(err IS NOT NULL, array({error}), {none})" if S.TRAFFIC_ERR in topics else none},
+        CASE WHEN start IS NOT NULL THEN {whole(S.TRAFFIC_START, "err")}
              WHEN page IS NOT NULL THEN concat(
                 {spread("displays", S.TRAFFIC_DISPLAY)}, {spread("actions", S.TRAFFIC_ACTION)},
-                array({message(S.TRAFFIC_PAGE, without("err", "start", "displays", "actions"))}))
+                {whole(S.TRAFFIC_PAGE, "err", "start", "displays", "actions")})
              ELSE {none} END)"""
     parsed = log.withColumn("_fields", F.expr(f"CAST(whole AS {fields})")).withColumn("_record", F.expr(record))
-    return parsed.select(F.inline(F.expr(messages)))
+    return parsed.withColumn("_context", F.expr(f"CASE WHEN {items} THEN {context} END")).select(F.inline(F.expr(messages)))

@@ -352,13 +352,13 @@ def visitor_fix(spark, sf_dir):
         "ts")
 
 
-def messages(spark, sf_dir, stream=False):
+def messages(spark, sf_dir, stream=False, topics=B.TOPICS):
     """Whole messages of the five topics."""
-    return B.split_messages(B.clean_log(I.behaviour_lines(spark, sf_dir, stream)))
+    return B.split_messages(B.clean_log(I.behaviour_lines(spark, sf_dir, stream)), topics)
 
 
 def _messages_of(spark, sf_dir, topic):
-    return messages(spark, sf_dir).filter(F.col("topic") == topic)
+    return messages(spark, sf_dir, topics=(topic,))
 
 
 def log_page(spark, sf_dir):
