@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from brookhouse.functions.dates import DAY_MS
-from brookhouse.operators.behaviour import first_visits, repair_from
+from brookhouse.operators.behaviour import first_day, first_visits, repair_from, repaired_flag
 from brookhouse.operators.sizing import fits
 from brookhouse.streaming.keyedlog import KeyedLog
 
@@ -64,53 +63,49 @@ class VisitorLog:
         return self.log.compact(lambda rows: rows.groupBy("bucket", "mid").agg(F.min("code").alias("code")))
 
 
-def _repair_in_time(zone: str):
-    """Group function: hold a device's records until the watermark has passed them, release them in order of time.
+def _release_in_time():
+    """Group function: hold the records of a bucket of devices until the watermark has passed them, release them in order of
+    time, each with the code of its device's first deciding record (-1: none yet). What follows from the code is left to
+    the engine.
 
-    The state is the code of the device's first deciding record (-1: none yet) and the records that wait, as JSON.
+    The state is those codes by device and the records that wait, as JSON. (An inner function is sent to the workers whole.)
     """
-    def days(ms: list[int]) -> pd.Series:
-        return pd.to_datetime(pd.Series(ms, dtype="int64"), unit="ms", utc=True).dt.tz_convert(zone).dt.normalize()
-
     def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        code, held = state.get if state.exists else (-1, "[]")
-        waiting = json.loads(held)
+        codes, waiting = map(json.loads, state.get if state.exists else ("{}", "[]"))
         if not state.hasTimedOut:
             for frame in frames:
-                waiting += [list(x) for x in zip(frame["ts"].tolist(), frame["is_new"].tolist(), frame["record"].tolist())]
+                waiting += [list(x) for x in zip(*(frame[c].tolist() for c in ("ts", "is_new", "mid", "record")))]
         passed = state.getCurrentWatermarkMs()
-        ready = sorted((x for x in waiting if x[0] <= passed), key=lambda x: (x[0], x[1] or "", x[2]))
+        ready = sorted((x for x in waiting if x[0] <= passed), key=lambda x: (x[0], x[1] or "", x[3]))
         waiting = [x for x in waiting if x[0] > passed]
-        if code < 0:
-            code = next((ts * 2 + int(flag) for ts, flag, _ in ready if flag in ("0", "1")), -1)
-        state.update((code, json.dumps(waiting)))
+        for ts, flag, mid, _ in ready:
+            if flag in ("0", "1"):
+                codes.setdefault(mid, ts * 2 + int(flag))
+        state.update((json.dumps(codes), json.dumps(waiting)))
         if waiting:
             state.setTimeoutTimestamp(min(x[0] for x in waiting))
         if ready:
-            out = pd.DataFrame(ready, columns=["ts", "is_new", "record"])
-            if code >= 0:
-                first = days([code // 2 - (0 if code % 2 else DAY_MS)]).iloc[0]
-                wrong = (out["is_new"] == "1") & (days(out["ts"].tolist()) != first)
-                out["is_new"] = out["is_new"].mask(wrong, "0")
-            yield out[["is_new", "record"]]
+            yield pd.DataFrame({"code": [codes.get(x[2], -1) for x in ready], "record": [x[3] for x in ready]})
 
     return step
 
 
-def repair_stream(log: DataFrame, zone: str, delay: str = "5 seconds") -> DataFrame:
+def repair_stream(log: DataFrame, zone: str, delay: str = "5 seconds", buckets: int = 1 << 14) -> DataFrame:
     """Repair with native state and the log's own watermark.
 
     Records may come out of order by up to `delay`; each waits for the watermark and is then released by an event-time
     timer, in order of time within its device. A record that comes later than that is dropped. One number per device is
-    kept for ever. The record crosses to Python as one text, only the flag comes back changed. Needs the RocksDB state store.
+    kept for ever. The record crosses to Python as one text, and the first visit's code comes back with it. Needs the RocksDB state store.
+
+    The state is kept by `buckets` of devices, as a call of the function costs far more than a record: a batch calls it once
+    per bucket that it meets, and rewrites what is known of the bucket's devices. So many more devices want more buckets;
+    their number must stay as the checkpoint has it.
     """
     timed = log.withColumn("_time", F.timestamp_millis("ts")).withWatermark("_time", delay)
     plain = timed.select(
-        F.col("common.mid").alias("mid"), "ts", F.col("common.is_new").alias("is_new"), F.to_json(F.struct(*log.columns)).alias("record"), "_time")
-    repaired = plain.groupBy("mid").applyInPandasWithState(
-        _repair_in_time(zone), "is_new string, record string", "code bigint, held string", "append", GroupStateTimeout.EventTimeTimeout)
-    return (
-        repaired.select("is_new", F.inline(F.array(F.from_json("record", log.schema))))
-        .withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
-        .select(*log.columns)
-    )
+        F.pmod(F.xxhash64("common.mid"), F.lit(buckets)).alias("bucket"), F.col("common.mid").alias("mid"), "ts", F.col("common.is_new").alias("is_new"), F.to_json(F.struct(*log.columns)).alias("record"), "_time")
+    released = plain.groupBy("bucket").applyInPandasWithState(
+        _release_in_time(), "code bigint, record string", "codes string, held string", "append", GroupStateTimeout.EventTimeTimeout)
+    records = released.select("code", F.inline(F.array(F.from_json("record", log.schema))))
+    flag = repaired_flag(first_day(F.when(F.col("code") >= 0, F.col("code")), zone), zone)
+    return records.withColumn("common", F.col("common").withField("is_new", flag)).select(*log.columns)

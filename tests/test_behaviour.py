@@ -2,11 +2,13 @@ import json
 import random
 from datetime import datetime, timedelta, timezone
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from brookhouse import schemas as S
 from brookhouse.operators import behaviour as B
+from brookhouse.streaming.visitors import _release_in_time
 from tests.conftest import rows
 
 COMMON = {"ar": "23", "uid": "u-5", "os": "Linux", "ch": "c", "is_new": "1", "md": "m", "mid": "device-a",
@@ -139,3 +141,45 @@ def test_unknown_fields_reach_the_topics(lines):
     assert got[S.TRAFFIC_ACTION, 1700000100000] == ACTED[0] | more | context
     assert got[S.TRAFFIC_ERR, None] == {"error_code": 1} | more
     assert got[S.TRAFFIC_PAGE, 5]["page"] == {"page_id": "p"}
+
+
+def test_messages_of_one_topic_are_built_alone(split):
+    every = [tuple(r) for r in B.split_messages(split).collect()]
+    for topic in B.TOPICS:
+        alone = B.split_messages(split, (topic,))
+        assert sorted(map(tuple, alone.collect())) == sorted(m for m in every if m[0] == topic) != []
+        plan = alone._jdf.queryExecution().optimizedPlan().toString()
+        assert all(other not in plan for other in B.TOPICS if other != topic)
+
+
+def test_an_item_without_fields_of_its_own_has_its_context(lines):
+    page = {"common": {"mid": "m", "is_new": "0"}, "page": {"page_id": "p"}, "ts": 1, "displays": [{}, {"ts": 5}, {"item": "i"}, 3, None]}
+    got = [json.loads(r.value) for r in B.split_messages(B.clean_log(lines(page)), (S.TRAFFIC_DISPLAY,)).collect()]
+    context = {k: page[k] for k in ("common", "page", "ts")}
+    assert got == [context, context, {"item": "i"} | context]
+
+
+class Held:
+    """State of a group as the engine hands it over."""
+
+    exists, hasTimedOut, timeout, get = False, False, None, None
+
+    def getCurrentWatermarkMs(self):
+        return 100
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+    def setTimeoutTimestamp(self, ms):
+        self.timeout = ms
+
+
+def test_devices_of_a_bucket_share_a_call():
+    step, state = _release_in_time(), Held()
+    frame = pd.DataFrame([("a", 50, "1", "a50"), ("b", 60, None, "b60"), ("a", 40, "0", "a40"), ("b", 300, "1", "b300")],
+                         columns=["mid", "ts", "is_new", "record"])
+    (out,) = step((0,), iter([frame]), state)
+    assert out.values.tolist() == [[80, "a40"], [80, "a50"], [-1, "b60"]] and state.timeout == 300
+    state.getCurrentWatermarkMs, state.hasTimedOut = lambda: 300, True
+    (out,) = step((0,), iter([]), state)
+    assert out.values.tolist() == [[601, "b300"]]
