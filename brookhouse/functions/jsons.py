@@ -10,9 +10,11 @@ def parse_objects(raw: DataFrame, schema: T.StructType, value: str = "value") ->
     Other columns of `raw` (a bus offset, say) are kept. A field of the wrong type becomes NULL, the rest of the
     record stays. The parser itself would ignore what follows the first object, so the text is parsed as the only
     element of an array: two objects on a line, or one with other text around it, are not. That is one parse; the
-    generators keep the parsed records out of reach of filter push-down, which would otherwise repeat it.
+    generators keep the parsed records out of reach of filter push-down, which would otherwise repeat it. Only text with
+    something around its braces is trimmed, as that looks at each character.
     """
-    text = F.btrim(value, F.lit(" \t\r\n"))
+    bare = F.col(value).startswith("{") & F.col(value).endswith("}")
+    text = F.when(bare, F.col(value)).otherwise(F.btrim(value, F.lit(" \t\r\n")))
     rest = [F.col(c) for c in raw.columns if c != value]
     parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema))
     return (

@@ -73,16 +73,24 @@ def current_routes(snapshot: DataFrame | None, feed: DataFrame, route: T.StructT
 
 def keep_listed(data: Column, columns: Column) -> Column:
     """Cells of `data` whose names are in the comma list; names must match exactly."""
-    listed = F.split(columns, ",")
-    return F.map_filter(data, lambda name, _: F.array_contains(listed, name))
+    return keep_named(data, names_in(columns))
+
+
+def names_in(columns: Column) -> Column:
+    """The names of a comma list. Taken of the routes, a list is split once and not for each cell of each record."""
+    return F.split(columns, ",")
+
+
+def keep_named(data: Column, names: Column) -> Column:
+    return F.map_filter(data, lambda name, _: F.array_contains(names, name))
 
 
 def route_facts(changes: DataFrame, routes: DataFrame) -> DataFrame:
     """Pruned cells of every routed change and the table they go to; everything else is dropped."""
     side = routes.select(F.col("source_table").alias("table"), F.col("source_type").alias("type"), "sink_table",
-                         "sink_columns")
+                         names_in(F.col("sink_columns")).alias("_names"))
     return small_join(changes, side, ["table", "type"]).select(
-        "sink_table", keep_listed(F.col("data"), F.col("sink_columns")).alias("data")
+        "sink_table", keep_named(F.col("data"), F.col("_names")).alias("data")
     )
 
 
@@ -92,14 +100,15 @@ def route_dimensions(changes: DataFrame, routes: DataFrame) -> DataFrame:
     The key is read before pruning, so it need not be among the listed columns. Records without a key are dropped:
     the keyed table cannot hold them.
     """
-    side = routes.select(F.col("source_table").alias("table"), "sink_table", "sink_columns", "sink_family", "sink_row_key")
+    side = routes.select(F.col("source_table").alias("table"), "sink_table", names_in(F.col("sink_columns")).alias("_names"),
+                         "sink_family", "sink_row_key")
     rest = [c for c in changes.columns if c not in ("database", "table", "old", "commit", "data")]
     return (
         small_join(changes, side, ["table"])
         .withColumn("row_key", F.col("data")[F.col("sink_row_key")])
         .filter(F.col("row_key").isNotNull())
         .select("sink_table", "sink_family", "row_key", *rest,
-                keep_listed(F.col("data"), F.col("sink_columns")).alias("data"))
+                keep_named(F.col("data"), F.col("_names")).alias("data"))
     )
 
 

@@ -177,20 +177,35 @@ def stream_config_route_dwd(spark, sf_dir):
     return drain_batches(changes, "stream_config_route_dwd", routed)
 
 
+def range_of(at, bounds, first=0):
+    """Which of the ranges between bounds a number is in: below the first one, or from the n-th one on."""
+    if not bounds:
+        return F.lit(first)
+    n = len(bounds) // 2
+    return F.when(F.col(at) < bounds[n], range_of(at, bounds[:n], first)).otherwise(range_of(at, bounds[n + 1:], first + n + 1))
+
+
 def bus_in_batches(spark, name, topic, lines, batches=3, ordered=True):
     """A bus of folders to which lines (a number `at` that orders them, text `value`) are sent in several batches, as it is
     after each of them. A batch is a range of `at`, written in order to as many files as there are cores, as a producer does
-    with its partitions; a stream that is not ended in between reads as many files at a time. Not `ordered`, a batch is
-    written as it lies, without a shuffle."""
+    with its partitions; a stream that is not ended in between reads as many files at a time. What `at` is made of is read
+    for the ranges first, so a batch takes its lines from the tables and builds their text once. Not `ordered`, the text is
+    written out, and a batch of it as it lies, without a shuffle."""
     files = spark.sparkContext.defaultParallelism
     bus = Bus("files", new_scratch(spark, name), {"maxFilesPerTrigger": str(files)})
-    lines = materialise(lines, name)
+    if not ordered:
+        lines = materialise(lines, name)
     low, high = lines.agg(F.min("at"), F.max("at")).first()
     share = (F.col("at") - F.lit(low or 0)) * batches / F.lit((high or 0) - (low or 0) + 1)
+    batch = share.cast("int")
+    bounds = {k: [] for k in range(batches)}
+    if ordered and files > 1:
+        even = F.percentile_approx("at", [n / files for n in range(1, files)])
+        bounds |= dict(lines.groupBy(batch).agg(even).collect())  # a row per batch
     for k in range(batches):
-        part = lines.filter(share.cast("int") == k)
+        part = lines.filter(batch == k)
         if ordered:
-            part = part.repartitionByRange(files, "at").sortWithinPartitions("at")
+            part = part.repartitionById(files, range_of("at", sorted(set(bounds[k])))).sortWithinPartitions("at")
         publish(bus, part.select(F.lit(topic).alias("topic"), "value"), "shop", k)
         yield bus
 

@@ -46,14 +46,14 @@ class Bus:
     def _files(self, reader, topic: str, keys: bool = False, folders: list[str] | None = None) -> DataFrame:
         lines = reader.schema(LINES).options(**self.options).text(folders or self._folders(topic))
         file = F.col("_metadata")
-        keyed = F.element_at(F.split(file["file_path"], "/"), -2).startswith("keyed=")
+        keyed = F.substring_index(file["file_path"], "/", -2).startswith("keyed=")
         value = F.when(keyed, F.nullif(F.expr("substring(value, instr(value, '\t') + 1)"), F.lit(""))).otherwise(F.col("value")).alias("value")
         if keys:
             lines = lines.select(F.when(keyed, F.expr("left(value, instr(value, '\t') - 1)")).alias("key"), value, file)
             value = [F.col("key"), F.col("value")]
         else:
             value = [F.coalesce(value, F.lit("")).alias("value")]
-        batch = F.lpad(F.regexp_extract(file["file_path"], r"/batch_id=(\d+)/", 1), 20, "0")
+        batch = F.lpad(F.substring_index(F.substring_index(file["file_path"], "/batch_id=", -1), "/", 1), 20, "0")
         begin = F.lpad(file["file_block_start"].cast("string"), 20, "0")
         return lines.select(*value, F.concat_ws("/", batch, file["file_name"], begin).alias("source"))
 

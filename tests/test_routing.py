@@ -116,3 +116,11 @@ def test_routes_are_broadcast(spark):
     log = spark.createDataFrame([("t", "insert", {"id": "1"})], "`table` string, type string, data map<string,string>")
     plan = R.route_facts(log, spark.createDataFrame(SEED, S.FACT_ROUTE))._jdf.queryExecution().executedPlan()
     assert "BroadcastHashJoin" in plan.toString()
+
+
+def test_column_lists_are_split_once_per_route(spark, lines):
+    log = parse_changes(lines({"table": "user_info", "type": "insert", "data": {"id": 1, "pw": "x"}}))
+    dims = spark.createDataFrame([("user_info", "dim_user", "id,name", "info", "id")], S.DIM_ROUTE)
+    for routed in (R.route_facts(log, spark.createDataFrame(SEED, S.FACT_ROUTE)), R.route_dimensions(log, dims)):
+        assert "array_contains(split(" not in routed._jdf.queryExecution().optimizedPlan().toString()
+        assert [r["data"].get("id") for r in rows(routed)] == ["1"]

@@ -61,3 +61,16 @@ def test_more_messages_are_dealt_to_more_tasks(spark, monkeypatch):
     monkeypatch.setattr(I, "PARTITION_ROWS", 1000)
     assert I.dealt(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert I.dealt(many).rdd.getNumPartitions() == 40
+
+
+def test_ordered_batches_take_their_lines_from_the_tables(spark, monkeypatch):
+    monkeypatch.setattr(streams, "materialise", lambda *_: pytest.fail("all text written out before its batch"))
+    rows = spark.range(0, 3000, 1, 4).select((F.pow(F.lit(3000) - F.col("id"), 2)).cast("bigint").alias("at"))
+    lines = rows.union(rows.limit(5)).withColumn("value", F.col("at").cast("string"))
+    for k, bus in enumerate(streams.bus_in_batches(spark, "ordered", "t", lines)):
+        texts = [spark.read.text(str(f)) for f in sorted(sent(bus, k))]
+        numbers = [[int(r.value) for r in t.collect()] for t in texts]
+        assert len(numbers) == 4 and max(map(len, numbers)) < 1.2 * sum(map(len, numbers)) / 4
+        assert sum(numbers, []) == sorted(sum(numbers, []))
+    assert bus.read(spark, "t").count() == 3005 and bus.read(spark, "t").distinct().count() == 3000
+    assert list(streams.bus_in_batches(spark, "none", "t", lines.limit(0)))
