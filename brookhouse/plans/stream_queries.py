@@ -3,7 +3,7 @@
 Output and checkpoint go to the shared scratch folder.
 """
 
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,12 +58,14 @@ def drain(rows: DataFrame, name: str, root: str | None = None) -> DataFrame:
 
 
 def drain_batches(rows: DataFrame, name: str, each, root: str | None = None) -> DataFrame:
-    """Same, with a function of (root, micro-batch, number) that gives the rows to store. With the `root` of an earlier call
-    the stream goes on where that one ended."""
+    """Same, with a function of (root, micro-batch, number) that gives the rows to store, or a context that they are stored in.
+    With the `root` of an earlier call the stream goes on where that one ended."""
     spark, root = rows.sparkSession, root or new_scratch(rows.sparkSession, name)
 
     def sink(batch, batch_id):
-        each(root, batch, batch_id).write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}", compression="zstd")
+        stored = each(root, batch, batch_id)
+        with nullcontext(stored) if isinstance(stored, DataFrame) else stored as result:
+            result.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}", compression="zstd")
 
     with rocksdb(spark):
         start(rows, name, f"{root}/checkpoint", NOW, sink).awaitTermination()
@@ -266,18 +268,18 @@ def _visitors(log):
 
 
 def stream_visitor_fix(spark, sf_dir):
-    """First visits kept as a keyed table, over several micro-batches."""
+    """First visits kept as a keyed table, over several micro-batches. A batch is kept while it is repaired, so it has no more
+    columns than the repair and the result look at."""
+    @contextmanager
     def repaired(root, batch, batch_id):
         with VisitorLog(batch.sparkSession, f"{root}/visitors", Q.UTC).repaired(batch, batch_id) as log:
-            path = f"{root}/repaired/batch_id={batch_id}"
-            _visitors(log).write.mode("overwrite").parquet(path)
-        return batch.sparkSession.read.parquet(path)
+            yield _visitors(log)
 
     lines = I.behaviour_log(spark, sf_dir).select(F.col("ts").alias("at"), to_line("common", "page", "start", "ts").alias("value"))
     root = new_scratch(spark, "stream_visitor_fix")
     for bus in bus_in_batches(spark, "stream_visitor_fix", S.TOPIC_LOG, lines):
         whole = Bus(bus.kind, bus.location).stream(spark, S.TOPIC_LOG)
-        rows = drain_batches(B.clean_log(whole), "stream_visitor_fix", repaired, root)
+        rows = drain_batches(B.clean_log(whole).select("common", "ts"), "stream_visitor_fix", repaired, root)
     return rows
 
 

@@ -74,3 +74,11 @@ def test_ordered_batches_take_their_lines_from_the_tables(spark, monkeypatch):
         assert sum(numbers, []) == sorted(sum(numbers, []))
     assert bus.read(spark, "t").count() == 3005 and bus.read(spark, "t").distinct().count() == 3000
     assert list(streams.bus_in_batches(spark, "none", "t", lines.limit(0)))
+
+
+def test_a_batch_under_repair_is_kept_without_what_nobody_looks_at(spark, monkeypatch):
+    kept, repaired = [], streams.VisitorLog.repaired
+    monkeypatch.setattr(streams.VisitorLog, "repaired", lambda log, batch, n: (kept.append(batch.columns), repaired(log, batch, n))[1])
+    got = streams.stream_visitor_fix(spark, SF)
+    assert kept == [["common", "ts"]] * 3
+    assert sorted(got.collect()) == sorted(Q.visitor_fix(spark, SF).select(*got.columns).collect())
